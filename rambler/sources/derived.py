@@ -33,17 +33,16 @@ def events_sequence_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("user_id").alias("a"), "b"))
 
 
-def events_edges(spark: SparkSession, sf_dir: str, directed: bool = False) -> DataFrame:
-    """``(src, dst, w)`` events graph.
+def events_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(src, dst, w)`` events graph, one row per unordered pair with ``src < dst``.
 
-    Undirected: both directions, ``w`` = number of consecutive-user occurrences.
-    Directed (acyclic, so every walk ends in a sink): the undirected entries with ``src < dst``.
+    ``w`` counts consecutive-user occurrences in either order.  Read as undirected
+    (``orient``) it is the symmetric weighted graph; read as directed it is acyclic,
+    so every walk ends in a sink.
     """
     pr = events_sequence_pairs(spark, sf_dir)
-    both = pr.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
-        pr.select(F.col("b").alias("src"), F.col("a").alias("dst")))
-    e = both.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    return e.where(F.col("src") < F.col("dst")) if directed else e
+    return (pr.groupBy(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))
+            .agg(F.count(F.lit(1)).cast("double").alias("w")))
 
 
 def contact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
