@@ -37,9 +37,9 @@ def top_n_similar(vectors: DataFrame, k: str, n: int, key: str = "key", digits:
     The query vector is a scalar subquery (one value, whatever the table size);
     ``orderBy().limit()`` plans as a per-partition top-k merge, never a total sort.
     """
-    q = vector_of(vectors, k, key)
-    c = cosine(q, F.col("vector"))
+    withq = vectors.select(F.col(key), "vector", vector_of(vectors, k, key).alias("_q"))
+    c = cosine("_q", "vector")
     if digits is not None:
         c = F.round(c, digits)
-    return (vectors.select(F.col(key), c.alias("cos"), "vector")
+    return (withq.select(F.col(key), c.alias("cos"), "vector")
             .orderBy(F.col("cos").desc(), F.col(key)).limit(n + 1))

@@ -123,10 +123,10 @@ def rejection_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, tri
     else:
         tr = act.withColumn("t", F.explode(F.sequence(F.col("tb"), F.col("tb") + (trials - 1))))
     ud = u1 if u1 is not None else draw(F.lit(params.seed), "rnd", "v0", s1, "t", F.lit(1))
-    tr = tr.withColumn("T", ud * F.col("tot")).withColumn("b", _bucket(F.col("T"), F.col("n"), F.col("tot")))
+    tr = tr.withColumn("thr", ud * F.col("tot")).withColumn("b", _bucket(F.col("thr"), F.col("n"), F.col("tot")))
     ix = graph.index
     cand = (tr.join(ix, (tr.cur == ix.src) & (tr.b == ix.bucket))
-            .where((F.col("ca") >= F.col("T")) & ((F.col("cb") < F.col("T")) | F.col("first")))
+            .where((F.col("ca") >= F.col("thr")) & ((F.col("cb") < F.col("thr")) | F.col("first")))
             .select(*WALKER_COLS, "t", "dst", "nd", "nt"))
     first_order = params.p == 1.0 and params.q == 1.0
     if first_order and trials == 1:
