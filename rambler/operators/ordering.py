@@ -23,12 +23,12 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def _sorted(df: DataFrame, cols: list[str], n: int) -> DataFrame:
-    from rambler.session import ensure_checkpoint_dir
+    from rambler.session import ensure_checkpoint_dir, reliable_checkpoint
     ensure_checkpoint_dir(df.sparkSession)
     # The partition index is stored as data: a task's own index differs from it when the
     # scan is one branch of a union, or after partitions are coalesced.
-    return (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-            .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))
+    return reliable_checkpoint(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                               .withColumn(_PID, F.spark_partition_id()))
 
 
 _PID = "_rpid"

@@ -35,7 +35,7 @@ from rambler.operators.graph import graph_vertices, merge_parallel, orient
 from rambler.operators.ordering import segmented_cumsum
 from rambler.operators.sampling import second_order_sample
 from rambler.params import WalkParams
-from rambler.session import ensure_checkpoint_dir
+from rambler.session import ensure_checkpoint_dir, materialize
 
 WALKER_COLS = ["rnd", "v0", "step", "prev", "cur", "n", "tot", "tb"]
 
@@ -186,8 +186,10 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int = 8, u1=None,
                 rounds: list[int] | None = None) -> WalkResult:
     """All rounds walk together; a full path has ``walk_length + 2`` vertices.
 
-    The driver holds only the loop: each turn's walker state is checkpointed to the
-    session's reliable checkpoint directory (lineage cut, survives executor loss).
+    The driver holds only the loop: each turn's walker state is written as a Parquet
+    table under the session's checkpoint directory and read back (lineage cut, one
+    execution per turn, survives executor loss).  With ``checkpoint_every = k > 1`` the
+    turns in between are only persisted.
     """
     spark = graph.edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -198,7 +200,7 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int = 8, u1=None,
     walkers = init_walkers(graph, params.num_walks, rounds)
     if params.partitions:
         walkers = walkers.repartition(params.partitions, "rnd", "v0")
-    walkers = walkers.checkpoint(eager=True)
+    walkers = materialize(walkers, "walkers")
     step_frames = [walkers.select("rnd", "v0", "step", F.col("cur").alias("vertex"))]
     it = 0
     while True:
@@ -209,7 +211,7 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int = 8, u1=None,
             nxt = rejection_step(walkers, graph, params, k, u1=u1)
         it += 1
         if it % max(1, params.checkpoint_every) == 0:
-            nxt = nxt.checkpoint(eager=True)
+            nxt = materialize(nxt, "walkers")
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         step_frames.append(nxt.where(F.col("tb") == 0).select("rnd", "v0", "step", F.col("cur").alias("vertex")))

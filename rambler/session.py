@@ -55,3 +55,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="rambler-ckpt-", dir=os.environ.get("RAMBLER_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the session's (shared, reliable) checkpoint directory."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rambler-{tag}-{uuid.uuid4().hex}"
+
+
+def materialize(df, tag: str):
+    """Write ``df`` as a Parquet table under the checkpoint directory and read it back.
+
+    One execution of the plan (``Dataset.checkpoint`` runs it twice unless cached), a cut
+    lineage, and a copy that survives executor loss.
+    """
+    path = scratch_path(df.sparkSession, tag)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def reliable_checkpoint(df):
+    """``Dataset.checkpoint`` that computes the plan once: cached while the checkpoint is
+    written, released afterwards.  Keeps partitioning and in-partition order."""
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
