@@ -156,9 +156,8 @@ def ordered_lead(df: DataFrame, group: list[str], order: list[str], value: str,
     def heads(batches):
         for pdf in batches:
             if not pdf.empty:
-                row = pdf.iloc[0]
-                yield pd.DataFrame({"pid": [int(row[_PID])], "g": [repr(tuple(row[c] for c in group))],
-                                    "v": [row[value]]})
+                yield pd.DataFrame({"pid": [int(pdf[_PID].iloc[0])], "g": [_gkey(pdf, group, 0)],
+                                    "v": [_py(pdf[value].iloc[0])]})
                 break
         for _ in batches:   # drain
             pass
@@ -186,14 +185,22 @@ def ordered_lead(df: DataFrame, group: list[str], order: list[str], value: str,
                 yield _lead_within(pdf, group, value, out).iloc[:-1]
         if held is not None:
             last = held.assign(**{out: None})
-            g = repr(tuple(last.iloc[0][c] for c in group))
-            if nxt_g is not None and g == nxt_g:
+            if nxt_g is not None and _gkey(held, group, 0) == nxt_g:
                 last[out] = nxt_v
             yield last
 
     return s.mapInPandas(scan, out_schema)
 
 
+def _py(x):
+    """A plain Python scalar (numpy scalars and row upcasts would change the repr)."""
+    return x.item() if hasattr(x, "item") else x
+
+
+def _gkey(pdf: pd.DataFrame, group: list[str], i: int) -> str:
+    return repr(tuple(_py(pdf[c].iloc[i]) for c in group))
+
+
 def _first(pdf: pd.DataFrame) -> pd.DataFrame:
     pid = int(pdf[_PID].iloc[0])
     out = pdf.drop(columns=[_PID])

@@ -36,6 +36,7 @@ def top_n_similar(vectors: DataFrame, k: str, n: int, key: str = "key", digits:
 
     The query vector is a scalar subquery (one value, whatever the table size);
     ``orderBy().limit()`` plans as a per-partition top-k merge, never a total sort.
+    A zero vector's NaN cosine sorts above every number, as ``Double.compare`` orders it.
     """
     withq = vectors.select(F.col(key), "vector", vector_of(vectors, k, key).alias("_q"))
     c = cosine("_q", "vector")
