@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from rambler.functions.draws import draw
+from rambler.functions.draws import DRAW_SCALE, draw
 from rambler.operators.graph import graph_vertices, merge_parallel, orient
 from rambler.operators.ordering import segmented_cumsum
 from rambler.operators.sampling import second_order_sample
@@ -48,6 +48,12 @@ class WalkGraph:
     index: DataFrame      # (src, bucket, dst, cb, ca, first, nd, nt)
     directed: bool
 
+    def views(self) -> tuple[str, str]:
+        """Temp-view names of ``index`` and ``keys`` (registered once per graph)."""
+        if not getattr(self, "_views", None):
+            self._views = (_view(self.index, "index"), _view(self.keys, "keys"))
+        return self._views
+
     def unpersist(self) -> None:
         for df in (self.edges, self.keys, self.vertices, self.index):
             df.unpersist()
@@ -107,51 +113,64 @@ def _accept_ratios(p: float, q: float) -> tuple[float, float, float]:
     return f_back / m, f_in / m, f_out / m
 
 
+def _draw_sql(seed: int, *parts: str) -> str:
+    """SQL text of ``rambler.functions.draws.draw`` (same keys, same 52-bit fraction)."""
+    cols = ", ".join(f"CAST({p} AS STRING)" for p in (str(seed), *parts))
+    return (f"(CAST(CAST(conv(substring(md5(concat_ws('|', {cols})), 1, 13), 16, 10) AS BIGINT) AS DOUBLE)"
+            f" / {DRAW_SCALE!r}D)")
+
+
+def _view(df: DataFrame, tag: str) -> str:
+    import uuid
+    name = f"_rambler_{tag}_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def rejection_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, trials: int,
-                   u1=None) -> DataFrame:
+                   u1: float | None = None) -> DataFrame:
     """One loop turn of the rejection sampler; returns the next walker state.
 
     Advanced walkers have ``tb = 0``; walkers whose ``trials`` trials were all rejected
     keep their place with ``tb`` moved on; finished walkers and dead ends are gone.
     ``u1`` replaces the candidate draw (tests use a constant, as the modelled system's do).
+
+    The turn is one SQL statement over temp views: one analysis per turn instead of a
+    few hundred driver round trips for column objects.
     """
-    L = params.walk_length
-    act = walkers.where((F.col("n") > 0) & (F.col("step") <= L))
-    s1 = F.col("step") + 1
-    if trials == 1:
-        tr = act.withColumn("t", F.col("tb"))
-    else:
-        tr = act.withColumn("t", F.explode(F.sequence(F.col("tb"), F.col("tb") + (trials - 1))))
-    ud = u1 if u1 is not None else draw(F.lit(params.seed), "rnd", "v0", s1, "t", F.lit(1))
-    tr = tr.withColumn("thr", ud * F.col("tot")).withColumn("b", _bucket(F.col("thr"), F.col("n"), F.col("tot")))
-    ix = graph.index
-    cand = (tr.join(ix, (tr.cur == ix.src) & (tr.b == ix.bucket))
-            .where((F.col("ca") >= F.col("thr")) & ((F.col("cb") < F.col("thr")) | F.col("first")))
-            .select(*WALKER_COLS, "t", "dst", "nd", "nt"))
-    first_order = params.p == 1.0 and params.q == 1.0
-    if first_order and trials == 1:
-        return cand.select("rnd", "v0", s1.alias("step"), F.col("cur").alias("prev"), F.col("dst").alias("cur"),
-                           F.col("nd").alias("n"), F.col("nt").alias("tot"), F.lit(0).cast("bigint").alias("tb"))
-    r_back, r_in, r_out = _accept_ratios(params.p, params.q)
-    k = graph.keys.select(F.col("src").alias("_ks"), F.col("dst").alias("_kd"), F.lit(True).alias("_in"))
-    cand = cand.join(k, (cand.prev == k._ks) & (cand.dst == k._kd), "left")
-    ratio = (F.when(F.col("prev").isNull(), F.lit(1.0))
-             .when(F.col("dst") == F.col("prev"), F.lit(r_back))
-             .when(F.col("_in").isNotNull(), F.lit(r_in))
-             .otherwise(F.lit(r_out)))
-    u2 = draw(F.lit(params.seed), "rnd", "v0", s1, "t", F.lit(2))
-    accepted = (F.col("prev").isNull()) | (u2 < ratio)
-    picked = (cand.groupBy(*WALKER_COLS)
-              .agg(F.min(F.when(accepted, F.struct("t", "dst", "nd", "nt"))).alias("pk")))
-    adv = F.col("pk").isNotNull()
-    return picked.select(
-        "rnd", "v0",
-        F.when(adv, F.col("step") + 1).otherwise(F.col("step")).alias("step"),
-        F.when(adv, F.col("cur")).otherwise(F.col("prev")).alias("prev"),
-        F.when(adv, F.col("pk.dst")).otherwise(F.col("cur")).alias("cur"),
-        F.when(adv, F.col("pk.nd")).otherwise(F.col("n")).alias("n"),
-        F.when(adv, F.col("pk.nt")).otherwise(F.col("tot")).alias("tot"),
-        F.when(adv, F.lit(0)).otherwise(F.col("tb") + trials).cast("bigint").alias("tb"))
+    spark = walkers.sparkSession
+    L, seed = params.walk_length, params.seed
+    w = _view(walkers, "walkers")
+    ix, keys = graph.views()
+    t = "tb" if trials == 1 else f"explode(sequence(tb, tb + {trials - 1}))"
+    u1_sql = f"{float(u1)!r}D" if u1 is not None else _draw_sql(seed, "rnd", "v0", "step + 1", "t", "1")
+    cand = f"""
+      SELECT c.*, i.dst, i.nd, i.nt
+      FROM (SELECT x.*, CASE WHEN x.tot > 0 THEN CAST(floor(x.thr * x.n / x.tot) AS BIGINT) ELSE 0L END AS b
+            FROM (SELECT y.*, {u1_sql} * y.tot AS thr
+                  FROM (SELECT *, {t} AS t FROM {w} WHERE n > 0 AND step <= {L}) y) x) c
+      JOIN {ix} i ON i.src = c.cur AND i.bucket = c.b
+      WHERE i.ca >= c.thr AND (i.cb < c.thr OR i.first)"""
+    if params.p == 1.0 and params.q == 1.0 and trials == 1:
+        return spark.sql(f"""SELECT rnd, v0, step + 1 AS step, cur AS prev, dst AS cur, nd AS n, nt AS tot,
+                                    0L AS tb FROM ({cand})""")
+    rb, ri, ro = _accept_ratios(params.p, params.q)
+    u2 = _draw_sql(seed, "c.rnd", "c.v0", "c.step + 1", "c.t", "2")
+    # numeric min_by keeps the regroup a hash aggregate (a struct min would sort)
+    return spark.sql(f"""
+      SELECT rnd, v0,
+             CASE WHEN pt IS NOT NULL THEN step + 1 ELSE step END AS step,
+             CASE WHEN pt IS NOT NULL THEN cur ELSE prev END AS prev,
+             CASE WHEN pt IS NOT NULL THEN pd ELSE cur END AS cur,
+             CASE WHEN pt IS NOT NULL THEN pn ELSE n END AS n,
+             CASE WHEN pt IS NOT NULL THEN ptot ELSE tot END AS tot,
+             CASE WHEN pt IS NOT NULL THEN 0L ELSE tb + {trials} END AS tb
+      FROM (SELECT rnd, v0, step, prev, cur, n, tot, tb, min(at) AS pt, min_by(dst, at) AS pd,
+                   min_by(nd, at) AS pn, min_by(nt, at) AS ptot
+            FROM (SELECT c.*, CASE WHEN c.prev IS NULL OR {u2} < (CASE WHEN c.dst = c.prev THEN {rb!r}D
+                                      WHEN k.src IS NOT NULL THEN {ri!r}D ELSE {ro!r}D END) THEN c.t END AS at
+                  FROM ({cand}) c LEFT JOIN {keys} k ON k.src = c.prev AND k.dst = c.dst) a
+            GROUP BY rnd, v0, step, prev, cur, n, tot, tb) g""")
 
 
 def cdf_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, u=None) -> DataFrame:
@@ -159,7 +178,7 @@ def cdf_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, u=None) -
     L = params.walk_length
     act = walkers.where(F.col("step") <= L).select("rnd", "v0", "step", "prev", "cur")
     e = graph.edges
-    ud = u if u is not None else draw(F.lit(params.seed), "rnd", "v0", F.col("step") + 1, F.lit(0), F.lit(1))
+    ud = F.lit(float(u)) if u is not None else draw(F.lit(params.seed), "rnd", "v0", F.col("step") + 1, F.lit(0), F.lit(1))
     cands = (act.join(e, act.cur == e.src).select("rnd", "v0", "step", "prev", "cur", "dst", "w")
              .withColumn("u", ud))
     keys = ["rnd", "v0", "step", "prev", "cur"]
@@ -182,18 +201,32 @@ def assemble_paths(steps: DataFrame) -> DataFrame:
             .select("rnd", "v0", F.transform("_s", lambda x: x["vertex"]).alias("path")))
 
 
-def random_walk(graph: WalkGraph, params: WalkParams, trials: int = 8, u1=None,
+def default_trials(p: float, q: float, stall: float = 1e-3, cap: int = 64) -> int:
+    """Trials per walker per turn so that a walker-step stalls with probability <= ``stall``.
+
+    The worst acceptance is ``min f / max f``; ``p = q = 1`` needs one trial.
+    """
+    import math
+    a = min(_accept_ratios(p, q))
+    if a >= 1.0:
+        return 1
+    return max(1, min(cap, math.ceil(math.log(stall) / math.log(1.0 - a))))
+
+
+def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None, u1=None,
                 rounds: list[int] | None = None) -> WalkResult:
     """All rounds walk together; a full path has ``walk_length + 2`` vertices.
 
-    The driver holds only the loop: each turn's walker state is written as a Parquet
-    table under the session's checkpoint directory and read back (lineage cut, one
-    execution per turn, survives executor loss).  With ``checkpoint_every = k > 1`` the
-    turns in between are only persisted.
+    The driver holds only the loop.  Every ``checkpoint_every``-th turn the walker state
+    is written as a Parquet table under the session's checkpoint directory and read back
+    (lineage cut, survives executor loss); the turns in between are persisted, so a lost
+    cache block is recomputed from at most ``checkpoint_every`` turns of keyed draws.  The
+    step rows are written once at the end and the caches released.
     """
     spark = graph.edges.sparkSession
     ensure_checkpoint_dir(spark)
     L = params.walk_length
+    trials = trials or default_trials(params.p, params.q)
     first_order = params.p == 1.0 and params.q == 1.0
     if params.sampler not in ("rejection", "cdf"):
         raise ValueError(f"unknown sampler {params.sampler!r}")
@@ -202,18 +235,21 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int = 8, u1=None,
         walkers = walkers.repartition(params.partitions, "rnd", "v0")
     walkers = materialize(walkers, "walkers")
     step_frames = [walkers.select("rnd", "v0", "step", F.col("cur").alias("vertex"))]
+    held = []
     it = 0
     while True:
         if params.sampler == "cdf":
             nxt = cdf_step(walkers, graph, params, u=u1)
         else:
-            k = 1 if (it == 0 or first_order) else trials
+            # past step L+1 only stalled walkers are left: larger batches end the tail sooner
+            k = 1 if (it == 0 or first_order) else (trials if it < L + 1 else 8 * trials)
             nxt = rejection_step(walkers, graph, params, k, u1=u1)
         it += 1
         if it % max(1, params.checkpoint_every) == 0:
             nxt = materialize(nxt, "walkers")
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(nxt)
         step_frames.append(nxt.where(F.col("tb") == 0).select("rnd", "v0", "step", F.col("cur").alias("vertex")))
         walkers = nxt
         if it >= L + 1:
@@ -224,4 +260,7 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int = 8, u1=None,
     steps = step_frames[0]
     for f in step_frames[1:]:
         steps = steps.unionByName(f)
+    steps = materialize(steps, "steps")       # the walk's result table; caches can go
+    for df in held:
+        df.unpersist()
     return WalkResult(steps=steps, paths=assemble_paths(steps))

@@ -29,8 +29,8 @@ class WalkParams:
     q: float = 1.0                   # in-out parameter
     directed: bool = False
     seed: int = 0                    # keyed draws: md5(seed|round|start|step[|dst])
-    sampler: str = "cdf"             # "cdf" = inverse CDF in dst order; "race" = exponential race
-    checkpoint_every: int = 1        # cut lineage every n steps (reliable checkpoint)
+    sampler: str = "rejection"       # "rejection" (default, degree-independent) or "cdf" (scan, reference draws)
+    checkpoint_every: int = 3        # write the walker state every n turns (persisted in between)
     partitions: int | None = None    # walker partitions; None = spark.sql.shuffle.partitions
 
 

@@ -50,7 +50,7 @@ def _sequential(edges, start, u, length):
 @pytest.mark.parametrize("u,length", [(0.1, 1), (0.9, 1), (0.1, 50), (0.9, 50)])
 def test_constant_draw_walk_matches_sequential(spark, karate, sampler, u, length):
     g = build_graph(karate, directed=False)
-    r = random_walk(g, WalkParams(walk_length=length, num_walks=1, sampler=sampler), u1=F.lit(u))
+    r = random_walk(g, WalkParams(walk_length=length, num_walks=1, sampler=sampler), u1=u)
     got = {x.v0: list(x.path) for x in r.paths.collect()}
     both = [(x.src, x.dst, x.w) for x in karate.collect()]
     both += [(d, s, w) for s, d, w in both]
