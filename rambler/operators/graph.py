@@ -150,6 +150,14 @@ def partition_balance(parted: DataFrame) -> DataFrame:
                                       F.count(F.lit(1)).alias("links"))
 
 
+def replication_factor(parted: DataFrame) -> DataFrame:
+    """A13 summary: Σ replicas over parts, distinct vertices, and their ratio."""
+    reps = parted.select("src", "part").distinct().select(F.count(F.lit(1))).scalar()
+    return (parted.agg(F.count_distinct("src").alias("vertices"))
+            .select(reps.alias("replicas"), "vertices",
+                    F.round(reps / F.col("vertices"), 6).alias("factor")))
+
+
 def vertex_replicas(parted: DataFrame) -> DataFrame:
     """One copy of a vertex per part it touches, with its full degree."""
     vp = parted.select(F.col("src").alias("v"), "part").distinct()

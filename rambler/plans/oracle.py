@@ -258,6 +258,9 @@ ORACLE.update({
     "edge_partitions": _PARTED + "SELECT src, dst, part FROM po",
     "vertex_home_partition": _PARTED + "SELECT src AS v, min(part) AS part FROM po GROUP BY src",
     "partition_balance": _PARTED + "SELECT part, count(DISTINCT src) AS replicas, count(*) AS links FROM po GROUP BY part",
+    "replication_factor": _PARTED + """, r AS (SELECT count(*) AS replicas FROM (SELECT DISTINCT src, part FROM po) x),
+        v AS (SELECT count(DISTINCT src) AS vertices FROM po)
+        SELECT r.replicas, v.vertices, round(r.replicas / v.vertices, 6) AS factor FROM r, v""",
     "vertex_replicas": _PARTED + """, dg AS (SELECT src AS v, count(*) AS degree FROM po GROUP BY src),
         vp AS (SELECT DISTINCT src AS v, part FROM po)
         SELECT vp.part, vp.v, dg.degree FROM vp JOIN dg ON vp.v = dg.v""",

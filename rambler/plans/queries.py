@@ -229,6 +229,10 @@ def q_partition_balance(spark, d):
     return G.partition_balance(_parted(spark, d))
 
 
+def q_replication_factor(spark, d):
+    return G.replication_factor(_parted(spark, d))
+
+
 def q_vertex_replicas(spark, d):
     return G.vertex_replicas(_parted(spark, d))
 

@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+The modelled system is a batch job: it has no streams, watermarks, windows over time or
+stateful stream operators, so nothing here is built (see README, "Not built").
+"""
