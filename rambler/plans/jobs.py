@@ -14,13 +14,16 @@ from rambler.operators import contacts as C, graph as G
 from rambler.operators.embed import fit_word2vec, model_vectors, name_vectors, path_tokens
 from rambler.operators.walk import build_graph, random_walk
 from rambler.params import JobParams
+from rambler.session import materialize
 from rambler.sources import text as X
 
 
 def build_contact_graph(contacts: DataFrame, users: DataFrame, params: JobParams):
     """Pairs → degree range → dense ids → indexed edges; returns ``(edges, id_map, counts)``."""
     gp = params.graph
-    pairs = C.phone_pairs(contacts, users, gp.contact_start, gp.contact_end, gp.user_date, gp.region_ids)
+    # written once: two degree tables, two semi joins and the id replacement read it
+    pairs = materialize(C.phone_pairs(contacts, users, gp.contact_start, gp.contact_end, gp.user_date,
+                                      gp.region_ids), "pairs")
     vin = G.vertices_in_degree_range(pairs, gp.min_out_degree, gp.max_out_degree,
                                      gp.min_in_degree, gp.max_in_degree)
     id_map = G.dense_ids(vin)

@@ -17,6 +17,7 @@ from rambler.operators.sampling import second_order_sample, second_order_weights
 from rambler.operators.walk import build_graph, random_walk
 from rambler.params import WalkParams, Word2VecParams
 from rambler.sources import derived as D, text as X
+from rambler.session import materialize
 from rambler.sources.tables import table
 
 # Fixed query parameters (shared with the oracle SQL).
@@ -34,8 +35,13 @@ def _pairs(spark, d):
     return C.phone_pairs(D.contact_log(spark, d), D.user_snapshot(spark, d), START, END, USER_DATE)
 
 
+def _pairs_once(spark, d):
+    """The pair table written once: degrees, semi joins and id replacement all read it."""
+    return materialize(_pairs(spark, d), "pairs")
+
+
 def _vertices_in_range(spark, d):
-    return G.vertices_in_degree_range(_pairs(spark, d), *OUT_RANGE, *IN_RANGE)
+    return G.vertices_in_degree_range(_pairs_once(spark, d), *OUT_RANGE, *IN_RANGE)
 
 
 def _id_map(spark, d):
@@ -43,7 +49,7 @@ def _id_map(spark, d):
 
 
 def _contact_edges(spark, d):
-    pairs = _pairs(spark, d)
+    pairs = _pairs_once(spark, d)
     vin = G.vertices_in_degree_range(pairs, *OUT_RANGE, *IN_RANGE)
     return G.edges_from_pairs(G.indexed_pairs(pairs, G.dense_ids(vin)))
 
@@ -168,7 +174,7 @@ def q_vertices_in_degree_range(spark, d):
 
 
 def q_pairs_in_degree_range(spark, d):
-    pairs = _pairs(spark, d)
+    pairs = _pairs_once(spark, d)
     return G.pairs_in_degree_range(pairs, G.vertices_in_degree_range(pairs, *OUT_RANGE, *IN_RANGE))
 
 
@@ -177,13 +183,13 @@ def q_dense_ids(spark, d):
 
 
 def q_indexed_pairs(spark, d):
-    pairs = _pairs(spark, d)
+    pairs = _pairs_once(spark, d)
     vin = G.vertices_in_degree_range(pairs, *OUT_RANGE, *IN_RANGE)
     return G.indexed_pairs(pairs, G.dense_ids(vin))
 
 
 def q_graph_counts(spark, d):
-    pairs = _pairs(spark, d)
+    pairs = _pairs_once(spark, d)
     vin = G.vertices_in_degree_range(pairs, *OUT_RANGE, *IN_RANGE)
     return G.graph_counts(G.dense_ids(vin), G.pairs_in_degree_range(pairs, vin))
 

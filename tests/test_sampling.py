@@ -43,3 +43,17 @@ def test_input_weights_unchanged(spark):
     cands = spark.createDataFrame([(0, 1, 6, 3, 1.0)], "k int, prev long, cur long, dst long, w double")
     r = second_order_weights(cands, keys, 2.0, 2.0).collect()[0]
     assert r.w == 1.0 and r.w2 == 0.5
+
+
+def test_scan_and_window_plans_agree_with_hot_walker(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for k in range(30):
+        size = 2500 if k == 4 else rnd.randint(1, 40)       # walker 4 stands on a hub
+        u = rnd.random()
+        rows += [(k, d, float(rnd.randint(1, 4)), u) for d in rnd.sample(range(100000), size)]
+    c = spark.createDataFrame(rows, "k int, dst long, w double, u double")
+    a = sorted(map(tuple, weighted_sample(c, ["k"], method="scan").collect()))
+    b = sorted(map(tuple, weighted_sample(c, ["k"], method="window").collect()))
+    assert a == b and len(a) == 30
