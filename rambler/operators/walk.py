@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from rambler.functions.draws import DRAW_SCALE, draw
-from rambler.operators.graph import graph_vertices, merge_parallel, orient
+from rambler.operators.graph import merge_parallel, orient
 from rambler.operators.ordering import segmented_cumsum
 from rambler.operators.sampling import second_order_sample
 from rambler.params import WalkParams
@@ -70,18 +70,24 @@ def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None
     """Orient, merge parallel edges and build the sampling index.
 
     The per-vertex running weights come from a range-partitioned segmented scan, so a
-    hub's list is spread over as many tasks as its size needs.
+    hub's list is spread over as many tasks as its size needs.  The merged edges and
+    the running weights are cached while the graph's tables are built (each is read by
+    several of them); with ``persist`` the tables are materialized here and the
+    intermediates released.
     """
     spark = edges.sparkSession
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = merge_parallel(orient(edges, directed))
-    cum = segmented_cumsum(merged, "src", ["dst"], "w", before="cb", after="ca", partitions=n_part)
+    merged = merge_parallel(orient(edges, directed)).persist(StorageLevel.MEMORY_AND_DISK)
+    cum = segmented_cumsum(merged, "src", ["dst"], "w", before="cb", after="ca",
+                           partitions=n_part).persist(StorageLevel.MEMORY_AND_DISK)
     stats = cum.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.max("ca").alias("tot"),
                                    F.min("dst").alias("first_dst"))
-    vertices = (graph_vertices(edges, directed)
-                .join(stats.withColumnRenamed("src", "v"), "v", "left")
+    all_v = merged.select(F.col("src").alias("v")).unionByName(merged.select(F.col("dst").alias("v"))).distinct()
+    vertices = (all_v.join(stats.withColumnRenamed("src", "v"), "v", "left")
                 .select("v", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
                         F.coalesce("tot", F.lit(0.0)).alias("tot")))
+    if persist:
+        vertices = vertices.persist(StorageLevel.MEMORY_AND_DISK)
     e = cum.join(stats, "src")
     lo, hi = _bucket(F.col("cb"), F.col("n"), F.col("tot")), _bucket(F.col("ca"), F.col("n"), F.col("tot"))
     nxt = vertices.select(F.col("v").alias("dst"), F.col("n").alias("nd"), F.col("tot").alias("nt"))
@@ -93,8 +99,11 @@ def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None
     keys = merged.select("src", "dst").repartition(n_part, "src", "dst")
     g = WalkGraph(edges=merged, keys=keys, vertices=vertices, index=index, directed=directed)
     if persist:
-        for df in (g.edges, g.keys, g.vertices, g.index):
+        for df in (g.keys, g.index):
             df.persist(StorageLevel.MEMORY_AND_DISK)
+        for df in (g.vertices, g.index, g.keys):
+            df.count()
+        cum.unpersist()
     return g
 
 
