@@ -235,7 +235,7 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None,
     spark = graph.edges.sparkSession
     ensure_checkpoint_dir(spark)
     L = params.walk_length
-    trials = trials or default_trials(params.p, params.q)
+    trials = trials or params.trials or default_trials(params.p, params.q)
     first_order = params.p == 1.0 and params.q == 1.0
     if params.sampler not in ("rejection", "cdf"):
         raise ValueError(f"unknown sampler {params.sampler!r}")

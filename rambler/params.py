@@ -31,6 +31,7 @@ class WalkParams:
     seed: int = 0                    # keyed draws: md5(seed|round|start|step[|dst])
     sampler: str = "rejection"       # "rejection" (default, degree-independent) or "cdf" (scan, reference draws)
     checkpoint_every: int = 3        # write the walker state every n turns (persisted in between)
+    trials: int | None = None        # rejection trials per walker per turn; None = enough for <=0.1% stalls
     partitions: int | None = None    # walker partitions; None = spark.sql.shuffle.partitions
 
 
