@@ -48,6 +48,12 @@ class WalkGraph:
     index: DataFrame      # (src, bucket, dst, cb, ca, first, nd, nt)
     directed: bool
 
+    def max_degree(self) -> int:
+        """Largest out-degree (one aggregate, computed once)."""
+        if getattr(self, "_max_degree", None) is None:
+            self._max_degree = int(self.vertices.agg(F.max("n")).collect()[0][0] or 0)
+        return self._max_degree
+
     def views(self) -> tuple[str, str]:
         """Temp-view names of ``index`` and ``keys`` (registered once per graph)."""
         if not getattr(self, "_views", None):
@@ -182,6 +188,11 @@ def rejection_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, tri
             GROUP BY rnd, v0, step, prev, cur, n, tot, tb) g""")
 
 
+# A walker's candidate list is one window group only when the largest degree is below
+# this checked bound; above it the segmented scan spreads the list over tasks.
+WINDOW_GROUP_LIMIT = 1_000_000
+
+
 def cdf_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, u=None) -> DataFrame:
     """One loop turn of the scanning sampler (the modelled system's draw semantics)."""
     L = params.walk_length
@@ -191,7 +202,8 @@ def cdf_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, u=None) -
     cands = (act.join(e, act.cur == e.src).select("rnd", "v0", "step", "prev", "cur", "dst", "w")
              .withColumn("u", ud))
     keys = ["rnd", "v0", "step", "prev", "cur"]
-    nxt = second_order_sample(cands, graph.keys, keys, params.p, params.q, u="u", out="next")
+    method = "window" if graph.max_degree() <= WINDOW_GROUP_LIMIT else "scan"
+    nxt = second_order_sample(cands, graph.keys, keys, params.p, params.q, u="u", out="next", method=method)
     return nxt.select("rnd", "v0", (F.col("step") + 1).alias("step"), F.col("cur").alias("prev"),
                       F.col("next").alias("cur"), F.lit(1).cast("bigint").alias("n"),
                       F.lit(1.0).alias("tot"), F.lit(0).cast("bigint").alias("tb"))
