@@ -84,3 +84,33 @@ def contact_node2vec_job(spark: SparkSession, contacts: DataFrame, users: DataFr
     X.write_table(counts, os.path.join(params.output, "properties"))           # K5
     id_map = spark.read.parquet(os.path.join(params.output, "id_map"))          # reloaded: stable ids
     return node2vec_job(spark, edges, params, id_map)
+
+
+def run_job(spark: SparkSession, params: JobParams, contacts: DataFrame | None = None,
+            users: DataFrame | None = None) -> DataFrame:
+    """Dispatch on ``params.cmd`` the way the modelled system's entry point does.
+
+    ``node2vec`` / ``randomwalk`` read the edge list at ``params.input`` when it is set
+    (``weighted`` / ``partitioned`` say which columns it has), else build the graph from
+    the contact log and the user snapshot.  ``embedding`` reads the walk series at
+    ``params.input``.  Returns the vectors (node2vec, embedding) or the paths (randomwalk).
+    """
+    if params.cmd == "embedding":
+        return embedding_job(spark, params)
+    if params.cmd not in ("node2vec", "randomwalk"):
+        raise ValueError(f"unknown cmd {params.cmd!r}")
+    if params.input:
+        edges = X.read_edge_list(spark, params.input, params.weighted, params.partitioned)
+        if params.partitioned:   # place edges by their vertex-cut part before walking
+            edges = edges.repartition("part")
+        edges = edges.select("src", "dst", "w")
+        return (randomwalk_job(spark, edges, params) if params.cmd == "randomwalk"
+                else node2vec_job(spark, edges, params))
+    if contacts is None or users is None:
+        raise ValueError("either params.input (an edge list) or contacts and users are needed")
+    if params.cmd == "randomwalk":
+        edges, id_map, counts = build_contact_graph(contacts, users, params)
+        X.write_table(id_map, os.path.join(params.output, "id_map"))
+        X.write_table(counts, os.path.join(params.output, "properties"))
+        return randomwalk_job(spark, edges, params)
+    return contact_node2vec_job(spark, contacts, users, params)

@@ -43,3 +43,19 @@ def test_embedding_job_reads_walk_series(spark, tmp_path):
     emb = jobs.embedding_job(spark, _params(str(tmp_path / "emb"), input=series, output_partitions=2))
     vocab = paths.select(F.explode(F.col("path").cast("array<string>")).alias("key")).distinct()
     assert sorted(r.key for r in emb.collect()) == sorted(r.key for r in vocab.collect())
+
+
+def test_run_job_dispatch_on_edge_list(spark, tmp_path):
+    from dataclasses import replace
+    from conftest import KARATE_LINES
+    src = tmp_path / "karate.txt"
+    src.write_text("\n".join(f"{x} 1" for x in KARATE_LINES) + "\n")       # "src dst w" lines
+    out = str(tmp_path / "run")
+    base = replace(_params(out), input=str(src), weighted=True)
+    paths = jobs.run_job(spark, replace(base, cmd="randomwalk"))
+    assert paths.count() == 34
+    vecs = jobs.run_job(spark, replace(base, cmd="node2vec", output=str(tmp_path / "n2v")))
+    assert vecs.count() == 34
+    emb = jobs.run_job(spark, replace(base, cmd="embedding", input=os.path.join(out, "path"),
+                                      output=str(tmp_path / "emb")))
+    assert emb.count() == 34
