@@ -18,17 +18,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _partitions(df: DataFrame, partitions: int | None) -> int | None:
+    return partitions
 
 
-def _sorted(df: DataFrame, cols: list[str], n: int) -> DataFrame:
+def _sorted(df: DataFrame, cols: list[str], n: int | None) -> DataFrame:
+    """Range-partition (``n`` partitions, or as many as AQE's advisory size gives — adjacent
+    ranges are merged, so partitions stay ordered), sort, and checkpoint."""
     from rambler.session import ensure_checkpoint_dir, reliable_checkpoint
     ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
     # The partition index is stored as data: a task's own index differs from it when the
     # scan is one branch of a union, or after partitions are coalesced.
-    return reliable_checkpoint(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-                               .withColumn(_PID, F.spark_partition_id()))
+    return reliable_checkpoint(ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id()))
 
 
 _PID = "_rpid"

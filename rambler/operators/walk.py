@@ -61,7 +61,7 @@ class WalkGraph:
         return self._views
 
     def unpersist(self) -> None:
-        for df in (self.edges, self.keys, self.vertices, self.index):
+        for df in (self.keys, self.index):
             df.unpersist()
 
 
@@ -71,19 +71,27 @@ def _bucket(t, n, tot):
     return F.when(tot > 0, F.floor(t * n / tot)).otherwise(F.lit(0)).cast("bigint")
 
 
+EDGES_PER_PARTITION = 2_000_000
+
+
 def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None = None,
                 persist: bool = True) -> WalkGraph:
     """Orient, merge parallel edges and build the sampling index.
 
     The per-vertex running weights come from a range-partitioned segmented scan, so a
-    hub's list is spread over as many tasks as its size needs.  The merged edges and
-    the running weights are cached while the graph's tables are built (each is read by
-    several of them); with ``persist`` the tables are materialized here and the
-    intermediates released.
+    hub's list is spread over as many tasks as its size needs.  With ``persist`` the
+    merged edges and the vertex table are written under the checkpoint directory, the
+    running weights are cached while the index is built, and the index and the key
+    table are cached hash-partitioned for the walk's joins.
     """
     spark = edges.sparkSession
-    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = merge_parallel(orient(edges, directed)).persist(StorageLevel.MEMORY_AND_DISK)
+    # written tables (not caches): read back with size-based partitions, lineage cut
+    merged = materialize(merge_parallel(orient(edges, directed)), "edges") if persist \
+        else merge_parallel(orient(edges, directed))
+    # Walker shuffles must match the index's partitioning every turn, so its partition
+    # count is sized from the graph, not from a session default.
+    n_part = partitions or max(spark.sparkContext.defaultParallelism,
+                               -(-merged.count() // EDGES_PER_PARTITION))
     cum = segmented_cumsum(merged, "src", ["dst"], "w", before="cb", after="ca",
                            partitions=n_part).persist(StorageLevel.MEMORY_AND_DISK)
     stats = cum.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.max("ca").alias("tot"),
@@ -93,22 +101,21 @@ def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None
                 .select("v", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
                         F.coalesce("tot", F.lit(0.0)).alias("tot")))
     if persist:
-        vertices = vertices.persist(StorageLevel.MEMORY_AND_DISK)
+        vertices = materialize(vertices, "vertices")
     e = cum.join(stats, "src")
     lo, hi = _bucket(F.col("cb"), F.col("n"), F.col("tot")), _bucket(F.col("ca"), F.col("n"), F.col("tot"))
     nxt = vertices.select(F.col("v").alias("dst"), F.col("n").alias("nd"), F.col("tot").alias("nt"))
     index = (e.select("src", F.explode(F.sequence(lo, hi)).alias("bucket"), "dst", "cb", "ca",
                       (F.col("dst") == F.col("first_dst")).alias("first"))
              .join(nxt, "dst")
-             .select("src", "bucket", "dst", "cb", "ca", "first", "nd", "nt")
-             .repartition(n_part, "src", "bucket"))
-    keys = merged.select("src", "dst").repartition(n_part, "src", "dst")
+             .select("src", "bucket", "dst", "cb", "ca", "first", "nd", "nt"))
+    keys = merged.select("src", "dst")
+    index = index.repartition(n_part, "src", "bucket")
+    keys = keys.repartition(n_part, "src", "dst")
     g = WalkGraph(edges=merged, keys=keys, vertices=vertices, index=index, directed=directed)
     if persist:
         for df in (g.keys, g.index):
-            df.persist(StorageLevel.MEMORY_AND_DISK)
-        for df in (g.vertices, g.index, g.keys):
-            df.count()
+            df.persist(StorageLevel.MEMORY_AND_DISK).count()
         cum.unpersist()
     return g
 

@@ -12,6 +12,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # let AQE size cached plans' partitions too (otherwise a cache keeps the session default)
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -75,10 +77,11 @@ def materialize(df, tag: str):
 
 
 def reliable_checkpoint(df):
-    """``Dataset.checkpoint`` that computes the plan once: cached while the checkpoint is
-    written, released afterwards.  Keeps partitioning and in-partition order."""
-    from pyspark import StorageLevel
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    """``Dataset.checkpoint`` (reliable, eager); keeps partitioning and in-partition order.
+
+    Not cached first: a cached plan keeps the session's shuffle partition count unless
+    ``canChangeCachedPlanOutputPartitioning`` is on, while the adaptive plan executed
+    here is finalized once (shuffles run once, partitions coalesced) and shared by the
+    count and the checkpoint write.
+    """
+    return df.checkpoint(eager=True)
