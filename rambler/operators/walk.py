@@ -241,6 +241,13 @@ def default_trials(p: float, q: float, stall: float = 1e-3, cap: int = 64) -> in
     return max(1, min(cap, math.ceil(math.log(stall) / math.log(1.0 - a))))
 
 
+def _auto_checkpoint_every(spark) -> int:
+    """Persisted turns keep the session's shuffle partition count unless AQE may resize
+    cached plans; then writing every turn (read back by size) is the cheaper choice."""
+    conf = spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
+    return 3 if str(conf).lower() == "true" else 1
+
+
 def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None, u1=None,
                 rounds: list[int] | None = None) -> WalkResult:
     """All rounds walk together; a full path has ``walk_length + 2`` vertices.
@@ -255,6 +262,7 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None,
     ensure_checkpoint_dir(spark)
     L = params.walk_length
     trials = trials or params.trials or default_trials(params.p, params.q)
+    every = params.checkpoint_every or _auto_checkpoint_every(spark)
     first_order = params.p == 1.0 and params.q == 1.0
     if params.sampler not in ("rejection", "cdf"):
         raise ValueError(f"unknown sampler {params.sampler!r}")
@@ -273,7 +281,7 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None,
             k = 1 if (it == 0 or first_order) else (trials if it < L + 1 else 8 * trials)
             nxt = rejection_step(walkers, graph, params, k, u1=u1)
         it += 1
-        if it % max(1, params.checkpoint_every) == 0:
+        if it % max(1, every) == 0:
             nxt = materialize(nxt, "walkers")
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)

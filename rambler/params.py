@@ -30,7 +30,8 @@ class WalkParams:
     directed: bool = False
     seed: int = 0                    # keyed draws: md5(seed|round|start|step[|dst])
     sampler: str = "rejection"       # "rejection" (default, degree-independent) or "cdf" (scan, reference draws)
-    checkpoint_every: int = 1        # write the walker state every n turns (persisted in between)
+    checkpoint_every: int | None = None  # write the walker state every n turns (persisted in
+                                         # between); None = 3 if AQE may size cached plans, else 1
     trials: int | None = None        # rejection trials per walker per turn; None = enough for <=0.1% stalls
     partitions: int | None = None    # walker partitions; None = spark.sql.shuffle.partitions
 
