@@ -115,3 +115,15 @@ def test_rejection_step_distribution(spark):
     for v, share in ((1, 0.25), (3, 0.25), (4, 0.5)):
         sd = (share * (1 - share) / n) ** 0.5
         assert abs(picks[v] / n - share) < 4 * sd
+
+
+def test_default_trials_bound_stalls():
+    from rambler.operators.walk import _accept_ratios, default_trials
+    assert default_trials(1.0, 1.0) == 1
+    for p, q in ((0.5, 2.0), (1.0, 2.0), (4.0, 0.25), (0.25, 1.0)):
+        k = default_trials(p, q)
+        worst = min(_accept_ratios(p, q))
+        if k < 64:   # batches are capped at 64; a stalled walker retries next turn (exact)
+            assert (1 - worst) ** k <= 1e-3 < (1 - worst) ** (k - 1)
+        else:
+            assert (1 - worst) ** 64 > 1e-3
