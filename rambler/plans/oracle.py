@@ -232,6 +232,9 @@ ORACLE = {
     "random_walk_partitioned": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}"),
     "dead_end_walks": _w("ec", True, 2, EVENTS, f"SELECT rnd, v0, len FROM {{wp}} WHERE len < {L + 2}"),
     "walk_counts": _w("ec", True, 2, EVENTS, "SELECT rnd, count(*) AS paths FROM {wp} GROUP BY rnd"),
+    # Word2Vec's vocabulary with minCount = 0 is every vertex on a path; one vector of dim 16 each
+    "node_embedding_size": _w("ec", False, 1, EVENTS, """SELECT DISTINCT CAST(vertex AS VARCHAR) AS key,
+        CAST(16 AS BIGINT) AS dim FROM steps"""),
     "walk_quality": _w("ec", True, 2, EVENTS, f"""SELECT (SELECT count(*) FROM {{wp}}) AS paths,
         (SELECT count(*) * 2 FROM (SELECT src AS v FROM ec UNION SELECT dst FROM ec) vv) AS expected_paths,
         (SELECT CAST(sum(CASE WHEN len < {L + 2} THEN 1 ELSE 0 END) AS BIGINT) FROM {{wp}}) AS short_paths,

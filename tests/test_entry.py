@@ -4,7 +4,7 @@ import __spark_entry__ as ent
 
 
 def test_queries_have_oracles(spark):
-    assert set(ent.oracle_sql()) == set(ent.queries()) - {"node_embedding_size"}
+    assert set(ent.oracle_sql()) == set(ent.queries())
 
 
 def test_entry_smoke(spark):
