@@ -5,10 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rambler.llm.common import table
+from rambler.llm.chat_format import format_chats, read_digests
+from rambler.llm.common import held_out, table
+from rambler.llm.language_id import language_id
 from rambler.llm.secret_scan import secret_scan
 from rambler.llm.token_counts import token_counts
-from rambler.session import scratch_path
+from rambler.session import materialize, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,5 +24,28 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, scratch_path(spark, "token-cache"))
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op9_token_counts": op9_token_counts}
-ORACLE: dict[str, str] = {}
+def op8_chat_format(spark, sf_dir):
+    planted = spark.createDataFrame([(-7, k, role, "\\### Assistant: </turn> ok") for k, role in enumerate(("user", "assistant"))],
+                                    "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return read_digests(materialize(format_chats(turns), "chats"))
+
+
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id(docs, training=~held_out("doc_id", 4, 2))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op8_chat_format, op9_token_counts, op10_language_id)}
+ORACLE = {"op8_chat_format": """
+WITH t AS (SELECT conv_id, turn, coalesce(role,'') AS role, coalesce(text,'') AS text FROM conversations
+ UNION ALL SELECT -7, 0, 'user', '\\\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\\\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(replace(text, '\\\\', '\\\\\\\\'), '###', '\\\\h'), '</turn>', '\\\\e') AS body,
+ replace(replace(replace(replace(role, '\\\\', '\\\\\\\\'), '###', '\\\\h'), '</turn>', '\\\\e'), ':', '\\\\c') AS head FROM t)
+SELECT conv_id, count(*) AS n_turns,
+ sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+ CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ CAST(sum(length(head) + length(body) + 14) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""}
