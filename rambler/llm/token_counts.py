@@ -34,8 +34,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str, limit: int =
     def count(rows: DataFrame) -> DataFrame:
         def batches(it):
             for b in it:
-                n = encoder(tokenizer_path).counts(b.column("text").to_pylist())
-                yield pa.record_batch([b.column("digest"), pa.array(n, pa.int64())], names=["digest", "n_tokens"])
+                _, counts = encoder(tokenizer_path).encode(b.column("text"), counts_only=True)
+                yield pa.record_batch([b.column("digest"), pa.array(counts)], names=["digest", "n_tokens"])
         return rows.mapInArrow(batches, "digest binary, n_tokens long")
 
     got = work_on_unseen(texts(docs, id_col, text_col), cache, tokenizer_version(tokenizer_path), "n_tokens long", count)
