@@ -98,9 +98,12 @@ def prototypes(docs: DataFrame, training: Column, dim: int, n: int, seed: int,
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles, sums = _profiles(dim, n, seed), {}
         for b in batches:
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+            langs = np.array(b.column("lang").to_pylist(), object)
+            for lang in sorted(set(langs)):
                 total = sums.setdefault(lang, np.zeros(dim))
-                total += profiles.bundle(*profiles.counts(text))
+                own = b.column("text").filter(pa.array(langs == lang))
+                for at in range(0, len(own), 256):  # n-grams are counted over some texts, then bound and added once
+                    total += profiles.bundle(*profiles.counts(" ".join(own.slice(at, 256).to_pylist())))
         if sums:
             yield pa.record_batch([pa.array(sums), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
                                   names=["lang", "part"])
@@ -110,7 +113,7 @@ def prototypes(docs: DataFrame, training: Column, dim: int, n: int, seed: int,
     return each.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "x"))), lambda s: s["x"]).alias("dims"))
 
 
-def language_id(docs: DataFrame, training: Column, dim: int = 1024, n: int = 3, seed: int = 7, max_languages: int = 10_000,
+def language_id(docs: DataFrame, training: Column, dim: int = 512, n: int = 3, seed: int = 7, max_languages: int = 10_000,
                 id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(doc_id, lang_pred, score)``, one row for each row of ``docs``; ``score`` is the cosine, at least 0.
 
