@@ -10,6 +10,7 @@ from rambler.llm.common import held_out, table
 from rambler.llm.language_id import language_id
 from rambler.llm.secret_scan import secret_scan
 from rambler.llm.token_counts import token_counts
+from rambler.llm.token_file import read_digests as token_digests, write_tokens
 from rambler.session import materialize, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,11 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, scratch_path(spark, "token-cache"))
 
 
+def op6_token_file(spark, sf_dir):
+    file = write_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, path=scratch_path(spark, "token-file"))
+    return token_digests(spark, file).withColumnRenamed("doc", "doc_id")
+
+
 def op8_chat_format(spark, sf_dir):
     planted = spark.createDataFrame([(-7, k, role, "\\### Assistant: </turn> ok") for k, role in enumerate(("user", "assistant"))],
                                     "conv_id long, turn long, role string, text string")
@@ -37,7 +43,7 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op8_chat_format, op9_token_counts, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_token_file, op8_chat_format, op9_token_counts, op10_language_id)}
 ORACLE = {"op8_chat_format": """
 WITH t AS (SELECT conv_id, turn, coalesce(role,'') AS role, coalesce(text,'') AS text FROM conversations
  UNION ALL SELECT -7, 0, 'user', '\\\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\\\### Assistant: </turn> ok'),
