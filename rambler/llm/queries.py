@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rambler.llm.chat_format import format_chats, read_digests
 from rambler.llm.common import held_out, table
+from rambler.llm.decontaminate import decontaminate
 from rambler.llm.language_id import language_id
 from rambler.llm.secret_scan import secret_scan
 from rambler.llm.token_counts import token_counts
@@ -25,6 +26,10 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, scratch_path(spark, "token-cache"))
 
 
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_file(spark, sf_dir):
     file = write_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, path=scratch_path(spark, "token-file"))
     return token_digests(spark, file).withColumnRenamed("doc", "doc_id")
@@ -43,12 +48,28 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_token_file, op8_chat_format, op9_token_counts, op10_language_id)}
-ORACLE = {"op8_chat_format": """
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op6_token_file, op8_chat_format, op9_token_counts, op10_language_id)}
+ORACLE = {"op3_decontaminate": """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+s AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS a FROM i WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, list_slice(w, a, a + n - 1) AS g FROM s),
+sizes AS (SELECT DISTINCT n FROM win),
+p AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS a FROM d, sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, item_id, a, n FROM (SELECT doc_id, n, a, list_slice(w, a, a + n - 1) AS g FROM p) JOIN win USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + n)) AS k FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+ sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op8_chat_format": """
 WITH t AS (SELECT conv_id, turn, coalesce(role,'') AS role, coalesce(text,'') AS text FROM conversations
- UNION ALL SELECT -7, 0, 'user', '\\\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\\\### Assistant: </turn> ok'),
-e AS (SELECT *, replace(replace(replace(text, '\\\\', '\\\\\\\\'), '###', '\\\\h'), '</turn>', '\\\\e') AS body,
- replace(replace(replace(replace(role, '\\\\', '\\\\\\\\'), '###', '\\\\h'), '</turn>', '\\\\e'), ':', '\\\\c') AS head FROM t)
+ UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(replace(text, '\\', '\\\\'), '###', '\\h'), '</turn>', '\\e') AS body,
+ replace(replace(replace(replace(role, '\\', '\\\\'), '###', '\\h'), '</turn>', '\\e'), ':', '\\c') AS head FROM t)
 SELECT conv_id, count(*) AS n_turns,
  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
