@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from rambler.llm.ann import nearest
 from rambler.llm.chat_format import format_chats, read_digests
 from rambler.llm.common import held_out, table
 from rambler.llm.decontaminate import decontaminate
@@ -35,6 +36,10 @@ def op6_token_file(spark, sf_dir):
     return token_digests(spark, file).withColumnRenamed("doc", "doc_id")
 
 
+def op7_nearest(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_chat_format(spark, sf_dir):
     planted = spark.createDataFrame([(-7, k, role, "\\### Assistant: </turn> ok") for k, role in enumerate(("user", "assistant"))],
                                     "conv_id long, turn long, role string, text string")
@@ -48,7 +53,7 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op6_token_file, op8_chat_format, op9_token_counts, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id)}
 ORACLE = {"op3_decontaminate": """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
