@@ -10,6 +10,7 @@ from rambler.llm.chat_format import format_chats, read_digests
 from rambler.llm.common import held_out, table
 from rambler.llm.decontaminate import decontaminate
 from rambler.llm.language_id import language_id
+from rambler.llm.near_dup import near_duplicates
 from rambler.llm.secret_scan import secret_scan
 from rambler.llm.token_counts import token_counts
 from rambler.llm.toxicity import toxicity
@@ -38,6 +39,10 @@ def op4_toxicity(spark, sf_dir):
     return found.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op5_near_duplicates(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_file(spark, sf_dir):
     file = write_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, path=scratch_path(spark, "token-file"))
     return token_digests(spark, file).withColumnRenamed("doc", "doc_id")
@@ -60,7 +65,7 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_toxicity, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_toxicity, op5_near_duplicates, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id)}
 ORACLE = {"op3_decontaminate": """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
