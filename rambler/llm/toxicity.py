@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-BEGINNINGS = (3, 4, 5, 6)  # letters (bytes) of a word's beginning that make a feature
+BEGINNINGS = (4, 5, 6)  # letters (bytes) of a word's beginning that make a feature
 N_FEATURES = len(BEGINNINGS) + 1
 
 
