@@ -12,11 +12,13 @@ from rambler.llm.decontaminate import decontaminate
 from rambler.llm.language_id import language_id
 from rambler.llm.near_dup import near_duplicates
 from rambler.llm.secret_scan import secret_scan
+from rambler.llm.sentencepiece_lattice import decode, encode, read_pieces
 from rambler.llm.token_counts import token_counts
 from rambler.llm.toxicity import toxicity
 from rambler.llm.token_file import read_digests as token_digests, write_tokens
 from rambler.session import materialize, scratch_path
 
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -29,6 +31,14 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, scratch_path(spark, "token-cache"))
 
 
+def op2_sentencepiece(spark, sf_dir):
+    pieces = read_pieces(PIECE_BPE)
+    encoded = encode(table(spark, sf_dir, "documents"), pieces, keep_text=True)
+    return decode(encoded, pieces).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op3_decontaminate(spark, sf_dir):
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,7 +75,7 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_decontaminate, op4_toxicity, op5_near_duplicates, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_sentencepiece, op3_decontaminate, op4_toxicity, op5_near_duplicates, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id)}
 ORACLE = {"op3_decontaminate": """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
