@@ -13,8 +13,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rambler.llm.common import texts
-from rambler.llm.contents import work_on_unseen
+from rambler.llm.common import digest, texts
+from rambler.llm.contents import known, work_on_unseen
 
 # Kind, pattern, the group whose length counts, and the least length of a finding.
 # Kinds are listed in the order in which findings that start together are reported.
@@ -65,11 +65,33 @@ def secret_scan(versions: DataFrame, ledger: str, id_col: str = "doc_id", text_c
     return got.select(F.col("doc").alias(id_col), "n_assign", "n_access", "n_hex", "spans")
 
 
-def redact(text: str, mark: str = "[SECRET]") -> str:
-    """``text`` with every finding replaced; findings that overlap become one mark."""
+def redact(text: str, spans: str, mark: str = "[SECRET]") -> str:
+    """``text`` with every span of ``spans`` replaced; spans that overlap become one mark."""
     out, at = [], 0
-    for a, _, b in find_secrets(text):
+    for span in spans.split(","):
+        a, b = map(int, span.split(":")[1:])
         if a >= at:
             out += [text[at:a], mark]
         at = max(at, b)
     return "".join(out) + text[at:]
+
+
+def redactions(versions: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``versions`` with all its columns, every secret in ``text_col`` replaced.
+
+    The scan goes through the ledger; texts with findings meet them by their digest.  Null texts stay null.
+    """
+    spark = versions.sparkSession
+    secret_scan(versions, ledger, id_col, text_col)  # fills the ledger
+    found = known(spark, ledger, rule_version(), FINDINGS).filter("spans != ''")
+    found = found.select(F.col("digest").alias("__digest"), F.col("spans").alias("__spans"))
+    joined = versions.withColumn("__own", digest(F.col(text_col))).join(found, F.col("__own") == F.col("__digest"), "left")
+    names = versions.columns
+
+    def replace(it):
+        for b in it:
+            texts, spans = b.column(text_col).to_pylist(), b.column("__spans").to_pylist()
+            new = pa.array([redact(t, s) if s else t for t, s in zip(texts, spans)], b.column(text_col).type)
+            yield pa.record_batch([new if c == text_col else b.column(c) for c in names], names=names)
+
+    return joined.drop("__own", "__digest").mapInArrow(replace, versions.schema)

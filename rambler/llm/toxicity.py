@@ -188,6 +188,34 @@ def fit(docs: DataFrame, labels: DataFrame, training, s: Settings, id_col: str =
     return sorted((bytes(r["buckets"]), bytes(r["weights"]), r["scale"], r["shift"]) for r in found)  # at most members * 2 ** bits weights
 
 
+def _open(models: list, bits: int) -> list:
+    opened = []
+    for buckets, weights, scale, shift in models:
+        table = np.zeros(1 << bits, np.float32)
+        table[np.frombuffer(buckets, "<i4")] = np.frombuffer(weights, "<f4")
+        opened.append((table, scale, shift))
+    return opened
+
+
+def _score(texts: pa.Array, models: list, bits: int) -> np.ndarray:
+    found = [probabilities([t or "" for t in texts.slice(a, 128).to_pylist()], models, bits) for a in range(0, len(texts), 128)]
+    return np.concatenate([np.zeros(0), *found])
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, training: Column, settings: Settings = Settings(), threshold: float = 0.7,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose score is below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, training, settings, id_col, text_col))
+    bits = settings.bits
+
+    def clean(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = _open(shared.value, bits)
+        for b in it:
+            yield b.filter(pa.array(_score(b.column(text_col), models, bits) < threshold))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, training: Column, settings: Settings = Settings(), threshold: float = 0.7,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score, predicted)``, one row for each row of ``docs``; ``predicted`` is score >= threshold.
@@ -202,16 +230,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, training: Column, settings: Set
     bits = settings.bits
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = []
-        for buckets, weights, scale, shift in shared.value:
-            table = np.zeros(1 << bits, np.float32)
-            table[np.frombuffer(buckets, "<i4")] = np.frombuffer(weights, "<f4")
-            models.append((table, scale, shift))
+        models = _open(shared.value, bits)
         for b in it:
-            found = [np.zeros(0)]
-            for a in range(0, b.num_rows, 128):
-                found.append(probabilities(b.column("text").slice(a, 128).to_pylist(), models, bits))
-            yield pa.record_batch([b.column("doc"), pa.array(np.concatenate(found))], names=["doc", "score"])
+            yield pa.record_batch([b.column("doc"), pa.array(_score(b.column("text"), models, bits))], names=["doc", "score"])
 
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
