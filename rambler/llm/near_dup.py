@@ -4,7 +4,7 @@ Texts are sets of word shingles; two are linked if their Jaccard similarity is a
 
 1. Signatures.  Equal sets become one class, so copies cost nothing from here on.
 2. Candidates.  Classes that agree in all rows of a band share a bucket.  A bucket's members are paired
-   with its smallest member only, never with each other.
+   with one member only, the one that shares most buckets, never with each other.
 3. Pruning.  Candidates' sketches (8 bits of independent minima) are compared batch by batch; a pair is
    dropped once the posterior probability that its similarity reaches the threshold, given the matches
    so far, is below ``miss``.
@@ -158,27 +158,37 @@ def _tokens(s: Settings):
     return explode
 
 
-def rest_pairs(texts: DataFrame, component: DataFrame, s: Settings) -> DataFrame:
-    """All pairs ``(a, b)`` of different components that can be similar.  ``texts``: the classes to search."""
+def prefixes(texts: DataFrame, s: Settings) -> DataFrame:
+    """``(token, cls, n, place)``: the rarest tokens of each class that any similar set must share one of.
+
+    ``texts``: the classes to search.  ``place`` counts a class's tokens from the rarest, from 0.
+    """
     rows = texts.mapInArrow(_tokens(s), "cls long, token long, n long")
     # a token of one class only is among the rarest but pairs nothing: it is counted, not kept
     rows = rows.withColumn("freq", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("freq > 1")
     of_class = Window.partitionBy("cls")
     place = F.col("n") - F.count(F.lit(1)).over(of_class) + F.row_number().over(of_class.orderBy("freq", "token")) - 1
     rows = rows.withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * s.percent / 100))
-    rows = rows.join(component, F.col("cls") == F.col("vertex"), "left").withColumn("comp", F.coalesce("component", "cls"))
-    rows = materialize(rows.select("token", "cls", "n", "place", "comp"), "prefixes")
+    return rows.select("token", "cls", "n", "place")
+
 
+def rest_pairs(prefixes: DataFrame, component: DataFrame, s: Settings) -> DataFrame:
+    """All pairs ``(a, b)`` of different components that share a prefix token and can be similar.
+
+    Of each token's classes those outside its largest component are paired with those of others.
+    """
+    rows = prefixes.join(component, F.col("cls") == F.col("vertex"), "left").select(
+        "token", "cls", "n", "place", F.coalesce("component", "cls").alias("comp"))
     sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-    mixed = rows.join(largest.select("token", F.col("top.comp").alias("main")), "token")
+    largest = (sizes.groupBy("token").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
+               .filter("comps > 1").select("token", F.col("top.comp").alias("main")))
+    mixed = rows.join(largest, "token")
     side = lambda x: mixed.select("token", "main", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "place", "comp")])
     left, right = side("a").filter("comp_a != main").drop("main"), side("b").drop("main")
-    both = F.col("n_a") + F.col("n_b")
-    enough = F.ceil(both * s.percent / (100 + s.percent))  # shared tokens that this similarity takes
-    after = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1
+    enough = F.ceil((F.col("n_a") + F.col("n_b")) * s.percent / (100 + s.percent))  # shared tokens that this similarity takes
+    left_over = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     similar_sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * s.percent
-    on = [left["token"] == right["token"], F.col("comp_a") != F.col("comp_b"), similar_sizes, after >= enough]
+    on = [left["token"] == right["token"], F.col("comp_a") != F.col("comp_b"), similar_sizes, left_over >= enough]
     return left.join(right, on).select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
 
 
@@ -199,22 +209,29 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     classes = materialize(classes, "classes")
 
     buckets = classes.select("cls", "keys").mapInArrow(_bucket_rows, "key long, cls long")
-    shared = buckets.groupBy("key").agg(F.min("cls").alias("center"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialize(buckets.join(shared.select("key", "center"), "key"), "buckets")
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialize(buckets.join(shared, "key"), "buckets")
+    # an original meets its copies more often than they meet each other
+    meetings = members.groupBy("cls").agg(F.sum("size").alias("meetings"))
+    centers = (members.join(meetings, "cls").groupBy("key")
+               .agg(F.max(F.struct("meetings", "cls")).alias("top")).select("key", F.col("top.cls").alias("center")))
 
     wanted = members.select("cls").distinct().join(classes.select("cls", "doc", "digest"), "cls")
     found = rows.join(wanted.withColumnRenamed("doc", "first_doc"), F.col("doc").eqNullSafe(F.col("first_doc"))).select("cls", "digest", "text")
     texts = materialize(found.mapInArrow(_own_text(s), "cls long, text string").dropDuplicates(["cls"]), "texts")
 
-    pairs = members.filter("cls != center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
+    pairs = (members.join(centers, "key").filter("cls != center")
+             .select(F.least("center", "cls").alias("a"), F.greatest("center", "cls").alias("b")).distinct())
+    pairs = materialize(pairs, "stars")
     links = materialize(verify(materialize(prune(pairs, classes, s), "pairs"), texts, s), "links")
     component = components(links)
 
     of_member = members.join(component, F.col("cls") == F.col("vertex"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
     unsettled = of_member.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
     open_ = of_member.join(unsettled, "key").select("cls").distinct()
-    more = rest_pairs(texts.join(open_, "cls"), component, s).join(pairs, ["a", "b"], "left_anti")
-    more_links = materialize(verify(materialize(prune(more, classes, s), "more-pairs"), texts, s), "more-links")
+    rest = materialize(prefixes(texts.join(open_, "cls"), s), "prefixes")
+    more = rest_pairs(rest, component, s).join(pairs, ["a", "b"], "left_anti")
+    more_links = materialize(verify(materialize(prune(more, classes, s), "rest-pairs"), texts, s), "rest-links")
     if not more_links.isEmpty():
         component = components(component.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(more_links))
 
