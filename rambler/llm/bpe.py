@@ -16,6 +16,8 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from rambler.llm.common import worker_cache
+
 _LETTER, _DIGIT, _SPACE, _BREAK, _OTHER = 1, 2, 3, 4, 5  # 0: goes to the library
 
 
@@ -235,11 +237,9 @@ def _gather(pool: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.nda
     return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - lengths), lengths)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The encoder of this Python worker for ``path``; later tasks of the worker use its words again."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    cache, key = worker_cache(), f"words {path}"
+    if key not in cache:
+        cache[key] = WordEncoder(path)
+    return cache[key]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -35,3 +37,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there, asked of the file system that Spark would use for it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def worker_cache() -> dict:
+    """A dictionary of this Python worker that outlives its tasks.
+
+    Functions reach workers by value, their module's variables with them, so a variable would be
+    new in every task.
+    """
+    return sys.modules.setdefault("_rambler_worker_cache", ModuleType("_rambler_worker_cache")).__dict__

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rambler.llm.common import worker_cache
+
 UND = "und"
 
 
@@ -24,6 +26,7 @@ class Profiles:
 
     def __init__(self, dim: int, n: int, seed: int, max_grams: int = 16_384):
         self.dim, self.n, self.seed, self.max_grams = dim, n, seed, max_grams
+        self.is_letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
         self.letters: dict[int, np.ndarray] = {}
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros((0, dim), np.int8)
 
@@ -44,7 +47,7 @@ class Profiles:
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams of a text as numbers, and how often each occurs; none without a letter."""
         codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = np.where(_IS_LETTER[codes], codes, 0)
+        codes = np.where(self.is_letter[codes], codes, 0)
         codes = codes[np.r_[True, (codes[1:] != 0) | (codes[:-1] != 0)]].astype(np.uint64)
         if len(codes) < self.n:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -76,14 +79,14 @@ class Profiles:
         return self.rows[place].astype(np.float32)
 
 
-_IS_LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-_PROFILES: dict[tuple[int, int, int], Profiles] = {}
 
 
 def _profiles(*setting: int) -> Profiles:
-    if setting not in _PROFILES:
-        _PROFILES[setting] = Profiles(*setting)
-    return _PROFILES[setting]
+    """The bound vectors that this Python worker keeps between tasks."""
+    cache, key = worker_cache(), f"profiles {setting}"
+    if key not in cache:
+        cache[key] = Profiles(*setting)
+    return cache[key]
 
 
 def prototypes(docs: DataFrame, training: Column, dim: int, n: int, seed: int,
