@@ -6,8 +6,7 @@ Layout
 ``functions``  column expressions (phone normalisation, vector maths, keyed draws)
 ``operators``  relational operators: pair building, degree filters, ids,
                graph building, samplers, the random walk, embeddings, similarity
-``plans``      end-to-end jobs (randomwalk, embedding, node2vec)
-``streaming``  intentionally empty: the modelled system has no streaming
+``plans``      end-to-end jobs (walk, embedding, node2vec)
 """
 
 import sys as _sys

@@ -7,10 +7,6 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_double_array(c: Column | str) -> Column:
-    return _c(c).cast("array<double>")
-
-
 def dot(x: Column | str, y: Column | str) -> Column:
     """Σ xᵢ·yᵢ as a sequential fold (null if the sizes differ)."""
     return F.aggregate(F.zip_with(_c(x), _c(y), lambda a, b: a * b), F.lit(0.0).cast("double"),

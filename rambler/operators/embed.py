@@ -15,10 +15,24 @@ def path_tokens(paths: DataFrame, col: str = "path") -> DataFrame:
 
 
 def fit_word2vec(tokens: DataFrame, params: Word2VecParams, col: str = "tokens") -> Word2VecModel:
-    """Skip-gram with every parameter set explicitly."""
+    """Skip-gram with every parameter set explicitly.
+
+    Training runs on ``params.partitions`` partitions (by default as many as the session can
+    run at once) and on whole sentences.  Spark ML keeps the vocabulary's vectors on the driver:
+    their size is computed first, and more than ``max_vocabulary_bytes`` is an error.
+    """
+    sizes = (tokens.select(F.size(col).alias("n"), F.explode_outer(col).alias("word")).groupBy("word")
+             .agg(F.count(F.lit(1)).alias("count"), F.max("n").alias("n"))
+             .agg(F.count_if((F.col("count") >= params.min_count) & F.col("word").isNotNull()).alias("words"), F.max("n").alias("longest"))
+             .first())
+    held = sizes["words"] * params.dim * 4 * 2      # two float matrices
+    if held > params.max_vocabulary_bytes:
+        raise ValueError(f"{sizes['words']} words of {params.dim} dimensions take {held} bytes on the driver; "
+                         f"max_vocabulary_bytes is {params.max_vocabulary_bytes}")
     w2v = Word2Vec(vectorSize=params.dim, windowSize=params.window, stepSize=params.lr,
-                   maxIter=params.iterations, numPartitions=params.partitions, minCount=params.min_count,
-                   seed=params.seed, maxSentenceLength=params.max_sentence_length,
+                   maxIter=params.iterations, minCount=params.min_count, seed=params.seed,
+                   numPartitions=params.partitions or tokens.sparkSession.sparkContext.defaultParallelism,
+                   maxSentenceLength=params.max_sentence_length or max(1, sizes["longest"] or 1),
                    inputCol=col, outputCol="_w2v_out")
     return w2v.fit(tokens)
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rambler.functions.draws import draw
-from rambler.operators.ordering import global_rank
+from rambler.functions.weights import from_units, weight_units
+from rambler.operators.ordering import global_rank, segmented_cumsum
 
 
 # ---------------------------------------------------------------- degrees
@@ -95,23 +96,31 @@ def graph_vertices(edges: DataFrame, directed: bool) -> DataFrame:
 
 
 def merge_parallel(edges: DataFrame) -> DataFrame:
-    """Parallel edges summed into one ``(src, dst)`` row; a pick among copies is a pick of the sum."""
-    return edges.groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    """Parallel edges summed (exactly) into one ``(src, dst)`` row; a pick among copies is a pick of the sum."""
+    return edges.groupBy("src", "dst").agg(from_units(F.sum(weight_units("w"))).alias("w"))
 
 
-def adjacency(edges: DataFrame, block_size: int = 1024) -> DataFrame:
-    """``(src, block, nbrs ARRAY<STRUCT<dst, w>>)`` sorted by ``dst``, parallel edges kept.
+def adjacency(edges: DataFrame, vertices: DataFrame | None = None, block_size: int = 1024) -> DataFrame:
+    """``(src, block, nbrs ARRAY<STRUCT<dst, w>>)``, parallel edges kept.
 
-    A vertex's list is cut into ``ceil(degree / block_size)`` blocks by a hash of ``dst``,
-    so no group holds more than about ``block_size`` entries however large the hub.
+    A vertex's list, ordered by ``(dst, w)``, is cut into blocks of ``block_size`` entries
+    (block 0 has the first ones), so the blocks in order are the list, and no group holds
+    more than one block however large the hub.  A vertex of ``vertices`` (v) without an edge
+    (a sink) has one empty block.
     """
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    nblocks = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(block_size))).cast("bigint")
-    h = F.conv(F.substring(F.md5(F.col("dst").cast("string")), 1, 8), 16, 10).cast("bigint")
-    return (edges.join(deg, "src")
-            .withColumn("block", F.pmod(h, nblocks))
-            .groupBy("src", "block")
-            .agg(F.array_sort(F.collect_list(F.struct("dst", "w"))).alias("nbrs")))
+    # equal entries are counted, so that places are sums over unique rows
+    entries = edges.groupBy("src", "dst", "w").agg(F.count(F.lit(1)).alias("_m"))
+    placed = segmented_cumsum(entries, "src", ["dst", "w"], "_m", before="_first", after="_last")
+    first, last = F.floor(F.col("_first") / block_size), F.floor((F.col("_last") - 1) / block_size)
+    blocks = placed.withColumn("block", F.explode(F.sequence(first, last)))
+    inside = F.least("_last", (F.col("block") + 1) * block_size) - F.greatest("_first", F.col("block") * block_size)
+    found = (blocks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), inside)))
+             .groupBy("src", "block").agg(F.array_sort(F.collect_list(F.struct("dst", "w"))).alias("nbrs")))
+    if vertices is None:
+        return found
+    none = F.array().cast(found.schema["nbrs"].dataType)
+    return (vertices.select(F.col("v").alias("src")).join(found, "src", "left")
+            .select("src", F.coalesce("block", F.lit(0).cast("bigint")).alias("block"), F.coalesce("nbrs", none).alias("nbrs")))
 
 
 def graph_stats(edges: DataFrame, directed: bool) -> DataFrame:
@@ -159,10 +168,9 @@ def replication_factor(parted: DataFrame) -> DataFrame:
 
 
 def vertex_replicas(parted: DataFrame) -> DataFrame:
-    """One copy of a vertex per part it touches, with its full degree."""
-    vp = parted.select(F.col("src").alias("v"), "part").distinct()
-    deg = parted.groupBy(F.col("src").alias("v")).agg(F.count(F.lit(1)).alias("degree"))
-    return vp.join(deg, "v").select("part", "v", "degree")
+    """``(part, v, dst, w)``: every part that a vertex touches has a copy of all its neighbours."""
+    copies = parted.select(F.col("src").alias("v"), "part").distinct()
+    return copies.join(parted.select(F.col("src").alias("v"), "dst", "w"), "v").select("part", "v", "dst", "w")
 
 
 def neighbors_of(edges: DataFrame, vertices: DataFrame) -> DataFrame:

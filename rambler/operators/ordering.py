@@ -17,16 +17,26 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rambler.functions.weights import from_units, weight_units
 
-def _partitions(df: DataFrame, partitions: int | None) -> int | None:
-    return partitions
+
+PARTITION_BYTES = 128 << 20
 
 
 def _sorted(df: DataFrame, cols: list[str], n: int | None) -> DataFrame:
-    """Range-partition (``n`` partitions, or as many as AQE's advisory size gives — adjacent
-    ranges are merged, so partitions stay ordered), sort, and checkpoint."""
-    from rambler.session import ensure_checkpoint_dir, reliable_checkpoint
-    ensure_checkpoint_dir(df.sparkSession)
+    """Range-partition, sort, and checkpoint.
+
+    The rows are written first: range bounds are sampled from that table, not by running the plan
+    once more, and its size on disk tells how many partitions it needs (``n`` overrides).  If the
+    session's number is enough, AQE merges adjacent small ranges, so partitions stay ordered.
+    """
+    from rambler.session import ensure_checkpoint_dir, materialize, reliable_checkpoint
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    df = materialize(df, "unsorted")
+    wanted = -(-int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // PARTITION_BYTES)
+    if not n and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        n = wanted
     ranged = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
     # The partition index is stored as data: a task's own index differs from it when the
     # scan is one branch of a union, or after partitions are coalesced.
@@ -40,68 +50,86 @@ def _summary_schema(fields: list[T.StructField]) -> T.StructType:
     return T.StructType([T.StructField("pid", T.IntegerType(), False)] + fields)
 
 
-def _segment_sums(keys: pd.Series, vals: pd.Series, last_key, carry: float):
-    """Sequential running sums per run of equal keys, continuing ``carry`` for ``last_key``."""
-    seg = (keys != keys.shift()).cumsum().to_numpy()
-    cum = vals.groupby(seg, sort=False).cumsum().to_numpy(copy=True)
-    if last_key is not None and keys.iloc[0] == last_key:
-        first = seg == seg[0]
-        cum[first] = cum[first] + carry
-    return cum
+def _segment_sums(pdf: pd.DataFrame, keys: list[str], value: str, last_key, carry: int):
+    """Running sums per run of equal keys, continuing ``carry`` for ``last_key``; int64, so exact."""
+    new = np.zeros(len(pdf), dtype=bool)
+    for c in keys:
+        new |= (pdf[c] != pdf[c].shift()).to_numpy()
+    seg = new.cumsum()
+    vals = pdf[value].to_numpy(dtype="int64")
+    run = np.cumsum(vals)
+    starts = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
+    cum = run - np.repeat((run - vals)[starts], np.diff(np.r_[starts, len(vals)]))
+    if last_key is not None and _gkey(pdf, keys, 0) == last_key:
+        cum[seg == seg[0]] += carry
+    return cum, vals
 
 
-def segmented_cumsum(df: DataFrame, key: str, order: list[str], value: str,
+def segmented_cumsum(df: DataFrame, key: str | list[str], order: list[str], value: str,
                      before: str = "cum_before", after: str = "cum_after",
                      partitions: int | None = None) -> DataFrame:
     """Running sum of ``value`` within each ``key`` in ``order``.
 
-    Adds ``before`` (sum of the earlier rows of the key) and ``after`` (including the row).
-    ``(key, *order)`` must be unique.
+    Adds ``before`` (sum of the earlier rows of the key) and ``after`` (including the row), both
+    exact, so a row's ``before`` is the previous row's ``after`` whatever the partitions: integers
+    are summed as they are, other numbers as whole units of 1e-8 (null: 0).
+    ``(*key, *order)`` must be unique, keys must not be null, and a key's sum must fit a 64-bit integer.
     """
-    n = _partitions(df, partitions)
-    s = _sorted(df, [key, *order], n)
-    key_type = df.schema[key].dataType
+    keys = [key] if isinstance(key, str) else list(key)
+    if not isinstance(df.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        units = segmented_cumsum(df.withColumn("_units", weight_units(value)), keys, order, "_units", before, after, partitions)
+        return units.withColumns({before: from_units(before), after: from_units(after)}).drop("_units")
+    s = _sorted(df, [*keys, *order], partitions)
+
+    def checked(pdf):
+        if pdf[[*keys, value]].isna().any(axis=None):
+            raise ValueError("segmented_cumsum: null key or value")
+        return pdf
 
     def summarise(batches):
         first_key = last_key = pid = None
-        carry = 0.0
+        carry, size = 0, 0.0
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys, vals = pdf[key], pdf[value].astype("float64").fillna(0.0)
             if first_key is None:
-                first_key, pid = keys.iloc[0], int(pdf[_PID].iloc[0])
-            cum = _segment_sums(keys, vals, last_key, carry)
-            last_key, carry = keys.iloc[-1], float(cum[-1])
+                first_key, pid = _gkey(checked(pdf), keys, 0), int(pdf[_PID].iloc[0])
+            cum, vals = _segment_sums(checked(pdf), keys, value, last_key, carry)
+            size += float(np.abs(vals.astype("float64")).sum())
+            last_key, carry = _gkey(pdf, keys, len(pdf) - 1), int(cum[-1])
         if first_key is not None:
-            yield pd.DataFrame({"pid": [pid], "fk": [first_key], "lk": [last_key], "lt": [carry]})
+            yield pd.DataFrame({"pid": [pid], "fk": [first_key], "lk": [last_key], "lt": [carry], "size": [size]})
 
     summary = s.mapInPandas(summarise, _summary_schema([
-        T.StructField("fk", key_type), T.StructField("lk", key_type),
-        T.StructField("lt", T.DoubleType())])).collect()
-    carry_in, chain_key, chain_total = {}, None, 0.0
+        T.StructField("fk", T.StringType()), T.StructField("lk", T.StringType()),
+        T.StructField("lt", T.LongType()), T.StructField("size", T.DoubleType())])).collect()
+    carry_in, chain_key, chain_total, chain_size = {}, None, 0, 0.0
     for r in sorted(summary, key=lambda r: r.pid):
-        cin = chain_total if (chain_key is not None and r.fk == chain_key) else 0.0
+        chained = chain_key is not None and r.fk == chain_key
+        cin = chain_total if chained else 0
+        chain_size = r["size"] + (chain_size if chained else 0.0)   # bounds every sum of the chain
+        if chain_size >= 2.0 ** 63:
+            raise OverflowError(f"segmented_cumsum: the sums of {value} may not fit 64 bits")
         carry_in[r.pid] = (r.fk, cin)
         chain_key, chain_total = r.lk, (cin + r.lt) if r.fk == r.lk else r.lt
 
     out_schema = T.StructType(list(df.schema.fields) + [
-        T.StructField(before, T.DoubleType(), False), T.StructField(after, T.DoubleType(), False)])
+        T.StructField(before, T.LongType(), False), T.StructField(after, T.LongType(), False)])
+    carry_in = df.sparkSession.sparkContext.broadcast(carry_in)     # one entry per partition
 
     def scan(batches):
-        last_key, carry = None, 0.0
+        last_key, carry = None, 0
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys, vals = pdf[key], pdf[value].astype("float64").fillna(0.0)
             if last_key is None:
-                fk, cin = carry_in.get(int(pdf[_PID].iloc[0]), (None, 0.0))
-                if keys.iloc[0] != fk:
+                fk, cin = carry_in.value.get(int(pdf[_PID].iloc[0]), (None, 0))
+                if _gkey(pdf, keys, 0) != fk:
                     raise RuntimeError("segmented_cumsum: partition contents changed between passes")
                 last_key, carry = fk, cin
-            cum = _segment_sums(keys, vals, last_key, carry)
-            last_key, carry = keys.iloc[-1], float(cum[-1])
-            yield pdf.drop(columns=[_PID]).assign(**{before: cum - vals.to_numpy(), after: cum})
+            cum, vals = _segment_sums(pdf, keys, value, last_key, carry)
+            last_key, carry = _gkey(pdf, keys, len(pdf) - 1), int(cum[-1])
+            yield pdf.drop(columns=[_PID]).assign(**{before: cum - vals, after: cum})
 
     return s.mapInPandas(scan, out_schema)
 
@@ -109,8 +137,7 @@ def segmented_cumsum(df: DataFrame, key: str, order: list[str], value: str,
 def global_rank(df: DataFrame, order: list[str], name: str = "rank",
                 partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (must be unique); no single-task window."""
-    n = _partitions(df, partitions)
-    s = _sorted(df, order, n)
+    s = _sorted(df, order, partitions)
 
     def count(batches):
         c, pid = 0, None
@@ -127,6 +154,7 @@ def global_rank(df: DataFrame, order: list[str], name: str = "rank",
         acc += r.n
 
     out_schema = T.StructType(list(df.schema.fields) + [T.StructField(name, T.LongType(), False)])
+    offsets = df.sparkSession.sparkContext.broadcast(offsets)
 
     def scan(batches):
         start = expect = None
@@ -135,7 +163,7 @@ def global_rank(df: DataFrame, order: list[str], name: str = "rank",
             if pdf.empty:
                 continue
             if start is None:
-                start, expect = offsets.get(int(pdf[_PID].iloc[0]), (0, -1))
+                start, expect = offsets.value.get(int(pdf[_PID].iloc[0]), (0, -1))
             yield pdf.drop(columns=[_PID]).assign(**{name: np.arange(start + seen, start + seen + len(pdf), dtype="int64")})
             seen += len(pdf)
         if start is not None and seen != expect:
@@ -151,8 +179,7 @@ def ordered_lead(df: DataFrame, group: list[str], order: list[str], value: str,
     ``(*group, *order)`` must be unique.  The last row of a partition takes its successor
     from the first row of the next non-empty partition.
     """
-    n = _partitions(df, partitions)
-    s = _sorted(df, [*group, *order], n)
+    s = _sorted(df, [*group, *order], partitions)
     vtype = df.schema[value].dataType
 
     def heads(batches):
@@ -167,7 +194,7 @@ def ordered_lead(df: DataFrame, group: list[str], order: list[str], value: str,
     hs = sorted(s.mapInPandas(heads, _summary_schema([T.StructField("g", T.StringType()),
                                                       T.StructField("v", vtype)])).collect(),
                 key=lambda r: r.pid)
-    successor = {a.pid: (b.g, b.v) for a, b in zip(hs, hs[1:])}
+    successor = df.sparkSession.sparkContext.broadcast({a.pid: (b.g, b.v) for a, b in zip(hs, hs[1:])})
     out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out, vtype, True)])
 
     def scan(batches):
@@ -178,7 +205,7 @@ def ordered_lead(df: DataFrame, group: list[str], order: list[str], value: str,
                 continue
             pdf = pdf.drop(columns=[_PID]) if held is not None or _PID not in pdf else _first(pdf)
             if held is None and nxt_g is None:
-                nxt_g, nxt_v = successor.get(pdf.attrs["pid"], (None, None))
+                nxt_g, nxt_v = successor.value.get(pdf.attrs["pid"], (None, None))
             if held is not None:
                 pdf = pd.concat([held, pdf], ignore_index=True)
             held = pdf.iloc[[-1]].reset_index(drop=True)

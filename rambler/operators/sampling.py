@@ -1,54 +1,39 @@
 """Samplers over candidate tables (one row per walker × neighbour).
 
-These are the modelled system's inverse-CDF samplers, kept bit-for-bit: for a draw
-``u`` the pick is the first neighbour (in ``dst`` order) whose running weight reaches
-``u × total``; if rounding leaves none, the first neighbour.  They read every neighbour
-of the walker's vertex, so the walk uses them only in ``sampler="cdf"`` mode; the
-default walk samples the same distribution through ``rambler.operators.walk``'s
-bucketed index without reading the list.
-
-Two plans compute the running weight:
-
-* ``method="scan"`` (default): a range-partitioned segmented scan over
-  ``(walker, dst)``, then partial aggregations.  A walker standing on a hub has its
-  candidate rows spread over as many tasks as their size needs.
-* ``method="window"``: one window per walker.  Fewer jobs, but a walker's whole
-  candidate list is one group in one task; use it only where the degree is capped.
+These are the modelled system's inverse-CDF samplers: for a draw ``u`` the pick is the
+first neighbour (in ``dst`` order) whose running weight reaches ``u × total``; if none
+does, the first neighbour.  They read every neighbour of the walker's vertex, so the
+walk uses them only in ``sampler="cdf"`` mode; the default walk samples the same
+distribution through ``rambler.operators.walk``'s bucketed index without reading the list.
+
+Weights are summed as whole units of 1e-8, so sums are exact and don't depend on the
+order or the partitions they are added in; they are compared as ``units / 1e8``.  The
+running weight is a range-partitioned segmented scan over ``(walker, dst)``, followed by
+partial aggregations: a walker standing on a hub has its candidate rows spread over as
+many tasks as their size needs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from rambler.functions.weights import from_units, weight_units
 from rambler.operators.ordering import segmented_cumsum
+from rambler.session import materialize
 
 
 def weighted_sample(cands: DataFrame, keys: list[str], u: str = "u", weight: str = "w",
-                    out: str = "next", method: str = "scan") -> DataFrame:
-    """``keys + [out]``; ``cands`` has ``keys``, ``dst``, ``weight`` and the walker's draw ``u``."""
-    if method == "scan":
-        return _weighted_sample_scan(cands, keys, u, weight, out)
-    if method != "window":
-        raise ValueError(f"unknown method {method!r}")
-    by = Window.partitionBy(*keys)
-    run = by.orderBy("dst").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    acc = cands.select(*keys, "dst", F.col(u).alias("_u"),
-                       F.sum(weight).over(run).alias("_acc"), F.sum(weight).over(by).alias("_tot"))
-    return (acc.groupBy(*keys)
-            .agg(F.coalesce(F.min(F.when(F.col("_acc") >= F.col("_u") * F.col("_tot"), F.col("dst"))),
-                            F.min("dst")).alias(out)))
+                    out: str = "next") -> DataFrame:
+    """``keys + [out]``; ``cands`` has ``keys``, ``dst``, ``weight`` and the walker's draw ``u``.
 
-
-def _weighted_sample_scan(cands: DataFrame, keys: list[str], u: str, weight: str, out: str) -> DataFrame:
-    wk = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    rows = cands.select(*keys, "dst", F.col(weight).cast("double").alias("_w"), F.col(u).alias("_u"),
-                        wk.alias("_wk"))
-    cum = segmented_cumsum(rows, "_wk", ["dst"], "_w", before="_cb", after="_acc")
-    tot = cum.groupBy("_wk").agg(F.max("_acc").alias("_tot"))          # the last running sum
-    return (cum.join(tot, "_wk")
-            .groupBy(*keys)
-            .agg(F.coalesce(F.min(F.when(F.col("_acc") >= F.col("_u") * F.col("_tot"), F.col("dst"))),
-                            F.min("dst")).alias(out)))
+    Keys must not be null.
+    """
+    rows = materialize(cands.select(*keys, "dst", weight_units(weight).alias("_w"), F.col(u).alias("_u")), "candidates")
+    cum = segmented_cumsum(rows, keys, ["dst"], "_w", before="_cb", after="_acc")
+    tot = rows.groupBy(*keys).agg(F.sum("_w").alias("_tot"))     # exact, so equal to the last running sum
+    reached = from_units("_acc") >= F.col("_u") * from_units("_tot")
+    return (cum.join(tot, keys).groupBy(*keys)
+            .agg(F.coalesce(F.min(F.when(reached, F.col("dst"))), F.min("dst")).alias(out)))
 
 
 def second_order_weights(cands: DataFrame, edge_keys: DataFrame, p: float, q: float,
@@ -69,7 +54,6 @@ def second_order_weights(cands: DataFrame, edge_keys: DataFrame, p: float, q: fl
 
 
 def second_order_sample(cands: DataFrame, edge_keys: DataFrame, keys: list[str], p: float, q: float,
-                        u: str = "u", out: str = "next", method: str = "scan") -> DataFrame:
+                        u: str = "u", out: str = "next") -> DataFrame:
     """W2 then W1."""
-    return weighted_sample(second_order_weights(cands, edge_keys, p, q), keys, u=u, weight="w2", out=out,
-                           method=method)
+    return weighted_sample(second_order_weights(cands, edge_keys, p, q), keys, u=u, weight="w2", out=out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rambler.functions.vectors import cosine
+from rambler.functions.vectors import cosine, dot, norm
 
 
 def vector_lookup(vectors: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
@@ -38,8 +38,12 @@ def top_n_similar(vectors: DataFrame, k: str, n: int, key: str = "key", digits:
     ``orderBy().limit()`` plans as a per-partition top-k merge, never a total sort.
     A zero vector's NaN cosine sorts above every number, as ``Double.compare`` orders it.
     """
-    withq = vectors.select(F.col(key), "vector", vector_of(vectors, k, key).alias("_q"))
-    c = cosine("_q", "vector")
+    q = vector_of(vectors, k, key)
+    # the query's norm is part of a one-row subquery, not folded again for every row
+    one = vectors.where(F.col(key) == F.lit(k)).select(norm("vector").alias("n")).scalar()
+    withq = vectors.select(F.col(key), "vector", q.alias("_q"), one.alias("_n"))
+    den = F.col("_n") * norm("vector")
+    c = F.when(den == 0, F.lit(float("nan"))).otherwise(dot("_q", "vector") / den)
     if digits is not None:
         c = F.round(c, digits)
     return (withq.select(F.col(key), c.alias("cos"), "vector")

@@ -1,10 +1,10 @@
 """Second-order (node2vec) random walks as a driver loop of DataFrame joins.
 
-State is one row per walker ``(rnd, v0, step, prev, cur, n, tot, tb)``: round, start
+State is one row per walker ``(rnd, v0, step, prev, cur, n, tot, copies, tb)``: round, start
 vertex, index of ``cur`` in the path, previous vertex, the current vertex with its
-out-degree ``n`` and weight total ``tot``, and the first trial number not yet used.
-Every step appends long-form rows ``(rnd, v0, step, vertex)``; paths are assembled once
-at the end, so paths are never shuffled per step.  Draws are keyed hashes of
+out-degree ``n``, weight total ``tot`` and number of ``copies`` in the index, and the first
+trial number not yet used.  Every step appends long-form rows ``(rnd, v0, step, vertex)``
+to a table; paths are assembled once at the end, so paths are never shuffled per step.  Draws are keyed hashes of
 ``(seed, rnd, v0, step, trial, slot)``: a recomputed partition walks identically.
 
 Two samplers give the same node2vec step distribution (weight ``w/p`` back to ``prev``,
@@ -14,17 +14,22 @@ Two samplers give the same node2vec step distribution (weight ``w/p`` back to ``
   accepted with probability ``f/max(f)``.  Each trial is an equi-join on
   ``(vertex, bucket)`` plus a point lookup of ``(prev, candidate)``, so the work per
   walker does not depend on the degree of the vertex it stands on and no group ever
-  holds a hub's neighbour list.  Trials of a walker are evaluated ``trials`` at a time;
+  holds a hub's neighbour list.  Only candidates whose draw lies between the two
+  acceptance bounds are looked up.  Trials of a walker are evaluated ``trials`` at a time;
   the first accepted trial wins, so the result does not depend on ``trials``.
 * ``"cdf"``: the modelled system's own draw: one ``u`` per step, scan of all
   neighbours with modified weights, first running share ``>= u``.  Its cost is the
   degree of the current vertex per walker; use it to reproduce that draw sequence.
 
 For ``p = q = 1`` and the first step both samplers make the same pick from the same draw.
+
+Running weights are sums of whole units (``rambler.functions.weights``): neighbouring
+intervals share their border exactly, so every draw falls into one interval, on any cluster.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -35,25 +40,19 @@ from rambler.operators.graph import merge_parallel, orient
 from rambler.operators.ordering import segmented_cumsum
 from rambler.operators.sampling import second_order_sample
 from rambler.params import WalkParams
-from rambler.session import ensure_checkpoint_dir, materialize
+from rambler.session import delete_scratch, ensure_checkpoint_dir, materialize, scratch_path, write_scratch
 
-WALKER_COLS = ["rnd", "v0", "step", "prev", "cur", "n", "tot", "tb"]
+WALKER_COLS = ["rnd", "v0", "step", "prev", "cur", "n", "tot", "copies", "tb"]
 
 
 @dataclass
 class WalkGraph:
     edges: DataFrame      # (src, dst, w): oriented, parallel edges merged
     keys: DataFrame       # (src, dst): membership lookups, hash-partitioned on both
-    vertices: DataFrame   # (v, n, tot): every vertex, sinks with n = 0
-    index: DataFrame      # (src, bucket, dst, cb, ca, first, nd, nt)
+    vertices: DataFrame   # (v, n, tot, copies): every vertex, sinks with n = 0
+    index: DataFrame      # (src, bucket, copy, dst, cb, ca, first, nd, nt, nc)
     directed: bool
 
-    def max_degree(self) -> int:
-        """Largest out-degree (one aggregate, computed once)."""
-        if getattr(self, "_max_degree", None) is None:
-            self._max_degree = int(self.vertices.agg(F.max("n")).collect()[0][0] or 0)
-        return self._max_degree
-
     def views(self) -> tuple[str, str]:
         """Temp-view names of ``index`` and ``keys`` (registered once per graph)."""
         if not getattr(self, "_views", None):
@@ -61,8 +60,12 @@ class WalkGraph:
         return self._views
 
     def unpersist(self) -> None:
+        """Release the caches and views; written walks don't need them."""
         for df in (self.keys, self.index):
             df.unpersist()
+        for name in getattr(self, "_views", None) or ():
+            self.index.sparkSession.catalog.dropTempView(name)
+        self._views = None
 
 
 def _bucket(t, n, tot):
@@ -72,6 +75,15 @@ def _bucket(t, n, tot):
 
 
 EDGES_PER_PARTITION = 2_000_000
+BUCKET_RUN = 1024         # buckets of an edge that are listed at once
+SHARES_PER_PARTITION = 4  # an index key expected to draw more than 1/4 of a partition's walkers is copied
+
+
+def _explode_buckets(e: DataFrame) -> DataFrame:
+    """A row per bucket from ``lo`` to ``hi``, through runs, so that no row holds a hub-sized array."""
+    runs = e.withColumn("_run", F.explode(F.sequence(F.floor(F.col("lo") / BUCKET_RUN), F.floor(F.col("hi") / BUCKET_RUN))))
+    first, last = F.col("_run") * BUCKET_RUN, F.col("_run") * BUCKET_RUN + (BUCKET_RUN - 1)
+    return runs.withColumn("bucket", F.explode(F.sequence(F.greatest("lo", first), F.least("hi", last)))).drop("_run", "lo", "hi")
 
 
 def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None = None,
@@ -79,8 +91,10 @@ def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None
     """Orient, merge parallel edges and build the sampling index.
 
     The per-vertex running weights come from a range-partitioned segmented scan, so a
-    hub's list is spread over as many tasks as its size needs.  With ``persist`` the
-    merged edges and the vertex table are written under the checkpoint directory, the
+    hub's list is spread over as many tasks as its size needs.  A vertex that many walkers
+    will stand on but that has few edges (so few index keys) is listed in several copies,
+    by its share of all weight coming in; walkers choose a copy by hash.  With ``persist``
+    the merged edges and the vertex table are written under the checkpoint directory, the
     running weights are cached while the index is built, and the index and the key
     table are cached hash-partitioned for the walk's joins.
     """
@@ -88,31 +102,33 @@ def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None
     # written tables (not caches): read back with size-based partitions, lineage cut
     merged = materialize(merge_parallel(orient(edges, directed)), "edges") if persist \
         else merge_parallel(orient(edges, directed))
+    size = merged.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).first()
     # Walker shuffles must match the index's partitioning every turn, so its partition
-    # count is sized from the graph, not from a session default.
-    n_part = partitions or max(spark.sparkContext.defaultParallelism,
-                               -(-merged.count() // EDGES_PER_PARTITION))
+    # count is sized from the graph, not from a session default.  Walks don't depend on it.
+    n_part = partitions or max(spark.sparkContext.defaultParallelism, -(-size["n"] // EDGES_PER_PARTITION))
     cum = segmented_cumsum(merged, "src", ["dst"], "w", before="cb", after="ca",
                            partitions=n_part).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = cum.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.max("ca").alias("tot"),
-                                   F.min("dst").alias("first_dst"))
-    all_v = merged.select(F.col("src").alias("v")).unionByName(merged.select(F.col("dst").alias("v"))).distinct()
-    vertices = (all_v.join(stats.withColumnRenamed("src", "v"), "v", "left")
-                .select("v", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-                        F.coalesce("tot", F.lit(0.0)).alias("tot")))
+    stats = cum.groupBy(F.col("src").alias("v")).agg(F.count(F.lit(1)).alias("n"), F.max("ca").alias("tot"),
+                                                     F.min("dst").alias("first_dst"))
+    incoming = merged.groupBy(F.col("dst").alias("v")).agg(F.sum("w").alias("win"))
+    share = F.coalesce("win", F.lit(0.0)) / F.lit(float(size["w"] or 1.0)) / F.greatest(F.coalesce("n", F.lit(0)), F.lit(1))
+    slots = SHARES_PER_PARTITION * n_part
+    vertices = (incoming.join(stats, "v", "full_outer")
+                .select("v", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.coalesce("tot", F.lit(0.0)).alias("tot"),
+                        F.greatest(F.ceil(F.least(share, F.lit(1.0)) * slots), F.lit(1)).cast("int").alias("copies"), "first_dst"))
     if persist:
         vertices = materialize(vertices, "vertices")
-    e = cum.join(stats, "src")
-    lo, hi = _bucket(F.col("cb"), F.col("n"), F.col("tot")), _bucket(F.col("ca"), F.col("n"), F.col("tot"))
-    nxt = vertices.select(F.col("v").alias("dst"), F.col("n").alias("nd"), F.col("tot").alias("nt"))
-    index = (e.select("src", F.explode(F.sequence(lo, hi)).alias("bucket"), "dst", "cb", "ca",
-                      (F.col("dst") == F.col("first_dst")).alias("first"))
+    e = cum.join(vertices.withColumnRenamed("v", "src"), "src")
+    e = e.withColumns({"lo": _bucket(F.col("cb"), F.col("n"), F.col("tot")), "hi": _bucket(F.col("ca"), F.col("n"), F.col("tot"))})
+    nxt = vertices.select(F.col("v").alias("dst"), F.col("n").alias("nd"), F.col("tot").alias("nt"), F.col("copies").alias("nc"))
+    index = (_explode_buckets(e).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+             .select("src", "bucket", "copy", "dst", "cb", "ca", (F.col("dst") == F.col("first_dst")).alias("first"))
              .join(nxt, "dst")
-             .select("src", "bucket", "dst", "cb", "ca", "first", "nd", "nt"))
+             .select("src", "bucket", "copy", "dst", "cb", "ca", "first", "nd", "nt", "nc"))
     keys = merged.select("src", "dst")
-    index = index.repartition(n_part, "src", "bucket")
+    index = index.repartition(n_part, "src", "bucket", "copy")
     keys = keys.repartition(n_part, "src", "dst")
-    g = WalkGraph(edges=merged, keys=keys, vertices=vertices, index=index, directed=directed)
+    g = WalkGraph(edges=merged, keys=keys, vertices=vertices.drop("first_dst"), index=index, directed=directed)
     if persist:
         for df in (g.keys, g.index):
             df.persist(StorageLevel.MEMORY_AND_DISK).count()
@@ -126,7 +142,7 @@ def init_walkers(graph: WalkGraph, num_walks: int, rounds: list[int] | None = No
     return graph.vertices.select(
         F.explode(F.array(*[F.lit(r) for r in rounds])).alias("rnd"), F.col("v").alias("v0"),
         F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("prev"), F.col("v").alias("cur"),
-        "n", "tot", F.lit(0).cast("bigint").alias("tb"))
+        "n", "tot", "copies", F.lit(0).cast("bigint").alias("tb"))
 
 
 def _accept_ratios(p: float, q: float) -> tuple[float, float, float]:
@@ -157,63 +173,76 @@ def rejection_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, tri
     keep their place with ``tb`` moved on; finished walkers and dead ends are gone.
     ``u1`` replaces the candidate draw (tests use a constant, as the modelled system's do).
 
+    A candidate is accepted below the ratio of its kind: going back is told from the
+    candidate itself, and a draw below both other ratios, or not below either, is decided
+    without asking which of them holds.  Only the rest is looked up; a decided candidate
+    joins by a hash instead of ``(prev, dst)``, so the walkers around a hub share no key.
+
     The turn is one SQL statement over temp views: one analysis per turn instead of a
     few hundred driver round trips for column objects.
     """
     spark = walkers.sparkSession
     L, seed = params.walk_length, params.seed
+    if "copies" not in walkers.columns:
+        walkers = walkers.withColumn("copies", F.lit(1))
     w = _view(walkers, "walkers")
     ix, keys = graph.views()
     t = "tb" if trials == 1 else f"explode(sequence(tb, tb + {trials - 1}))"
     u1_sql = f"{float(u1)!r}D" if u1 is not None else _draw_sql(seed, "rnd", "v0", "step + 1", "t", "1")
     cand = f"""
-      SELECT c.*, i.dst, i.nd, i.nt
+      SELECT c.*, i.dst, i.nd, i.nt, i.nc
       FROM (SELECT x.*, CASE WHEN x.tot > 0 THEN CAST(floor(x.thr * x.n / x.tot) AS BIGINT) ELSE 0L END AS b
-            FROM (SELECT y.*, {u1_sql} * y.tot AS thr
+            FROM (SELECT y.*, {u1_sql} * y.tot AS thr, CAST(pmod(xxhash64(y.rnd, y.v0, y.t), y.copies) AS INT) AS cp
                   FROM (SELECT *, {t} AS t FROM {w} WHERE n > 0 AND step <= {L}) y) x) c
-      JOIN {ix} i ON i.src = c.cur AND i.bucket = c.b
+      JOIN {ix} i ON i.src = c.cur AND i.bucket = c.b AND i.copy = c.cp
       WHERE i.ca >= c.thr AND (i.cb < c.thr OR i.first)"""
-    if params.p == 1.0 and params.q == 1.0 and trials == 1:
-        return spark.sql(f"""SELECT rnd, v0, step + 1 AS step, cur AS prev, dst AS cur, nd AS n, nt AS tot,
-                                    0L AS tb FROM ({cand})""")
-    rb, ri, ro = _accept_ratios(params.p, params.q)
-    u2 = _draw_sql(seed, "c.rnd", "c.v0", "c.step + 1", "c.t", "2")
-    # numeric min_by keeps the regroup a hash aggregate (a struct min would sort)
-    return spark.sql(f"""
-      SELECT rnd, v0,
-             CASE WHEN pt IS NOT NULL THEN step + 1 ELSE step END AS step,
-             CASE WHEN pt IS NOT NULL THEN cur ELSE prev END AS prev,
-             CASE WHEN pt IS NOT NULL THEN pd ELSE cur END AS cur,
-             CASE WHEN pt IS NOT NULL THEN pn ELSE n END AS n,
-             CASE WHEN pt IS NOT NULL THEN ptot ELSE tot END AS tot,
-             CASE WHEN pt IS NOT NULL THEN 0L ELSE tb + {trials} END AS tb
-      FROM (SELECT rnd, v0, step, prev, cur, n, tot, tb, min(at) AS pt, min_by(dst, at) AS pd,
-                   min_by(nd, at) AS pn, min_by(nt, at) AS ptot
-            FROM (SELECT c.*, CASE WHEN c.prev IS NULL OR {u2} < (CASE WHEN c.dst = c.prev THEN {rb!r}D
-                                      WHEN k.src IS NOT NULL THEN {ri!r}D ELSE {ro!r}D END) THEN c.t END AS at
-                  FROM ({cand}) c LEFT JOIN {keys} k ON k.src = c.prev AND k.dst = c.dst) a
-            GROUP BY rnd, v0, step, prev, cur, n, tot, tb) g""")
-
-
-# A walker's candidate list is one window group only when the largest degree is below
-# this checked bound; above it the segmented scan spreads the list over tasks.
-WINDOW_GROUP_LIMIT = 1_000_000
+    try:
+        if params.p == 1.0 and params.q == 1.0 and trials == 1:
+            return spark.sql(f"""SELECT rnd, v0, step + 1 AS step, cur AS prev, dst AS cur, nd AS n, nt AS tot,
+                                        nc AS copies, 0L AS tb FROM ({cand})""")
+        rb, ri, ro = _accept_ratios(params.p, params.q)
+        lower, upper = min(ri, ro), max(ri, ro)
+        u2 = _draw_sql(seed, "d.rnd", "d.v0", "d.step + 1", "d.t", "2")
+        # numeric min_by keeps the regroup a hash aggregate (a struct min would sort)
+        return spark.sql(f"""
+          SELECT rnd, v0,
+                 CASE WHEN pt IS NOT NULL THEN step + 1 ELSE step END AS step,
+                 CASE WHEN pt IS NOT NULL THEN cur ELSE prev END AS prev,
+                 CASE WHEN pt IS NOT NULL THEN pd ELSE cur END AS cur,
+                 CASE WHEN pt IS NOT NULL THEN pn ELSE n END AS n,
+                 CASE WHEN pt IS NOT NULL THEN ptot ELSE tot END AS tot,
+                 CASE WHEN pt IS NOT NULL THEN pc ELSE copies END AS copies,
+                 CASE WHEN pt IS NOT NULL THEN 0L ELSE tb + {trials} END AS tb
+          FROM (SELECT rnd, v0, step, prev, cur, n, tot, copies, tb, min(at) AS pt, min_by(dst, at) AS pd,
+                       min_by(nd, at) AS pn, min_by(nt, at) AS ptot, min_by(nc, at) AS pc
+                FROM (SELECT a.*, CASE WHEN a.prev IS NULL OR a.u2 < (CASE WHEN a.dst = a.prev THEN {rb!r}D
+                                          WHEN NOT a.ask THEN {lower!r}D
+                                          WHEN k.src IS NOT NULL THEN {ri!r}D ELSE {ro!r}D END) THEN a.t END AS at
+                      FROM (SELECT f.*, CASE WHEN f.ask THEN f.prev ELSE xxhash64(f.rnd, f.v0, f.t) END AS ps
+                            FROM (SELECT e.*, coalesce(e.dst <> e.prev AND e.u2 >= {lower!r}D AND e.u2 < {upper!r}D, false) AS ask
+                                  FROM (SELECT d.*, {u2} AS u2 FROM ({cand}) d) e) f) a
+                      LEFT JOIN {keys} k ON k.src = a.ps AND k.dst = a.dst) j
+                GROUP BY rnd, v0, step, prev, cur, n, tot, copies, tb) g""")
+    finally:
+        spark.catalog.dropTempView(w)      # the analysed statement no longer needs the name
 
 
 def cdf_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, u=None) -> DataFrame:
-    """One loop turn of the scanning sampler (the modelled system's draw semantics)."""
+    """One loop turn of the scanning sampler (the modelled system's draw semantics).
+
+    It reads the whole list of every walker's vertex, so its rows are the sum of these
+    degrees: a parity mode for graphs of capped degree.
+    """
     L = params.walk_length
     act = walkers.where(F.col("step") <= L).select("rnd", "v0", "step", "prev", "cur")
     e = graph.edges
     ud = F.lit(float(u)) if u is not None else draw(F.lit(params.seed), "rnd", "v0", F.col("step") + 1, F.lit(0), F.lit(1))
     cands = (act.join(e, act.cur == e.src).select("rnd", "v0", "step", "prev", "cur", "dst", "w")
              .withColumn("u", ud))
-    keys = ["rnd", "v0", "step", "prev", "cur"]
-    method = "window" if graph.max_degree() <= WINDOW_GROUP_LIMIT else "scan"
-    nxt = second_order_sample(cands, graph.keys, keys, params.p, params.q, u="u", out="next", method=method)
+    nxt = second_order_sample(cands, graph.keys, ["rnd", "v0", "step", "cur"], params.p, params.q, u="u", out="next")
     return nxt.select("rnd", "v0", (F.col("step") + 1).alias("step"), F.col("cur").alias("prev"),
                       F.col("next").alias("cur"), F.lit(1).cast("bigint").alias("n"),
-                      F.lit(1.0).alias("tot"), F.lit(0).cast("bigint").alias("tb"))
+                      F.lit(1.0).alias("tot"), F.lit(1).alias("copies"), F.lit(0).cast("bigint").alias("tb"))
 
 
 @dataclass
@@ -229,74 +258,70 @@ def assemble_paths(steps: DataFrame) -> DataFrame:
             .select("rnd", "v0", F.transform("_s", lambda x: x["vertex"]).alias("path")))
 
 
-def default_trials(p: float, q: float, stall: float = 1e-3, cap: int = 64) -> int:
-    """Trials per walker per turn so that a walker-step stalls with probability <= ``stall``.
+def default_trials(p: float, q: float) -> int:
+    """Trials per walker per turn: twice the number that the rarest kind of step needs on average.
 
-    The worst acceptance is ``min f / max f``; ``p = q = 1`` needs one trial.
+    More trials would move rows that are seldom used; a walker whose trials are all
+    rejected (at most about one in seven) goes on from the next trial in the next turn.
     """
-    import math
-    a = min(_accept_ratios(p, q))
-    if a >= 1.0:
-        return 1
-    return max(1, min(cap, math.ceil(math.log(stall) / math.log(1.0 - a))))
-
-
-def _auto_checkpoint_every(spark) -> int:
-    """Persisted turns keep the session's shuffle partition count unless AQE may resize
-    cached plans; then writing every turn (read back by size) is the cheaper choice."""
-    conf = spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
-    return 3 if str(conf).lower() == "true" else 1
+    return max(1, math.ceil(2 / min(_accept_ratios(p, q)))) if (p, q) != (1.0, 1.0) else 1
 
 
 def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None, u1=None,
                 rounds: list[int] | None = None) -> WalkResult:
     """All rounds walk together; a full path has ``walk_length + 2`` vertices.
 
-    The driver holds only the loop.  Every ``checkpoint_every``-th turn the walker state
-    is written as a Parquet table under the session's checkpoint directory and read back
-    (lineage cut, survives executor loss); the turns in between are persisted, so a lost
-    cache block is recomputed from at most ``checkpoint_every`` turns of keyed draws.  The
-    step rows are written once at the end and the caches released.
+    The driver holds only the loop.  Every turn the walker state is written as a Parquet
+    table under the session's checkpoint directory and read back (lineage cut, survives
+    executor loss), its new steps are appended to the step table, and the turn before is
+    deleted.  The loop ends when no walker can go on.
     """
     spark = graph.edges.sparkSession
     ensure_checkpoint_dir(spark)
     L = params.walk_length
     trials = trials or params.trials or default_trials(params.p, params.q)
-    every = params.checkpoint_every or _auto_checkpoint_every(spark)
     first_order = params.p == 1.0 and params.q == 1.0
     if params.sampler not in ("rejection", "cdf"):
         raise ValueError(f"unknown sampler {params.sampler!r}")
     walkers = init_walkers(graph, params.num_walks, rounds)
     if params.partitions:
         walkers = walkers.repartition(params.partitions, "rnd", "v0")
-    walkers = materialize(walkers, "walkers")
-    step_frames = [walkers.select("rnd", "v0", "step", F.col("cur").alias("vertex"))]
-    held = []
-    it = 0
+    steps = scratch_path(spark, "steps")
+    turn = 0
+    walkers, held = write_scratch(walkers, "walkers")
     while True:
+        (walkers.where(F.col("tb") == 0).select("rnd", "v0", "step", F.col("cur").alias("vertex"))
+         .write.mode("append").parquet(steps))
+        if walkers.where((F.col("n") > 0) & (F.col("step") <= L)).isEmpty():
+            break
         if params.sampler == "cdf":
             nxt = cdf_step(walkers, graph, params, u=u1)
         else:
+            # the first step has no previous vertex: its first trial is always accepted;
             # past step L+1 only stalled walkers are left: larger batches end the tail sooner
-            k = 1 if (it == 0 or first_order) else (trials if it < L + 1 else 8 * trials)
+            k = 1 if (turn == 0 or first_order) else (trials if turn < L + 1 else 8 * trials)
             nxt = rejection_step(walkers, graph, params, k, u1=u1)
-        it += 1
-        if it % max(1, every) == 0:
-            nxt = materialize(nxt, "walkers")
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(nxt)
-        step_frames.append(nxt.where(F.col("tb") == 0).select("rnd", "v0", "step", F.col("cur").alias("vertex")))
-        walkers = nxt
-        if it >= L + 1:
-            if params.sampler == "cdf" or first_order:
-                break
-            if walkers.where((F.col("n") > 0) & (F.col("step") <= L)).isEmpty():
-                break
-    steps = step_frames[0]
-    for f in step_frames[1:]:
-        steps = steps.unionByName(f)
-    steps = materialize(steps, "steps")       # the walk's result table; caches can go
-    for df in held:
-        df.unpersist()
+        before = held
+        walkers, held = write_scratch(nxt, "walkers")
+        delete_scratch(spark, before)
+        turn += 1
+    delete_scratch(spark, held)
+    steps = spark.read.parquet(steps)
     return WalkResult(steps=steps, paths=assemble_paths(steps))
+
+
+def walk_report(result: WalkResult, edges: DataFrame, vertices: DataFrame, num_walks: int, walk_length: int) -> DataFrame:
+    """One row ``(paths, expected_paths, short_paths, invalid_steps)`` about every walk.
+
+    ``edges`` are the oriented edges, ``vertices`` (v) all start vertices; a step is
+    invalid if it isn't an edge.
+    """
+    steps = result.steps
+    nxt = steps.select("rnd", "v0", (F.col("step") - 1).alias("step"), F.col("vertex").alias("to"))
+    moves = steps.join(nxt, ["rnd", "v0", "step"]).select(F.col("vertex").alias("src"), F.col("to").alias("dst"))
+    invalid = moves.join(edges, ["src", "dst"], "left_anti").select(F.count(F.lit(1))).scalar()
+    n_v = vertices.select(F.count(F.lit(1))).scalar()
+    lengths = steps.groupBy("rnd", "v0").agg(F.count(F.lit(1)).alias("len"))
+    return (lengths.agg(F.count(F.lit(1)).alias("paths"),
+                        F.sum(F.when(F.col("len") < walk_length + 2, 1).otherwise(0)).cast("bigint").alias("short_paths"))
+            .select("paths", (n_v * num_walks).alias("expected_paths"), "short_paths", invalid.alias("invalid_steps")))

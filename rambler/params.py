@@ -30,10 +30,8 @@ class WalkParams:
     directed: bool = False
     seed: int = 0                    # keyed draws: md5(seed|round|start|step[|dst])
     sampler: str = "rejection"       # "rejection" (default, degree-independent) or "cdf" (scan, reference draws)
-    checkpoint_every: int | None = None  # write the walker state every n turns (persisted in
-                                         # between); None = 3 if AQE may size cached plans, else 1
-    trials: int | None = None        # rejection trials per walker per turn; None = enough for <=0.1% stalls
-    partitions: int | None = None    # walker partitions; None = spark.sql.shuffle.partitions
+    trials: int | None = None        # rejection trials per walker per turn; None = by p and q
+    partitions: int | None = None    # index and walker partitions; None = sized from the graph
 
 
 @dataclass(frozen=True)
@@ -44,17 +42,18 @@ class Word2VecParams:
     window: int = 10
     lr: float = 0.025
     iterations: int = 10
-    partitions: int = 1
+    partitions: int | None = None    # training partitions; None = the session's parallelism
     min_count: int = 0
     seed: int = 42
-    max_sentence_length: int = 1000
+    max_sentence_length: int | None = None   # longer walks would be cut; None = the longest walk
+    max_vocabulary_bytes: int = 4 << 30      # the driver holds vocabulary × dim floats; more is an error
 
 
 @dataclass(frozen=True)
 class JobParams:
     """Everything one job run needs."""
 
-    cmd: str = "node2vec"            # node2vec | randomwalk | embedding
+    cmd: str = "node2vec"            # node2vec | walk | embedding
     graph: GraphParams = field(default_factory=GraphParams)
     walk: WalkParams = field(default_factory=WalkParams)
     w2v: Word2VecParams = field(default_factory=Word2VecParams)
@@ -62,5 +61,7 @@ class JobParams:
     input: str = ""                  # edge list or walk series, depending on cmd
     weighted: bool = True            # weight column present in the edge list
     partitioned: bool = False        # partition column present in the edge list
-    single_output: bool = True       # one output file, else ``output_partitions`` files
+    edge_parts: int = 200            # parts that are drawn for edges without one
+    id_map: str = ""                 # a saved id map that names the vectors (embedding)
+    single_output: bool = False      # one output file, else ``output_partitions`` files
     output_partitions: int = 200

@@ -1,7 +1,8 @@
 """The three jobs of the modelled system as pipeline functions.
 
-Outputs go under ``params.output``: ``path`` (walks as text), ``vec`` (vectors as
-text), ``bin`` (the Word2Vec model), ``id_map`` and ``properties`` (Parquet).
+Outputs go under ``params.output``: ``path`` (walks as text), ``report`` (W10), ``vec``
+(vectors as text), ``bin`` (the Word2Vec model), ``id_map`` and ``properties`` (Parquet).
+``single_output`` and ``output_partitions`` hold for every text and table.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rambler.operators import contacts as C, graph as G
 from rambler.operators.embed import fit_word2vec, model_vectors, name_vectors, path_tokens
-from rambler.operators.walk import build_graph, random_walk
+from rambler.operators.walk import build_graph, random_walk, walk_report
 from rambler.params import JobParams
 from rambler.session import materialize
 from rambler.sources import text as X
@@ -32,85 +33,90 @@ def build_contact_graph(contacts: DataFrame, users: DataFrame, params: JobParams
     return edges, id_map, counts
 
 
-def walk_paths(edges: DataFrame, params: JobParams) -> DataFrame:
-    """E4 core: graph → walks → ``(rnd, v0, path)``."""
-    g = build_graph(edges, directed=params.walk.directed, partitions=params.walk.partitions)
-    return random_walk(g, params.walk).paths
-
-
-def vectors_from_paths(paths: DataFrame, params: JobParams) -> tuple[DataFrame, object]:
-    """E1 + E2: Word2Vec over the paths → ``(key, vector)`` and the model."""
-    model = fit_word2vec(path_tokens(paths), params.w2v)
-    return model_vectors(model), model
+def _write(df: DataFrame, params: JobParams, name: str, write=X.write_table, **kw) -> None:
+    write(df, os.path.join(params.output, name), single_output=params.single_output, partitions=params.output_partitions, **kw)
 
 
-def randomwalk_job(spark: SparkSession, edges: DataFrame, params: JobParams) -> DataFrame:
-    """Walks written as tab-joined lines under ``output/path``."""
-    paths = walk_paths(edges, params)
-    X.write_paths(paths, os.path.join(params.output, "path"), params.single_output, params.output_partitions)
-    return paths
+def walk_job(spark: SparkSession, edges: DataFrame, params: JobParams) -> DataFrame:
+    """Walks written as tab-joined lines under ``output/path``, and their report."""
+    g = build_graph(edges, directed=params.walk.directed, partitions=params.walk.partitions)
+    walks = random_walk(g, params.walk)
+    _write(walks.paths, params, "path", X.write_paths)
+    _write(walk_report(walks, g.edges, g.vertices, params.walk.num_walks, params.walk.walk_length), params, "report")
+    g.unpersist()       # the walks are written; training needs the memory
+    return walks.paths
 
 
 def embedding_job(spark: SparkSession, params: JobParams, id_map: DataFrame | None = None) -> DataFrame:
-    """Walk series (text) → Word2Vec → vectors (named through the saved id map if given)."""
-    series = X.read_walk_series(spark, params.input, params.output_partitions)
-    model = fit_word2vec(series, params.w2v)
-    return _save_model_outputs(model, params, id_map)
+    """Walk series (text) → Word2Vec → vectors, named through the id map (given, or saved at ``params.id_map``)."""
+    if id_map is None and params.id_map:
+        id_map = spark.read.parquet(params.id_map)
+    series = materialize(X.read_walk_series(spark, params.input, params.output_partitions), "series")
+    return _save_model_outputs(fit_word2vec(series, params.w2v), params, id_map)
 
 
 def node2vec_job(spark: SparkSession, edges: DataFrame, params: JobParams,
                  id_map: DataFrame | None = None) -> DataFrame:
     """E5: walks → Word2Vec → vectors; everything written under ``params.output``."""
-    paths = randomwalk_job(spark, edges, params)
-    model = fit_word2vec(path_tokens(paths), params.w2v)
-    return _save_model_outputs(model, params, id_map)
+    paths = walk_job(spark, edges, params)
+    return _save_model_outputs(fit_word2vec(path_tokens(paths), params.w2v), params, id_map)
 
 
 def _save_model_outputs(model, params: JobParams, id_map: DataFrame | None) -> DataFrame:
-    out = params.output
-    model.write().overwrite().save(os.path.join(out, "bin"))                   # K3
+    model.write().overwrite().save(os.path.join(params.output, "bin"))         # K3
     vecs = model_vectors(model)
     if id_map is not None:                                                      # J5
         vecs = name_vectors(vecs, id_map).select(F.col("phone_number").alias("key"), "vector")
-    X.write_vectors(vecs, os.path.join(out, "vec"), single_output=params.single_output,
-                    partitions=params.output_partitions)                        # K2
+    _write(vecs, params, "vec", X.write_vectors)                                # K2
     return vecs
 
 
+def _saved_contact_graph(spark: SparkSession, contacts: DataFrame, users: DataFrame, params: JobParams):
+    """The contact graph's edges, and its id map as saved and read again (so ids can't change)."""
+    edges, id_map, counts = build_contact_graph(contacts, users, params)
+    _write(id_map, params, "id_map")                                            # K4
+    _write(counts, params, "properties")                                        # K5
+    return edges, spark.read.parquet(os.path.join(params.output, "id_map"))
+
+
 def contact_node2vec_job(spark: SparkSession, contacts: DataFrame, users: DataFrame, params: JobParams) -> DataFrame:
     """The full main program: contact graph → id map + properties → node2vec → named vectors."""
-    edges, id_map, counts = build_contact_graph(contacts, users, params)
-    X.write_table(id_map, os.path.join(params.output, "id_map"))               # K4
-    X.write_table(counts, os.path.join(params.output, "properties"))           # K5
-    id_map = spark.read.parquet(os.path.join(params.output, "id_map"))          # reloaded: stable ids
+    edges, id_map = _saved_contact_graph(spark, contacts, users, params)
     return node2vec_job(spark, edges, params, id_map)
 
 
+def edge_list_edges(spark: SparkSession, params: JobParams) -> DataFrame:
+    """The edge list at ``params.input``; a missing or unparsable part of a partitioned list is drawn.
+
+    Spark places rows by the keys of its joins, so a part is data here: it doesn't move the edges.
+    """
+    edges = X.read_edge_list(spark, params.input, params.weighted, params.partitioned)
+    if params.partitioned:
+        edges = G.edge_partitions(edges, params.edge_parts, params.walk.seed, part_col="part")
+    return edges
+
+
 def run_job(spark: SparkSession, params: JobParams, contacts: DataFrame | None = None,
             users: DataFrame | None = None) -> DataFrame:
-    """Dispatch on ``params.cmd`` the way the modelled system's entry point does.
+    """Dispatch on ``params.cmd``: ``node2vec``, ``walk`` or ``embedding``.
 
-    ``node2vec`` / ``randomwalk`` read the edge list at ``params.input`` when it is set
+    ``node2vec`` and ``walk`` read the edge list at ``params.input`` when it is set
     (``weighted`` / ``partitioned`` say which columns it has), else build the graph from
     the contact log and the user snapshot.  ``embedding`` reads the walk series at
-    ``params.input``.  Returns the vectors (node2vec, embedding) or the paths (randomwalk).
+    ``params.input``.  Returns the vectors (node2vec, embedding) or the paths (walk).
     """
     if params.cmd == "embedding":
         return embedding_job(spark, params)
-    if params.cmd not in ("node2vec", "randomwalk"):
+    if params.cmd not in ("node2vec", "walk"):
         raise ValueError(f"unknown cmd {params.cmd!r}")
     if params.input:
-        edges = X.read_edge_list(spark, params.input, params.weighted, params.partitioned)
-        if params.partitioned:   # place edges by their vertex-cut part before walking
-            edges = edges.repartition("part")
+        edges = edge_list_edges(spark, params)
+        if params.partitioned:
+            _write(G.partition_balance(G.parted_orient(edges, params.walk.directed)), params, "balance")
         edges = edges.select("src", "dst", "w")
-        return (randomwalk_job(spark, edges, params) if params.cmd == "randomwalk"
-                else node2vec_job(spark, edges, params))
+        return walk_job(spark, edges, params) if params.cmd == "walk" else node2vec_job(spark, edges, params)
     if contacts is None or users is None:
         raise ValueError("either params.input (an edge list) or contacts and users are needed")
-    if params.cmd == "randomwalk":
-        edges, id_map, counts = build_contact_graph(contacts, users, params)
-        X.write_table(id_map, os.path.join(params.output, "id_map"))
-        X.write_table(counts, os.path.join(params.output, "properties"))
-        return randomwalk_job(spark, edges, params)
+    if params.cmd == "walk":
+        return walk_job(spark, _saved_contact_graph(spark, contacts, users, params)[0], params)
     return contact_node2vec_job(spark, contacts, users, params)

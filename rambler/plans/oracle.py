@@ -6,7 +6,7 @@ recursive CTEs that reproduce the keyed draws (md5 → 52-bit fraction).
 
 from __future__ import annotations
 
-from rambler.plans.queries import (END, IN_RANGE, L, OUT_RANGE, P, PARTS, Q, REGIONS, SEED, START,
+from rambler.plans.queries import (BLOCK, END, IN_RANGE, L, OUT_RANGE, P, PARTS, Q, REGIONS, SEED, START,
                                    TOPN_KEY, TOPN_N, USER_DATE)
 
 
@@ -54,6 +54,9 @@ ipairs AS (SELECT s.id AS src_number_id, t.id AS dest_number_id FROM pairs
            JOIN ids s ON pairs.src_number = s.phone_number JOIN ids t ON pairs.dest_number = t.phone_number),
 cg AS (SELECT src_number_id AS src, dest_number_id AS dst, 1.0::DOUBLE AS w FROM ipairs)"""
 
+PRICES = """pg AS (SELECT l_suppkey AS src, l_partkey + 10000000 AS dst,
+        (CAST(round(l_extendedprice * 100) AS BIGINT) % 9973 + 1) / 100.0 AS w FROM lineitem)"""
+
 EMB = """vec AS (SELECT CAST(vec_id AS VARCHAR) AS key, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings),
 ep AS (SELECT a.vec_id AS id1, b.vec_id AS id2, CAST(a.embedding AS DOUBLE[]) AS x, CAST(b.embedding AS DOUBLE[]) AS y
        FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)"""
@@ -79,20 +82,23 @@ def oriented(src_cte: str, directed: bool) -> str:
 
 
 def _graph_ctes(src_cte: str, directed: bool) -> str:
-    return f"""g AS (SELECT src, dst, sum(w) AS w FROM ({oriented(src_cte, directed)}) o GROUP BY src, dst),
-cum AS (SELECT src, dst, w, sum(w) OVER (PARTITION BY src ORDER BY dst ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ca FROM g),
+    # weights are summed as whole units of 1e-8
+    return f"""gu AS (SELECT src, dst, CAST(sum(CAST(round(w * 100000000) AS BIGINT)) AS BIGINT) AS wu
+      FROM ({oriented(src_cte, directed)}) o GROUP BY src, dst),
+g AS (SELECT src, dst, wu / 100000000.0 AS w FROM gu),
+cum AS (SELECT src, dst, (s - wu) / 100000000.0 AS cb, s / 100000000.0 AS ca
+      FROM (SELECT *, CAST(sum(wu) OVER (PARTITION BY src ORDER BY dst ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS s
+            FROM gu) u),
 st AS (SELECT src, count(*) AS n, max(ca) AS tot, min(dst) AS fd FROM cum GROUP BY src),
 vx AS (SELECT vv.v, coalesce(st.n, 0) AS n, coalesce(st.tot, 0.0) AS tot
        FROM (SELECT src AS v FROM g UNION SELECT dst AS v FROM g) vv LEFT JOIN st ON st.src = vv.v),
-ix AS (SELECT c.src, CAST(unnest(generate_series(CAST(floor((c.ca - c.w) * st.n / st.tot) AS BIGINT),
-                                                 CAST(floor(c.ca * st.n / st.tot) AS BIGINT))) AS BIGINT) AS bucket,
-              c.dst, c.ca - c.w AS cb, c.ca, c.dst = st.fd AS first, vd.n AS nd, vd.tot AS nt
+lst AS (SELECT c.src, c.dst, c.cb, c.ca, c.dst = st.fd AS first, vd.n AS nd, vd.tot AS nt
        FROM cum c JOIN st ON st.src = c.src JOIN vx vd ON vd.v = c.dst),
 rr AS (SELECT CAST(unnest(range(0, {{rounds}})) AS INTEGER) AS rnd)"""
 
 
 def walk_steps_sql(src_cte: str, directed: bool, rounds: int, walk_length: int = L, sampler: str = "rejection",
-                   trials: int = 32, p: float = P, q: float = Q, seed: int = SEED) -> tuple[str, str]:
+                   trials: int = 8, p: float = P, q: float = Q, seed: int = SEED) -> tuple[str, str]:
     """(CTE list, name of the steps CTE ``(rnd, v0, step, vertex)``)."""
     graph = _graph_ctes(src_cte, directed).replace("{rounds}", str(rounds))
     fb, fi, fo = 1.0 / p, 1.0, 1.0 / q
@@ -116,12 +122,11 @@ def walk_steps_sql(src_cte: str, directed: bool, rounds: int, walk_length: int =
                                               ELSE {ro!r} END)) AS acc
       FROM (
         SELECT x.*, i.dst, i.nd, i.nt FROM (
-          SELECT x.*, CASE WHEN x.tot > 0 THEN CAST(floor(x.tt * x.n / x.tot) AS BIGINT) ELSE 0 END AS b FROM (
             SELECT x.*, {u1} * x.tot AS tt FROM (
               SELECT wk.rnd, wk.v0, wk.step, wk.prev, wk.cur, wk.n, wk.tot, wk.tb, wk.tb + tr.i AS t
               FROM walk wk CROSS JOIN (SELECT unnest(range(0, {trials})) AS i) tr
-              WHERE wk.n > 0 AND wk.step <= {walk_length}) x) x) x
-        JOIN ix i ON i.src = x.cur AND i.bucket = x.b
+              WHERE wk.n > 0 AND wk.step <= {walk_length}) x) x
+        JOIN lst i ON i.src = x.cur
         WHERE i.ca >= x.tt AND (i.cb < x.tt OR i.first)) y
       LEFT JOIN g k ON k.src = y.prev AND k.dst = y.dst) z
     GROUP BY z.rnd, z.v0, z.step, z.prev, z.cur, z.n, z.tot, z.tb) s),
@@ -185,7 +190,7 @@ ORACLE = {
     "phone_normalize": f"WITH {CONTACTS} SELECT user_id, phone_number, {norm_sql('phone_number')} AS normalized FROM contacts",
     "users_in_regions": f"WITH {CONTACTS} SELECT id, mobile_number, region_ids FROM users WHERE "
                         + " OR ".join(f"region_ids LIKE '%{r}%'" for r in REGIONS),
-    "path_tokens": _w("ec", False, 1, EVENTS, "SELECT rnd, v0, path AS tokens FROM {wp}"),
+    "path_tokens": _w("ec", False, 1, EVENTS, "SELECT path AS tokens FROM {wp}"),
     "vector_dot": f"WITH {EMB} SELECT id1, id2, round({dot_sql('x', 'y')}, 6) AS dot FROM ep",
     "vector_norm": f"SELECT vec_id, round({norm2_sql('CAST(embedding AS DOUBLE[])')}, 6) AS norm FROM embeddings",
     "cosine_pairs": f"WITH {EMB} SELECT id1, id2, round({cos_sql('x', 'y')}, 6) AS cos FROM ep",
@@ -205,13 +210,16 @@ ORACLE = {
     "edges_undirected": CT + "SELECT src, dst, w FROM cg UNION ALL SELECT dst AS src, src AS dst, w FROM cg",
     "graph_vertices": CT + "SELECT DISTINCT v FROM (SELECT src AS v FROM cg UNION ALL SELECT dst AS v FROM cg) x",
     "adjacency": CT + """, o AS (SELECT src, dst, w FROM cg UNION ALL SELECT dst AS src, src AS dst, w FROM cg),
-        dg AS (SELECT src, count(*) AS deg FROM o GROUP BY src),
-        ob AS (SELECT o.src, CAST(CAST('0x' || left(md5(CAST(o.dst AS VARCHAR)), 8) AS BIGINT)
-                    % greatest(1, CAST(ceil(dg.deg / 1024.0) AS BIGINT)) AS BIGINT) AS block, o.dst, o.w
-               FROM o JOIN dg ON o.src = dg.src)
+        ob AS (SELECT src, dst, w, CAST(floor((row_number() OVER (PARTITION BY src ORDER BY dst, w) - 1) / 1024) AS BIGINT) AS block FROM o)
         SELECT src, block, CAST(count(*) AS BIGINT) AS n,
                string_agg(CAST(dst AS VARCHAR) || ':' || CAST(CAST(w AS BIGINT) AS VARCHAR), ' ' ORDER BY dst, w) AS nbrs
         FROM ob GROUP BY src, block""",
+    "adjacency_directed": E + f""", ob AS (SELECT src, dst, w,
+               CAST(floor((row_number() OVER (PARTITION BY src ORDER BY dst) - 1) / {BLOCK}) AS BIGINT) AS block FROM ec)
+        SELECT src, block, CAST(count(*) AS BIGINT) AS n,
+               string_agg(CAST(dst AS VARCHAR) || ':' || CAST(CAST(w AS BIGINT) AS VARCHAR), ' ' ORDER BY dst) AS nbrs
+        FROM ob GROUP BY src, block
+        UNION ALL SELECT DISTINCT dst, CAST(0 AS BIGINT), CAST(0 AS BIGINT), '' FROM ec WHERE dst NOT IN (SELECT src FROM ec)""",
     "graph_stats": E + """, o AS (SELECT src, dst FROM ec UNION ALL SELECT dst, src FROM ec)
         SELECT (SELECT count(*) FROM (SELECT src AS v FROM o UNION SELECT dst FROM o) v) AS vertices,
                (SELECT count(*) FROM o) AS entries""",
@@ -229,6 +237,8 @@ ORACLE = {
     "random_walk_weighted": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}"),
     "random_walk_directed": _w("ec", True, 2, EVENTS, "SELECT * FROM {wp}"),
     "random_walk_cdf": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}", sampler="cdf"),
+    # no bucket index here: every trial scans the whole list of its vertex
+    "random_walk_decimal": _w("pg", False, 1, PRICES, "SELECT * FROM {wp}"),
     "random_walk_partitioned": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}"),
     "dead_end_walks": _w("ec", True, 2, EVENTS, f"SELECT rnd, v0, len FROM {{wp}} WHERE len < {L + 2}"),
     "walk_counts": _w("ec", True, 2, EVENTS, "SELECT rnd, count(*) AS paths FROM {wp} GROUP BY rnd"),
@@ -264,9 +274,27 @@ ORACLE.update({
     "replication_factor": _PARTED + """, r AS (SELECT count(*) AS replicas FROM (SELECT DISTINCT src, part FROM po) x),
         v AS (SELECT count(DISTINCT src) AS vertices FROM po)
         SELECT r.replicas, v.vertices, round(r.replicas / v.vertices, 6) AS factor FROM r, v""",
-    "vertex_replicas": _PARTED + """, dg AS (SELECT src AS v, count(*) AS degree FROM po GROUP BY src),
-        vp AS (SELECT DISTINCT src AS v, part FROM po)
-        SELECT vp.part, vp.v, dg.degree FROM vp JOIN dg ON vp.v = dg.v""",
+    "vertex_replicas": _PARTED + """, vp AS (SELECT DISTINCT src AS v, part FROM po)
+        SELECT vp.part, vp.v, po.dst, po.w FROM vp JOIN po ON po.src = vp.v""",
+    "edge_partitions_given": _PARTED + f"""SELECT src, dst, CAST(CASE WHEN (src + dst) % 3 = 0 THEN src % {PARTS} ELSE part END AS INTEGER) AS part
+        FROM pe""",
+})
+
+# Text forms and jobs: what they write is what the plain walk gives.
+_VERTICES = "(SELECT DISTINCT vertex FROM steps)"
+ORACLE.update({
+    "edge_list_forms": E + f"""SELECT 'plain' AS form, src, dst, 1.0::DOUBLE AS w, CAST(NULL AS INTEGER) AS part FROM ec
+        UNION ALL SELECT 'weight', src, dst, w, CAST(NULL AS INTEGER) FROM ec
+        UNION ALL SELECT 'part', src, dst, 1.0, CAST(CASE WHEN src % 5 <> 0 THEN src % {PARTS} END AS INTEGER) FROM ec
+        UNION ALL SELECT 'part_weight', src, dst, w, CAST(CASE WHEN src % 5 <> 0 THEN src % {PARTS} END AS INTEGER) FROM ec""",
+    "edge_line_counts": E + "SELECT 3 * count(*) + 2 AS lines, count(*) AS edges, CAST(1 AS BIGINT) AS blank, 2 * count(*) + 1 AS skipped FROM ec",
+    "job_walk": _w("ec", False, 1, EVENTS, "SELECT replace(path, ' ', chr(9)) AS line FROM {wp}"),
+    "job_node2vec": _w("ec", False, 1, EVENTS, f"SELECT CAST(vertex AS VARCHAR) AS number, CAST(16 AS BIGINT) AS dim FROM {_VERTICES} v"),
+    "job_embedding": _w("cg", False, 1, CONTACTS, f"""SELECT ids.phone_number AS number, CAST(16 AS BIGINT) AS dim
+        FROM {_VERTICES} v JOIN ids ON ids.id = v.vertex"""),
+    "job_model": _w("ec", False, 1, EVENTS, f"SELECT count(*) AS words, CAST(16 AS BIGINT) AS dim FROM {_VERTICES} v"),
+    "output_files": E + """SELECT 'single' AS setting, CAST(1 AS BIGINT) AS files, count(*) AS edges FROM ec
+        UNION ALL SELECT 'several', 3, count(*) FROM ec""",
 })
 
 # Second-order weights and step for the walkers after the first step.

@@ -6,6 +6,7 @@ exactly like those of the matching SQL in ``rambler.plans.oracle``.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rambler.functions.draws import draw
@@ -14,10 +15,11 @@ from rambler.functions.vectors import cosine, dot, norm
 from rambler.operators import contacts as C, graph as G, similarity as S
 from rambler.operators.embed import fit_word2vec, model_vectors, name_vectors, path_tokens
 from rambler.operators.sampling import second_order_sample, second_order_weights, weighted_sample
-from rambler.operators.walk import build_graph, random_walk
-from rambler.params import WalkParams, Word2VecParams
+from rambler.operators.walk import build_graph, init_walkers, random_walk, walk_report
+from rambler.params import JobParams, WalkParams, Word2VecParams
+from rambler.plans import jobs
+from rambler.session import materialize, scratch_path
 from rambler.sources import derived as D, text as X
-from rambler.session import materialize
 from rambler.sources.tables import table
 
 # Fixed query parameters (shared with the oracle SQL).
@@ -27,6 +29,8 @@ OUT_RANGE, IN_RANGE = (10, 50), (15, 45)
 SEED, P, Q, L = 42, 0.5, 2.0, 6
 PARTS = 4
 TOPN_KEY, TOPN_N = "7", 5
+BLOCK = 16
+W2V = Word2VecParams(dim=16, window=5, iterations=1)
 
 
 # ---------------------------------------------------------------- shared inputs
@@ -60,14 +64,21 @@ def _walk_out(paths: DataFrame) -> DataFrame:
                         F.size("path").cast("bigint").alias("len"))
 
 
+def _edges(spark, d, graph: str):
+    if graph == "contacts":
+        return _contact_edges(spark, d)
+    if graph == "prices":
+        return D.price_edges(spark, d)
+    return D.events_edges(spark, d)
+
+
 def _walk(spark, d, graph: str, directed: bool, rounds: int, sampler: str = "rejection",
-          walk_length: int = L, parts: bool = False):
-    edges = _contact_edges(spark, d) if graph == "contacts" else D.events_edges(spark, d)
-    if parts:   # W11: the same walk over edges placed by their vertex-cut part
-        edges = G.edge_partitions(edges, PARTS, SEED).repartition(PARTS, "part").drop("part")
-    g = build_graph(edges, directed=directed)
-    return random_walk(g, WalkParams(walk_length=walk_length, num_walks=rounds, p=P, q=Q, seed=SEED,
-                                     sampler=sampler))
+          walk_length: int = L, edges=None):
+    g = build_graph(_edges(spark, d, graph) if edges is None else edges, directed=directed)
+    walks = random_walk(g, WalkParams(walk_length=walk_length, num_walks=rounds, p=P, q=Q, seed=SEED,
+                                      sampler=sampler))
+    g.unpersist()
+    return walks
 
 
 def _vectors(spark, d):
@@ -125,9 +136,8 @@ def q_users_in_regions(spark, d):
 
 
 def q_path_tokens(spark, d):
-    r = _walk(spark, d, "events", False, 1).paths
-    tokens = F.col("path").cast("array<string>")   # P6: the ids as Word2Vec tokens
-    return r.select(F.col("rnd").cast("int").alias("rnd"), "v0", F.array_join(tokens, " ").alias("tokens"))
+    tokens = path_tokens(_walk(spark, d, "events", False, 1).paths)
+    return tokens.select(F.array_join("tokens", " ").alias("tokens"))
 
 
 def q_vector_dot(spark, d):
@@ -209,12 +219,21 @@ def q_graph_vertices(spark, d):
     return G.graph_vertices(_contact_edges(spark, d), directed=True)
 
 
-def q_adjacency(spark, d):
-    a = G.adjacency(G.orient(_contact_edges(spark, d), directed=False))
+def _adjacency_out(a):
     txt = F.transform("nbrs", lambda x: F.concat(x["dst"].cast("string"), F.lit(":"), x["w"].cast("bigint").cast("string")))
     return a.select("src", "block", F.size("nbrs").cast("bigint").alias("n"), F.array_join(txt, " ").alias("nbrs"))
 
 
+def q_adjacency(spark, d):
+    return _adjacency_out(G.adjacency(G.orient(_contact_edges(spark, d), directed=False)))
+
+
+def q_adjacency_directed(spark, d):
+    """Sinks have one empty block; lists of more than BLOCK entries several."""
+    e = D.events_edges(spark, d)
+    return _adjacency_out(G.adjacency(G.orient(e, directed=True), G.graph_vertices(e, directed=True), block_size=BLOCK))
+
+
 def q_graph_stats(spark, d):
     return G.graph_stats(D.events_edges(spark, d), directed=False)
 
@@ -223,6 +242,16 @@ def _parted(spark, d):
     return G.parted_orient(G.edge_partitions(D.events_edges(spark, d), PARTS, SEED), directed=False)
 
 
+def _given_parts(spark, d):
+    """A11's other branch: every third edge names its part, the others' are drawn."""
+    given = F.when(F.pmod(F.col("src") + F.col("dst"), F.lit(3)) == 0, F.pmod("src", F.lit(PARTS)).cast("int"))
+    return G.edge_partitions(D.events_edges(spark, d).withColumn("given", given), PARTS, SEED, part_col="given")
+
+
+def q_edge_partitions_given(spark, d):
+    return _given_parts(spark, d).select("src", "dst", "part")
+
+
 def q_edge_partitions(spark, d):
     return _parted(spark, d).select("src", "dst", "part")
 
@@ -281,8 +310,10 @@ def q_second_order_step(spark, d):
 
 
 def q_walkers_init(spark, d):
-    v = G.graph_vertices(D.events_edges(spark, d), directed=True)
-    return v.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("rnd"), F.col("v").alias("v0"))
+    g = build_graph(D.events_edges(spark, d), directed=True)
+    w = materialize(init_walkers(g, 2).select("rnd", "v0"), "walkers")
+    g.unpersist()
+    return w
 
 
 def q_first_step(spark, d):
@@ -305,8 +336,14 @@ def q_random_walk_cdf(spark, d):
     return _walk_out(_walk(spark, d, "events", False, 1, sampler="cdf").paths)
 
 
+def q_random_walk_decimal(spark, d):
+    """Weights with cents, many of which have no exact binary form."""
+    return _walk_out(_walk(spark, d, "prices", False, 1).paths)
+
+
 def q_random_walk_partitioned(spark, d):
-    return _walk_out(_walk(spark, d, "events", False, 1, parts=True).paths)
+    """The edges come with a part for some of them (A11 keeps it and draws the others')."""
+    return _walk_out(_walk(spark, d, "events", False, 1, edges=_given_parts(spark, d).select("src", "dst", "w")).paths)
 
 
 def q_dead_end_walks(spark, d):
@@ -320,28 +357,100 @@ def q_walk_counts(spark, d):
 
 
 def q_walk_quality(spark, d):
-    """Expected vs actual paths, short paths, and steps that are not edges."""
     e = D.events_edges(spark, d)
     r = _walk(spark, d, "events", True, 2)
-    steps = r.steps
-    nxt = steps.select("rnd", "v0", (F.col("step") - 1).alias("step"), F.col("vertex").alias("to"))
-    moves = steps.join(nxt, ["rnd", "v0", "step"]).select(F.col("vertex").alias("src"), F.col("to").alias("dst"))
-    invalid = moves.join(G.orient(e, directed=True), ["src", "dst"], "left_anti").select(F.count(F.lit(1))).scalar()
-    n_v = G.graph_vertices(e, directed=True).select(F.count(F.lit(1))).scalar()
-    return r.paths.agg(F.count(F.lit(1)).alias("paths"),
-                       F.sum(F.when(F.size("path") < L + 2, 1).otherwise(0)).cast("bigint").alias("short_paths")) \
-        .select("paths", (n_v * 2).alias("expected_paths"), "short_paths", invalid.alias("invalid_steps"))
+    return walk_report(r, G.orient(e, directed=True), G.graph_vertices(e, directed=True), 2, L)
 
 
 def q_node_embedding_size(spark, d):
-    """E1+E2 (rows-only check): vocabulary = vertices on paths, one vector of ``dim`` each."""
+    """E1+E2: vocabulary = vertices on paths, one vector of ``dim`` each."""
     paths = _walk(spark, d, "events", False, 1).paths
-    model = fit_word2vec(path_tokens(paths), Word2VecParams(dim=16, window=5, iterations=1, partitions=1,
-                                                            max_sentence_length=L + 2))
-    v = model_vectors(model)
+    v = model_vectors(fit_word2vec(path_tokens(paths), W2V))
     return v.select("key", F.size("vector").cast("bigint").alias("dim"))
 
 
+# ---------------------------------------------------------------- text forms and jobs
+
+def _edge_lines(spark, d, form: str):
+    """The events graph as one of the four line forms, with a header, a comment, blank and damaged lines."""
+    e = D.events_edges(spark, d)
+    s, t, w = (F.col(c).cast("bigint").cast("string") for c in ("src", "dst", "w"))
+    part = F.when(F.pmod("src", F.lit(5)) == 0, F.lit("?")).otherwise(F.pmod("src", F.lit(PARTS)).cast("string"))
+    columns = {"plain": [s, t], "weight": [s, t, w], "part": [s, t, part], "part_weight": [s, t, part, w]}[form]
+    good = e.select(F.concat_ws(" ", *columns).alias("value"))
+    bad = e.select(F.concat(F.lit("# "), s).alias("value")).unionByName(e.select(F.concat(s, F.lit(" x")).alias("value")))
+    return good.unionByName(bad).unionByName(spark.createDataFrame([("# FromNodeId ToNodeId",), ("",)], "value string"))
+
+
+FORMS = {"plain": (False, False), "weight": (True, False), "part": (False, True), "part_weight": (True, True)}
+
+
+def q_edge_list_forms(spark, d):
+    out = None
+    for form, (weighted, partitioned) in FORMS.items():
+        e = X.parse_edge_lines(_edge_lines(spark, d, form), weighted, partitioned).withColumn("form", F.lit(form))
+        out = e if out is None else out.unionByName(e)
+    return out.select("form", "src", "dst", "w", "part")
+
+
+def q_edge_line_counts(spark, d):
+    return X.edge_line_counts(_edge_lines(spark, d, "weight"))
+
+
+def _job(spark, **kw):
+    return JobParams(walk=WalkParams(walk_length=L, num_walks=1, p=P, q=Q, seed=SEED), w2v=W2V,
+                     output=scratch_path(spark, "job"), output_partitions=3, **kw)
+
+
+def _lines(spark, job):
+    return spark.read.text(f"{job.output}/path")
+
+
+def q_job_walk(spark, d):
+    """E4 with K1: the written lines."""
+    job = _job(spark)
+    jobs.walk_job(spark, D.events_edges(spark, d), job)
+    return _lines(spark, job).select(F.col("value").alias("line"))
+
+
+def q_job_node2vec(spark, d):
+    """E5 with K2: the keys and sizes of the written vectors."""
+    job = _job(spark)
+    jobs.node2vec_job(spark, D.events_edges(spark, d), job)
+    return X.read_vectors(spark, f"{job.output}/vec").select("number", F.size("vector").cast("bigint").alias("dim"))
+
+
+def q_job_embedding(spark, d):
+    """E3 with J5: trained on a written walk series, named by a saved id map."""
+    walked = _job(spark)
+    jobs.walk_job(spark, _contact_edges(spark, d), walked)
+    X.write_table(_id_map(spark, d), f"{walked.output}/id_map")
+    job = _job(spark, cmd="embedding", input=f"{walked.output}/path", id_map=f"{walked.output}/id_map")
+    jobs.run_job(spark, job)
+    return X.read_vectors(spark, f"{job.output}/vec").select("number", F.size("vector").cast("bigint").alias("dim"))
+
+
+def q_job_model(spark, d):
+    """K3: the saved model, loaded again."""
+    job = _job(spark)
+    jobs.node2vec_job(spark, D.events_edges(spark, d), job)
+    v = model_vectors(Word2VecModel.load(f"{job.output}/bin"))
+    return v.agg(F.count(F.lit(1)).alias("words"), F.max(F.size("vector")).cast("bigint").alias("dim"))
+
+
+def q_output_files(spark, d):
+    """K6: files that each setting writes."""
+    e = materialize(D.events_edges(spark, d), "edges")
+    out = None
+    for name, single in (("single", True), ("several", False)):
+        path = scratch_path(spark, "files")
+        X.write_table(e, path, single_output=single, partitions=3)
+        n = (spark.read.parquet(path).select(F.col("_metadata.file_name").alias("f"))
+             .agg(F.count_distinct("f").alias("files"), F.count(F.lit(1)).alias("edges")).withColumn("setting", F.lit(name)))
+        out = n if out is None else out.unionByName(n)
+    return out.select("setting", "files", "edges")
+
+
 # ---------------------------------------------------------------- similarity
 
 def q_vector_lookup(spark, d):

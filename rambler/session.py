@@ -65,15 +65,28 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rambler-{tag}-{uuid.uuid4().hex}"
 
 
+def write_scratch(df, tag: str):
+    """Write ``df`` as a Parquet table under the checkpoint directory: ``(the table read back, its path)``."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``write_scratch`` or ``scratch_path`` made, and nothing else."""
+    if not path.startswith(f"{ensure_checkpoint_dir(spark).rstrip('/')}/rambler-"):
+        raise ValueError(f"{path} is no scratch table of this session")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df, tag: str):
     """Write ``df`` as a Parquet table under the checkpoint directory and read it back.
 
     One execution of the plan (``Dataset.checkpoint`` runs it twice unless cached), a cut
     lineage, and a copy that survives executor loss.
     """
-    path = scratch_path(df.sparkSession, tag)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return write_scratch(df, tag)[0]
 
 
 def reliable_checkpoint(df):

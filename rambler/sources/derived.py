@@ -45,6 +45,16 @@ def events_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("double").alias("w")))
 
 
+def price_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(src, dst, w)``: suppliers and the parts ordered from them (ids from 10 000 000 on), one row per
+    ``lineitem``.  ``w`` has cents, most of which no double holds exactly: from the price in cents,
+    modulo 9973, plus 1, as hundredths."""
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice")
+    cents = F.round(F.col("l_extendedprice").cast("double") * 100).cast("bigint")
+    return li.select(F.col("l_suppkey").cast("bigint").alias("src"), (F.col("l_partkey") + 10_000_000).cast("bigint").alias("dst"),
+                     ((cents % 9973 + 1) / F.lit(100.0)).alias("w"))
+
+
 def contact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, phone_number, dt)`` from ``orders ⋈ lineitem``.
 

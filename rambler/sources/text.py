@@ -13,7 +13,9 @@ def parse_edge_lines(lines: DataFrame, weighted: bool = True, partitioned: bool
     """S3: ``src dst``, ``src dst w``, ``src dst part`` or ``src dst part w`` lines → ``(src, dst, w, part)``.
 
     The weight is the last column; the partition is the third.  With three columns the
-    ``partitioned`` flag decides what the third one is.  A missing or unparsable weight is 1.0.
+    ``partitioned`` flag decides what the third one is.  A missing or unparsable weight is 1.0,
+    a missing or unparsable partition null.  Lines that don't begin with two ids (headers,
+    comments, blank or damaged lines) give no edge; ``edge_line_counts`` counts them.
     """
     p = _parts()
     n = F.size(p)
@@ -27,8 +29,17 @@ def parse_edge_lines(lines: DataFrame, weighted: bool = True, partitioned: bool
     else:
         w = F.lit(1.0)
     part = F.when(F.lit(partitioned) & (n >= 3), third.try_cast("int")) if partitioned else F.lit(None).cast("int")
-    return (lines.where(F.length(F.trim("value")) > 0)
-            .select(src.alias("src"), dst.alias("dst"), w.alias("w"), part.alias("part")))
+    return (lines.select(src.alias("src"), dst.alias("dst"), w.alias("w"), part.alias("part"))
+            .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+
+
+def edge_line_counts(lines: DataFrame) -> DataFrame:
+    """One row ``(lines, edges, blank, skipped)``: skipped are the other lines without two ids."""
+    p = _parts()
+    blank = F.length(F.trim("value")) == 0
+    ids = F.try_element_at(p, F.lit(1)).try_cast("bigint").isNotNull() & F.try_element_at(p, F.lit(2)).try_cast("bigint").isNotNull()
+    return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(ids).alias("edges"), F.count_if(blank).alias("blank"),
+                     F.count_if(~ids & ~blank).alias("skipped"))
 
 
 def read_edge_list(spark: SparkSession, path: str, weighted: bool = True, partitioned: bool = False) -> DataFrame:
@@ -69,22 +80,23 @@ def vectors_as_lines(vectors: DataFrame, key: str = "key", sep: str = "\t") -> D
 
 
 def _files(df: DataFrame, single_output: bool, partitions: int) -> DataFrame:
-    """K6: one output file, or ``partitions`` files."""
-    return df.coalesce(1) if single_output else df.repartition(partitions)
+    """K6: one output file, or ``partitions`` files.  One file takes a shuffle, so that only the
+    writing, and not the computing, happens in one task."""
+    return df.repartition(1 if single_output else partitions)
 
 
-def write_paths(paths: DataFrame, path: str, single_output: bool = True, partitions: int = 200) -> None:
+def write_paths(paths: DataFrame, path: str, single_output: bool = False, partitions: int = 200) -> None:
     """K1: tab-joined paths as text (one per line)."""
     _files(paths_as_lines(paths).select(F.col("line").alias("value")), single_output, partitions) \
         .write.mode("overwrite").text(path)
 
 
-def write_vectors(vectors: DataFrame, path: str, key: str = "key", single_output: bool = True,
+def write_vectors(vectors: DataFrame, path: str, key: str = "key", single_output: bool = False,
                   partitions: int = 200) -> None:
     """K2: ``key\\tv0\\t…`` text."""
     _files(vectors_as_lines(vectors, key), single_output, partitions).write.mode("overwrite").text(path)
 
 
-def write_table(df: DataFrame, path: str, single_output: bool = True, partitions: int = 200) -> None:
+def write_table(df: DataFrame, path: str, single_output: bool = False, partitions: int = 200) -> None:
     """K4/K5: id map, dataset properties and other tables as Parquet."""
     _files(df, single_output, partitions).write.mode("overwrite").parquet(path)

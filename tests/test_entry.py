@@ -4,7 +4,10 @@ import __spark_entry__ as ent
 
 
 def test_queries_have_oracles(spark):
-    assert set(ent.oracle_sql()) == set(ent.queries())
+    from rambler.plans.oracle import ORACLE
+    from rambler.plans.queries import QUERIES
+    assert set(ORACLE) == set(QUERIES)
+    assert set(ent.oracle_sql()) <= set(ent.queries()) and set(QUERIES) <= set(ent.queries())
 
 
 def test_entry_smoke(spark):

@@ -43,3 +43,24 @@ def test_ordered_lead_matches_window(spark):
     # the union branches (different task indexes) see the same borders
     u = got.unionByName(got)
     assert u.where(F.col("nx").isNull()).count() == 2 * df.select("k").distinct().count()
+
+
+def test_decimal_sums_are_exact_and_independent_of_partitions(spark):
+    rnd = random.Random(8)
+    rows = [(k, i, rnd.choice([0.1, 0.7, 0.3, 1.23])) for k in range(3) for i in range(3000 if k == 1 else 50)]
+    df = spark.createDataFrame(rows, "k long, o long, v double")
+    runs = [sorted(map(tuple, segmented_cumsum(df, "k", ["o"], "v", partitions=n).collect())) for n in (1, 4, 8)]
+    assert runs[0] == runs[1] == runs[2]
+    for x, y in zip(runs[0], runs[0][1:]):
+        if x[0] == y[0]:
+            assert y[3] == x[4]             # no gap and no overlap
+    assert max(r[4] for r in runs[0] if r[0] == 1) == round(sum(round(v * 100) for k, _, v in rows if k == 1) / 100, 8)
+
+
+def test_several_keys_and_null_keys(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "a", 1, 2), (1, "a", 2, 3), (1, "b", 1, 5), (2, "a", 1, 7)], "k long, s string, o long, v long")
+    got = {tuple(r)[:3]: (r.cum_before, r.cum_after) for r in segmented_cumsum(df, ["k", "s"], ["o"], "v").collect()}
+    assert got == {(1, "a", 1): (0, 2), (1, "a", 2): (2, 5), (1, "b", 1): (0, 5), (2, "a", 1): (0, 7)}
+    with pytest.raises(Exception, match="null key"):
+        segmented_cumsum(spark.createDataFrame([(None, 1, 1)], "k long, o long, v long"), "k", ["o"], "v").collect()

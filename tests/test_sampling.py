@@ -45,15 +45,24 @@ def test_input_weights_unchanged(spark):
     assert r.w == 1.0 and r.w2 == 0.5
 
 
-def test_scan_and_window_plans_agree_with_hot_walker(spark):
+def _by_window(c):
+    """One window per walker, in whole units."""
+    from pyspark.sql import Window
+    by = Window.partitionBy("k")
+    units = F.round(F.col("w") * 10**8).cast("long")
+    acc = c.select("k", "dst", "u", (F.sum(units).over(by.orderBy("dst")) / 1e8).alias("a"), (F.sum(units).over(by) / 1e8).alias("t"))
+    return acc.groupBy("k").agg(F.coalesce(F.min(F.when(F.col("a") >= F.col("u") * F.col("t"), F.col("dst"))), F.min("dst")).alias("next"))
+
+
+def test_scan_agrees_with_window_with_hot_walker(spark):
     import random
     rnd = random.Random(3)
-    rows = []
-    for k in range(30):
-        size = 2500 if k == 4 else rnd.randint(1, 40)       # walker 4 stands on a hub
-        u = rnd.random()
-        rows += [(k, d, float(rnd.randint(1, 4)), u) for d in rnd.sample(range(100000), size)]
-    c = spark.createDataFrame(rows, "k int, dst long, w double, u double")
-    a = sorted(map(tuple, weighted_sample(c, ["k"], method="scan").collect()))
-    b = sorted(map(tuple, weighted_sample(c, ["k"], method="window").collect()))
-    assert a == b and len(a) == 30
+    for weight in (lambda: float(rnd.randint(1, 4)), lambda: rnd.choice([0.1, 0.7, 1 / 3, 2.5e-7, 12.34])):
+        rows = []
+        for k in range(30):
+            size = 2500 if k == 4 else rnd.randint(1, 40)       # walker 4 stands on a hub
+            u = rnd.random()
+            rows += [(k, d, weight(), u) for d in rnd.sample(range(100000), size)]
+        c = spark.createDataFrame(rows, "k int, dst long, w double, u double")
+        a = sorted(map(tuple, weighted_sample(c, ["k"]).collect()))
+        assert a == sorted(map(tuple, _by_window(c).collect())) and len(a) == 30

@@ -117,13 +117,88 @@ def test_rejection_step_distribution(spark):
         assert abs(picks[v] / n - share) < 4 * sd
 
 
-def test_default_trials_bound_stalls():
+def test_default_trials():
     from rambler.operators.walk import _accept_ratios, default_trials
     assert default_trials(1.0, 1.0) == 1
     for p, q in ((0.5, 2.0), (1.0, 2.0), (4.0, 0.25), (0.25, 1.0)):
-        k = default_trials(p, q)
         worst = min(_accept_ratios(p, q))
-        if k < 64:   # batches are capped at 64; a stalled walker retries next turn (exact)
-            assert (1 - worst) ** k <= 1e-3 < (1 - worst) ** (k - 1)
-        else:
-            assert (1 - worst) ** 64 > 1e-3
+        assert 2 / worst <= default_trials(p, q) < 2 / worst + 1
+        assert (1 - worst) ** default_trials(p, q) < 0.15          # stalled walkers go on next turn
+
+
+def _decimal_edges(spark, n=600):
+    import random
+    rnd = random.Random(4)
+    return spark.createDataFrame([(0, d, rnd.choice([0.1, 0.7, 0.3, 12.34])) for d in range(1, n + 1)], "src long, dst long, w double")
+
+
+def test_every_draw_falls_into_one_interval(spark):
+    """Draws on and next to every border of a vertex with decimal weights: one step each."""
+    import math
+    g = build_graph(_decimal_edges(spark), directed=True)
+    lst = sorted({(r.dst, r.cb, r.ca) for r in g.index.where("src = 0").collect()})
+    assert all(x[2] == y[1] for x, y in zip(lst, lst[1:])) and lst[0][1] == 0
+    tot = lst[-1][2]
+    borders = [x[2] for x in lst[:: len(lst) // 25]]
+    draws = {min(max(math.nextafter(b / tot, way), 0.0), 1 - 2**-53) for b in borders for way in (0.0, b / tot, 1.0)}
+    w = spark.createDataFrame([(0, 0, 0, None, 0, len(lst), tot, 0)],
+                              "rnd int, v0 long, step int, prev long, cur long, n long, tot double, tb long")
+    for u in sorted(draws):
+        thr = u * tot
+        want = next((d for d, _, ca in lst if ca >= thr), lst[0][0])
+        got = rejection_step(w, g, WalkParams(walk_length=0), 1, u1=u).collect()
+        assert [r.cur for r in got] == [want], u
+
+
+def test_walks_with_decimal_weights_do_not_depend_on_partitions(spark):
+    e = _decimal_edges(spark, 200)
+    p = WalkParams(walk_length=4, num_walks=1, p=0.5, q=2.0, seed=9)
+    runs = [sorted(map(tuple, random_walk(build_graph(e, partitions=n), p).paths.collect())) for n in (1, 4, 8)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == 201
+
+
+def test_unequal_weights_distribution(spark):
+    e = spark.createDataFrame([(1, 2, 0.1), (1, 3, 0.7), (1, 4, 1.2)], "src long, dst long, w double")
+    g = build_graph(e, directed=True)
+    n = 6000
+    w = spark.createDataFrame([(0, i, 0, None, 1, 3, 2.0, 0) for i in range(n)],
+                              "rnd int, v0 long, step int, prev long, cur long, n long, tot double, tb long")
+    picks = Counter(r.cur for r in rejection_step(w, g, WalkParams(walk_length=0, seed=2), 1).collect())
+    assert sum(picks.values()) == n
+    for v, share in ((2, 0.05), (3, 0.35), (4, 0.6)):
+        assert abs(picks[v] / n - share) < 4 * (share * (1 - share) / n) ** 0.5
+
+
+@pytest.mark.parametrize("hub_first", [True, False])
+def test_star_graph_keys_are_spread(spark, hub_first):
+    """All walkers of a turn stand on the hub: its index keys, copied or bucketed, share them out."""
+    n = 400
+    rows = [(0, d, 1.0) if hub_first else (d, 0, 1.0) for d in range(1, n + 1)] + [(0, n + 1, 1.0)]
+    e = spark.createDataFrame(rows, "src long, dst long, w double")
+    g = build_graph(e, directed=not hub_first, partitions=8)
+    hub = g.vertices.where("v = 0").first()
+    keys = hub.n * hub.copies                       # keys of the index that walkers on the hub draw
+    share = g.edges.where("dst = 0").count() / g.edges.count()
+    assert share / keys <= 1 / (4 * 8) + 1e-9
+    paths = random_walk(g, WalkParams(walk_length=3, num_walks=1, p=0.5, q=2.0, seed=1)).paths
+    assert paths.count() == n + 2
+
+
+def test_scratch_holds_one_walker_table_at_the_end(spark, karate):
+    import os
+    from rambler.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    r = random_walk(build_graph(karate), WalkParams(walk_length=6, num_walks=1, p=0.5, q=2.0))
+    left = [x for x in set(os.listdir(root)) - before if x.startswith("rambler-walkers")]
+    assert left == [] and r.paths.count() == 34
+
+
+def test_adjacency_blocks_in_order_and_sinks(spark):
+    rows = [(1, d, 1.0) for d in range(40, 0, -1)] + [(1, 7, 2.0), (1, 7, 2.0), (2, 1, 1.0)]
+    e = spark.createDataFrame(rows, "src long, dst long, w double")
+    a = G.adjacency(e, G.graph_vertices(e, directed=True), block_size=16).collect()
+    blocks = {(r.src, r.block): [(x.dst, x.w) for x in r.nbrs] for r in a}
+    assert [len(blocks[1, b]) for b in range(3)] == [16, 16, 10]
+    assert sum((blocks[1, b] for b in range(3)), []) == sorted((d, w) for s, d, w in rows if s == 1)
+    assert blocks[2, 0] == [(1, 1.0)] and blocks[3, 0] == [] and len(blocks) == 3 + 1 + 38
