@@ -103,8 +103,9 @@ class WordEncoder:
         self.bits, self.most = words_bits, 1 << words_bits
         self._clear()
 
-    def _clear(self) -> None:
-        self.table, self.n = _Table(self.bits + 1), 0
+    def _clear(self, coming: int = 0) -> None:
+        """Forget all words.  A text with more words than are kept gets a table of its size for the time."""
+        self.table, self.n = _Table(max(self.bits, coming.bit_length()) + 1), 0
         self.begin, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(4096, self.dtype), 0
 
@@ -171,11 +172,11 @@ class WordEncoder:
         if len(missing):
             new, at = np.unique(hashes[missing], return_index=True)
             if self.n + len(new) > self.most:
-                self._clear()
                 usual = np.ones(len(hashes), bool)
                 usual[alone] = False
                 missing = np.flatnonzero(usual)
                 new, at = np.unique(hashes[missing], return_index=True)
+                self._clear(len(new))
             whole, at = data.tobytes(), missing[at]
             self._learn(new, [whole[x:y] for x, y in zip(begins[at].tolist(), ends[at].tolist())])
             entries[missing] = self.table.find(hashes[missing])
