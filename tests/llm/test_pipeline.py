@@ -1,7 +1,5 @@
 """The pipeline: every stage against a brute-force version on its own input."""
 
-import hashlib
-
 import corpus_pipeline
 import sentencepiece
 from llm_helpers import SF001, pairs

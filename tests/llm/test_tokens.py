@@ -9,7 +9,6 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 from llm_helpers import pairs
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rambler.llm.bpe import WordEncoder
