@@ -45,7 +45,7 @@ def format_spans(found: list[tuple[int, int, int]]) -> str:
 
 
 def _scan_batches(it):
-    for b in it:
+    for b in (whole.slice(a, 256) for whole in it for a in range(0, whole.num_rows, 256)):
         found = [find_secrets(t) for t in b.column("text").to_pylist()]
         counts = [pa.array([sum(x[1] == k for x in f) for f in found], pa.int64()) for k in range(len(RULES))]
         yield pa.record_batch([b.column("digest"), *counts, pa.array(map(format_spans, found), pa.string())],
@@ -89,7 +89,7 @@ def redactions(versions: DataFrame, ledger: str, id_col: str = "doc_id", text_co
     names = versions.columns
 
     def replace(it):
-        for b in it:
+        for b in (whole.slice(a, 256) for whole in it for a in range(0, whole.num_rows, 256)):
             texts, spans = b.column(text_col).to_pylist(), b.column("__spans").to_pylist()
             new = pa.array([redact(t, s) if s else t for t, s in zip(texts, spans)], b.column(text_col).type)
             yield pa.record_batch([new if c == text_col else b.column(c) for c in names], names=names)
