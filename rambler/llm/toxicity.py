@@ -179,7 +179,9 @@ def fit(docs: DataFrame, labels: DataFrame, training, s: Settings, id_col: str =
         positive = rows["positive"].to_numpy()
         if not positive.any():
             return pd.DataFrame({"buckets": [], "weights": [], "scale": [], "shift": []})
-        features, counts = distinct_words(*word_features(rows["text"].tolist(), s.bits))
+        texts = rows["text"].tolist()
+        parts = [distinct_words(*word_features(texts[a : a + 128], s.bits)) for a in range(0, len(texts), 128)]
+        features, counts = (np.concatenate(x) for x in zip(*parts))
         weights, scale, shift = train(features, counts, positive, prior, s)
         used = np.flatnonzero(weights).astype("<i4")
         return pd.DataFrame({"buckets": [used.tobytes()], "weights": [weights[used].astype("<f4").tobytes()], "scale": [scale], "shift": [shift]})
