@@ -30,17 +30,19 @@ def _sorted(df: DataFrame, cols: list[str], n: int | None) -> DataFrame:
     once more, and its size on disk tells how many partitions it needs (``n`` overrides).  If the
     session's number is enough, AQE merges adjacent small ranges, so partitions stay ordered.
     """
-    from rambler.session import ensure_checkpoint_dir, materialize, reliable_checkpoint
+    from rambler.session import delete_scratch, ensure_checkpoint_dir, reliable_checkpoint, write_scratch
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    df = materialize(df, "unsorted")
+    df, written = write_scratch(df, "unsorted")
     wanted = -(-int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // PARTITION_BYTES)
     if not n and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         n = wanted
     ranged = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
     # The partition index is stored as data: a task's own index differs from it when the
     # scan is one branch of a union, or after partitions are coalesced.
-    return reliable_checkpoint(ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id()))
+    done = reliable_checkpoint(ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id()))
+    delete_scratch(spark, written)      # the checkpoint is eager and has its own copy
+    return done
 
 
 _PID = "_rpid"
