@@ -8,7 +8,12 @@ nearest to it (multiprobe), over all tables; what it finds there is ranked exact
 Equal vectors are one class, searched once and standing for its ``k + 1`` smallest ids, which is all
 that any result can show of it.  Cells are dealt to tasks; a cell with more than ``cell_rows`` vectors
 is split by a salt, and its queries visit every part.  A task holds one part of a cell at a time, and
-queries stream past it.  Inner products become angles by one more coordinate when lengths differ.
+queries stream past it.
+
+A vector's direction is hashed, and inner products depend on lengths too: vectors of similar length are
+a band, with cells of its own.  Every query searches every band, from the longest vectors on, except
+those whose longest vector can't reach the worst score that it needs.  Bands of few vectors aren't
+hashed but searched whole, in blocks.
 """
 
 from __future__ import annotations
@@ -21,7 +26,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rambler.session import materialize
 
-UNIT_SPREAD = 1e-3  # lengths that differ by a smaller share count as equal when hashing
+BAND = float(np.log(1.05))  # lengths in a band differ by less than this factor, as a logarithm
+MARGIN = 1e-9  # more than rounding changes in the logarithm of a score
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -75,52 +81,55 @@ def _matrices(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, np.asarray(column.take(pa.array(rows)).flatten()).reshape(-1, dim)
 
 
+CELL = ["dim", "band", "t", "cell", "salt"]
+PLACED = "dim int, band int, t int, cell int, salt int, query boolean, bucket binary, cls long, vector array<double>"
+
+
 class Hashing:
-    """The tables' hashes of vectors and queries.  ``reach``: the largest length for each dimension where
-    lengths differ."""
-
-    def __init__(self, tables: int, probes: int, seed: int, reach: dict[int, float]):
-        self.tables, self.probes, self.seed, self.reach = tables, probes, seed, reach
-
-    def _units(self, x: np.ndarray, query: bool) -> np.ndarray:
-        norm = np.linalg.norm(x / (big := np.abs(x).max(1, keepdims=True)), axis=1, keepdims=True) * big
-        if x.shape[1] not in self.reach:
-            return x / norm
-        if query:
-            return np.pad(x / norm, ((0, 0), (0, 1)))
-        scaled = x / self.reach[x.shape[1]]
-        return np.hstack([scaled, np.sqrt(np.maximum(0, 1 - (scaled**2).sum(1, keepdims=True)))])
-
-    def rotations(self, x: np.ndarray, query: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        units = self._units(x, query)
+    """The tables' hashes of vectors' directions."""
+
+    def __init__(self, tables: int, probes: int, seed: int):
+        self.tables, self.probes, self.seed = tables, probes, seed
+
+    def rotations(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        scaled = x / np.abs(x).max(1, keepdims=True)
+        units = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
         for t in range(self.tables):
             yield t, rotate(units, self.seed, t, 0), rotate(units, self.seed, t, 1)
 
 
-def _cells(hashing: Hashing):
-    """How many vectors each cell has, one row for each cell that a task meets."""
+def _cells(hashing: Hashing, bands: set[tuple[int, int]]):
+    """How many vectors each cell of the bands ``(dim, band)`` has, one row for each cell that a task meets."""
+    names = ["dim", "band", "t", "cell"]
+
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[tuple, int] = {}
         for b in it:
-            for _, x in _matrices(b):
-                for t, first, _ in hashing.rotations(x, False):
-                    for cell, m in zip(*np.unique(nearest_axis(first), return_counts=True)):
-                        key = (x.shape[1], t, int(cell))
-                        n[key] = n.get(key, 0) + int(m)
-        yield pa.record_batch([pa.array([k[0] for k in n], pa.int32()), pa.array([k[1] for k in n], pa.int32()),
-                               pa.array([k[2] for k in n], pa.int32()), pa.array(list(n.values()), pa.int64())], names=["dim", "t", "cell", "n"])
+            band = np.asarray(b.column("band"))
+            for own, x in _matrices(b):
+                hashed = np.array([(x.shape[1], int(v)) in bands for v in band[own]])
+                for t, first, _ in hashing.rotations(x[hashed]) if hashed.any() else ():
+                    keys, counts = np.unique(np.stack([band[own[hashed]], nearest_axis(first)], 1), axis=0, return_counts=True)
+                    for (of, cell), m in zip(keys.tolist(), counts.tolist()):
+                        key = (x.shape[1], of, t, cell)
+                        n[key] = n.get(key, 0) + m
+        yield pa.record_batch([*(pa.array([k[i] for k in n], pa.int32()) for i in range(4)), pa.array(list(n.values()), pa.int64())], names=[*names, "n"])
     return count
 
 
-def _place(hashing: Hashing, parts: dict[tuple, int]):
-    """Rows ``(dim, t, cell, salt, query, bucket, cls, vector)``: vectors in their buckets, and queries in
-    each cell they probe, ``bucket`` being a bit mask there."""
-    names = ["dim", "t", "cell", "salt", "query", "bucket", "cls", "vector"]
+def _place(hashing: Hashing, parts: dict[tuple, int], bands: dict[tuple[int, int], float]):
+    """Rows ``(dim, band, t, cell, salt, query, bucket, cls, vector)``: vectors in their buckets, and queries
+    in each cell they probe, ``bucket`` being a bit mask there.
+
+    ``bands``: the logarithm of the largest length in each ``(dim, band)`` to search now.  A query's
+    ``needed`` is the logarithm of the score below which it needs nothing more, if there is one.
+    """
+    names = [*CELL, "query", "bucket", "cls", "vector"]
 
-    def rows(b, chosen, x, t, cell, salt, query, bucket):
+    def rows(b, chosen, x, band, t, cell, salt, query, bucket):
         n = len(chosen)
         return pa.record_batch(
-            [pa.array(np.full(n, x.shape[1]), pa.int32()), pa.array(np.full(n, t), pa.int32()), pa.array(cell, pa.int32()),
+            [pa.array(np.full(n, x.shape[1]), pa.int32()), pa.array(band, pa.int32()), pa.array(np.full(n, t), pa.int32()), pa.array(cell, pa.int32()),
              pa.array(salt, pa.int32()), pa.array(np.full(n, query)), pa.array(bucket, pa.binary()),
              b.column("cls").take(pa.array(chosen)), b.column("vector").take(pa.array(chosen))], names=names)
 
@@ -128,24 +137,64 @@ def _place(hashing: Hashing, parts: dict[tuple, int]):
         for whole in it:
             for a in range(0, whole.num_rows, 128):
                 b = whole.slice(a, 128)
-                cls, is_query = np.asarray(b.column("cls")), np.asarray(b.column("is_query"))
+                cls, band, is_query, log_length = (np.asarray(b.column(c)) for c in ("cls", "band", "is_query", "log_length"))
+                needed = np.asarray(b.column("needed").fill_null(-np.inf))
                 for own, x in _matrices(b):
-                    for t, first, second in hashing.rotations(x, False):
-                        cell = nearest_axis(first)
-                        split = np.array([parts[x.shape[1], t, int(c)] for c in cell])
+                    dim = x.shape[1]
+                    held = np.flatnonzero([(dim, int(v)) in bands for v in band[own]])
+                    for t, first, second in hashing.rotations(x[held]) if len(held) else ():
+                        cell, of = nearest_axis(first), band[own[held]]
+                        split = np.array([parts[dim, int(v), t, int(c)] for v, c in zip(of, cell)])
                         bucket = [int(v).to_bytes(4, "big") for v in nearest_axis(second)]
-                        yield rows(b, own, x, t, cell, cls[own] % split, False, bucket)
-                    asks = np.flatnonzero(is_query[own])
-                    for t, first, second in hashing.rotations(x[asks], True) if len(asks) else ():
+                        yield rows(b, own[held], x, of, t, cell, cls[own[held]] % split, False, bucket)
+                    reach = {v: log_length[own] + most + MARGIN >= needed[own] for (d, v), most in bands.items() if d == dim}
+                    asks = np.flatnonzero(is_query[own] & np.any([*reach.values(), np.zeros(len(own), bool)], axis=0))
+                    for t, first, second in hashing.rotations(x[asks]) if len(asks) else ():
                         wanted = probed(first, second, hashing.probes)
-                        q, cell = np.nonzero(wanted.any(2))
-                        masks = np.packbits(wanted[q, cell], axis=1)
-                        split = np.array([parts.get((x.shape[1], t, int(c)), 0) for c in cell], np.int64)
-                        each = np.repeat(np.arange(len(q)), split)  # a query visits all parts; cells without vectors have none
-                        salt = np.arange(len(each)) - np.repeat(np.cumsum(split) - split, split)
-                        yield rows(b, own[asks[q[each]]], x, t, cell[each], salt, True, [m.tobytes() for m in masks[each]])
+                        for of, near in reach.items():
+                            q, cell = np.nonzero(wanted.any(2) & near[asks, None])
+                            masks = np.packbits(wanted[q, cell], axis=1)
+                            split = np.array([parts.get((dim, of, t, int(c)), 0) for c in cell], np.int64)
+                            each = np.repeat(np.arange(len(q)), split)  # a query visits all parts; cells without vectors have none
+                            salt = np.arange(len(each)) - np.repeat(np.cumsum(split) - split, split)
+                            yield rows(b, own[asks[q[each]]], x, np.full(len(each), of), t, cell[each], salt, True, [m.tobytes() for m in masks[each]])
+
+    return place
 
-    return place, "dim int, t int, cell int, salt int, query boolean, bucket binary, cls long, vector array<double>"
+
+def _blocks(vectors: DataFrame, queries: DataFrame, block_rows: int) -> DataFrame:
+    """Rows as ``_place`` makes them, so that every query meets every vector of its dimension.
+
+    Vectors and queries are dealt to parts of about ``block_rows``; each two parts are a cell.
+    """
+    def counted(rows, name):
+        return rows.groupBy(F.size("vector").alias("dim")).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    def dealt(rows, query, own, of_own, other, of_other, bucket):
+        part = F.pmod(F.xxhash64("cls"), F.col(of_own)).cast("int").alias(own)
+        each = F.explode(F.sequence(F.lit(0), F.col(of_other) - 1)).alias(other)
+        fixed = [F.lit(0).alias("band"), F.lit(0).alias("t"), F.lit(query).alias("query"), F.lit(bytearray(bucket)).alias("bucket")]
+        return rows.withColumn("dim", F.size("vector")).join(parts, "dim").select("dim", part, each, *fixed, "cls", "vector").select(*CELL, "query", "bucket", "cls", "vector")
+
+    parts = materialize(counted(vectors, "of_vectors").join(counted(queries, "of_queries"), "dim"), "blocks")
+    return (dealt(vectors, False, "salt", "of_vectors", "cell", "of_queries", b"\0").unionByName(
+            dealt(queries, True, "cell", "of_queries", "salt", "of_vectors", b"\x80")))
+
+
+def _rounds(bands: list) -> list[dict[tuple[int, int], float]]:
+    """The logarithm of the largest length of each ``(dim, band)``, from the longest vectors on; a round has
+    at least as many vectors as all before it."""
+    rounds: list[dict] = []
+    for dim in sorted({b["dim"] for b in bands}):
+        at = before = now = 0
+        for b in sorted((b for b in bands if b["dim"] == dim), key=lambda b: b["band"]):
+            if at == len(rounds):
+                rounds.append({})
+            rounds[at][dim, b["band"]] = b["most"]
+            now += b["n"]
+            if now >= before:
+                at, before, now = at + 1, before + now, 0
+    return rounds
 
 
 def _search(keep: int):
@@ -154,14 +203,14 @@ def _search(keep: int):
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, vectors, buckets, classes = None, [], [], []
         for b in it:
-            keys = np.stack([np.asarray(b.column(c)) for c in ("dim", "t", "cell", "salt")] + [np.asarray(b.column("query")).astype(np.int32)], 1)
+            keys = np.stack([np.asarray(b.column(c)) for c in CELL] + [np.asarray(b.column("query")).astype(np.int32)], 1)
             edges = np.r_[0, np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1, len(keys)]
             for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                cell, some = tuple(keys[a, :4].tolist()), b.slice(a, z - a)
+                cell, some = tuple(keys[a, : len(CELL)].tolist()), b.slice(a, z - a)
                 x = np.asarray(some.column("vector").flatten()).reshape(-1, cell[0])
                 if cell != at:
                     at, vectors, buckets, classes = cell, [], [], []
-                if not keys[a, 4]:
+                if not keys[a, len(CELL)]:
                     vectors.append(x)
                     buckets.append(np.array([int.from_bytes(v, "big") for v in some.column("bucket").to_pylist()]))
                     classes.append(np.asarray(some.column("cls")))
@@ -185,14 +234,15 @@ def _search(keep: int):
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12, probes: int = 640, seed: int = 11,
-            cell_rows: int = 50_000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+            cell_rows: int = 50_000, exact_rows: int = 1_000, block_rows: int = 5_000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` largest inner products found for each query.
 
     ``is_query`` is a condition on ``id_col``.  Nearest first, ties to the smaller id; never the query's
     own row; fewer rows where there are fewer candidates.  Null ids, and vectors that are null, empty,
     zero or hold null or non-finite components, take no part; vectors of different lengths never meet.
     An id that repeats stands for the smallest of its vectors.  Other columns aren't read; an empty
-    table gives no rows.
+    table gives no rows.  Bands of at most ``exact_rows`` vectors are searched whole, in blocks of
+    ``block_rows``.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias(id_col), F.col(vector_col).cast("array<double>").alias("vector"))
@@ -205,23 +255,42 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12,
     classes = (rows.withColumn("n", smallest).filter(F.col("n") <= k + 1).groupBy("vector")
                .agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("cls", F.col("ids")[0]))
     asked = queries.select("vector").distinct().withColumn("asked", F.lit(True))
-    classes = materialize(classes.join(asked, "vector", "left").withColumn("is_query", F.coalesce("asked", F.lit(False))).drop("asked"), "classes")
+    classes = classes.join(asked, "vector", "left").withColumn("is_query", F.coalesce("asked", F.lit(False))).drop("asked")
+    largest = F.array_max(F.transform("vector", F.abs))
+    log_length = F.log(largest) + F.log(F.aggregate("vector", F.lit(0.0), lambda s, v: s + (v / largest) * (v / largest))) / 2
+    classes = materialize(classes.withColumn("dim", F.size("vector")).withColumn("log_length", log_length), "classes")
+    longest = classes.groupBy("dim").agg(F.max("log_length").alias("longest"))
+    band = F.floor((F.col("longest") - F.col("log_length")) / BAND).cast("int")
+    classes = materialize(classes.join(longest, "dim").withColumn("band", band).drop("longest"), "banded")
+    bands = classes.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"), F.max("log_length").alias("most"))
+    asking = classes.filter("is_query")
+
+    def searched(dealt: DataFrame) -> DataFrame:
+        dealt = dealt.repartition(*CELL).sortWithinPartitions(*CELL, "query")
+        return dealt.mapInArrow(_search(k + 4), "asking long, cls long, score double")
 
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
-    lengths = classes.groupBy(F.size("vector").alias("dim")).agg(F.min(length).alias("least"), F.max(length).alias("most")).collect()
-    hashing = Hashing(tables, probes, seed, {r["dim"]: r["most"] for r in lengths if r["most"] - r["least"] > UNIT_SPREAD * r["most"]})
-    cells = (classes.select("vector").mapInArrow(_cells(hashing), "dim int, t int, cell int, n long")
-             .groupBy("dim", "t", "cell").agg(F.sum("n").alias("n")).collect())  # at most 4 * dimension * tables rows
-    parts = {(r["dim"], r["t"], r["cell"]): -(-r["n"] // cell_rows) for r in cells}
+    best = Window.partitionBy("asking").orderBy(F.desc("score"), "cls")
 
-    cell = ["dim", "t", "cell", "salt"]
-    place, schema = _place(hashing, parts)
-    dealt = classes.select("cls", "vector", "is_query").mapInArrow(place, schema).repartition(*cell).sortWithinPartitions(*cell, "query")
-    found = dealt.mapInArrow(_search(k + 4), "asking long, cls long, score double")
-    found = found.groupBy("asking", "cls").agg(F.max("score").alias("score"))
+    def merged(top: DataFrame | None, found: DataFrame) -> DataFrame:
+        """Each query's best ``k + 1`` classes: its own may be one of them."""
+        found = (found if top is None else top.unionByName(found)).groupBy("asking", "cls").agg(F.max("score").alias("score"))
+        return materialize(found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n"), "top")
+
+    small = bands.filter(F.col("n") <= exact_rows).select("dim", "band")
+    top = merged(None, searched(_blocks(classes.join(small, ["dim", "band"], "left_semi"), asking, block_rows)))
+
+    large = bands.filter(F.col("n") > exact_rows).collect()  # lengths by factors of 1.05, each with many vectors
+    hashing = Hashing(tables, probes, seed)
+    hashed = {(b["dim"], b["band"]) for b in large}
+    cells = (classes.select("vector", "band").mapInArrow(_cells(hashing, hashed), "dim int, band int, t int, cell int, n long")
+             .groupBy("dim", "band", "t", "cell").agg(F.sum("n").alias("n")).collect()) if large else []  # at most 4 * dimension * tables rows a band
+    parts = {(r["dim"], r["band"], r["t"], r["cell"]): -(-r["n"] // cell_rows) for r in cells}
+    for now in _rounds(large):
+        full = top.groupBy("asking").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst")).filter((F.col("n") > k) & (F.col("worst") > 0))
+        known = classes.join(full.select(F.col("asking").alias("cls"), F.log("worst").alias("needed")), "cls", "left")
+        known = known.select("cls", "vector", "is_query", "band", "log_length", "needed")
+        top = merged(top, searched(known.mapInArrow(_place(hashing, parts, now), PLACED)))
 
-    best = Window.partitionBy("asking").orderBy(F.desc("score"), "cls")
-    top = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1)
     listed = top.join(classes.select("cls", "ids"), "cls").select("asking", F.explode("ids").alias("vec_id"), "score")
     listed = (listed.withColumn("n", F.row_number().over(Window.partitionBy("asking").orderBy(F.desc("score"), "vec_id")))
               .filter(F.col("n") <= k + 1).drop("n"))

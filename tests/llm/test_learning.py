@@ -6,7 +6,7 @@ import numpy as np
 from llm_helpers import SF001, pairs
 from pyspark.sql import functions as F
 
-from rambler.llm.ann import hadamard, nearest
+from rambler.llm.ann import _rounds, hadamard, nearest
 from rambler.llm.chat_format import CHUNK_BYTES, format_chats, read_digests
 from rambler.llm.common import held_out
 from rambler.llm.language_id import language_id
@@ -97,6 +97,33 @@ def test_nearest_of_copies_lengths_and_bad_vectors(spark):
     assert nearest(rows.limit(0), F.lit(True)).count() == 0
 
 
+def recall(spark, x, queries, **settings):
+    """The share of the true 20 nearest that is found, and the fewest rows of a query."""
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {q: [] for q in queries}
+    for r in nearest(rows, F.col("vec_id").isin(queries), **settings).collect():
+        got[r.query_id].append(r.vec_id)
+    want = brute(dict(enumerate(x)), queries, 20)
+    return sum(len(set(got[q]) & set(want[q])) for q in queries) / sum(map(len, want.values())), min(map(len, got.values()))
+
+
+def test_nearest_where_lengths_differ(spark):
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(2000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    queries = list(range(0, 2000, 50))
+    lognormal = unit * np.exp(rng.normal(size=(2000, 1)) * 0.1)
+    one_long = unit * np.where(np.arange(2000) == 77, 20, 1)[:, None]
+    for x, settings in ((one_long, {}), (lognormal, {}), (lognormal, {"exact_rows": 50})):
+        found, fewest = recall(spark, x, queries, **settings)
+        assert found >= 0.93 and fewest == 20
+
+
+def test_rounds_grow_and_begin_with_the_longest():
+    bands = [{"dim": 2, "band": b, "n": n, "most": -b * 0.05} for b, n in enumerate((5, 3, 4, 20, 1))]
+    assert [sorted(b for _, b in r) for r in _rounds(bands[::-1])] == [[0], [1, 2], [3], [4]]
+
+
 def test_few_candidates(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     got = [(r.query_id, r.rank, r.vec_id, r.score) for r in nearest(rows, F.col("vec_id") == 0, probes=16).collect()]
