@@ -43,3 +43,22 @@ def test_repeated_rows_and_null_ids(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF001).count() == 0
+
+
+def test_rows_that_share_an_id_are_judged_alone(spark):
+    docs = table(spark, SF001, "documents")
+    leak = table(spark, SF001, "benchmark").orderBy("item_id").first().text
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = lambda pairs: spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in pairs], docs.schema)
+    order = lambda pairs: sorted(pairs, key=repr)
+
+    clean = [(None, a), (None, b), (5, c), (None, None), (None, "")]
+    got = corpus_pipeline.drop_contaminated(spark, rows([*clean, (None, leak), (5, f"{b} {leak} {c}")]), SF001)
+    assert order(pairs(got)) == order(clean) and got.dtypes == docs.dtypes
+
+    got = corpus_pipeline.drop_near_duplicates(spark, rows([(5, a), (5, b), (3, a + " more"), (9, b + " more"), (None, c), (None, c + " more"), (7, ""), (7, ""), (8, "")]), SF001)
+    got = pairs(got)
+    assert {(3, a + " more"), (5, b), (7, ""), (8, "")} < set(got) and len(got) == 5
+    assert sum(d is None for d, _ in got) == 1
+    same_id = pairs(corpus_pipeline.drop_near_duplicates(spark, rows([(4, a), (4, a + " more"), (4, c)]), SF001))
+    assert len(same_id) == 2 and (4, c) in same_id
