@@ -13,7 +13,8 @@ queries stream past it.
 A vector's direction is hashed, and inner products depend on lengths too: vectors of similar length are
 a band, with cells of its own.  Every query searches every band, from the longest vectors on, except
 those whose longest vector can't reach the worst score that it needs.  Bands of few vectors aren't
-hashed but searched whole, in blocks.
+hashed but searched whole, in blocks; so is everything for a query that found fewer classes than it
+needs, or whose finds were met in so few tables that others must have been missed (Chao's estimate).
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rambler.session import materialize
 
 BAND = float(np.log(1.05))  # lengths in a band differ by less than this factor, as a logarithm
+UNSEEN = 0.1  # a query with a larger share of its classes missed, as estimated, is ranked against all vectors
 MARGIN = 1e-9  # more than rounding changes in the logarithm of a score
 
 
@@ -56,19 +58,19 @@ def nearest_axis(rotated: np.ndarray) -> np.ndarray:
 
 
 def probed(first: np.ndarray, second: np.ndarray, probes: int) -> np.ndarray:
-    """``[query, cell, bucket]``: whether a query probes it, for the ``probes`` pairs of axes nearest to it."""
+    """``[query, cell, bucket]``: whether a query probes it, for the ``probes`` pairs of signed axes nearest to it."""
     def near(rotated):
-        size = np.abs(rotated)
-        order = np.argsort(-size, 1, kind="stable")[:, : min(size.shape[1], max(2, 2 * int(probes ** 0.5)))]
-        far = (size.max(1, keepdims=True) - np.take_along_axis(size, order, 1)) ** 2
-        return 2 * order + (np.take_along_axis(rotated, order, 1) < 0), far
+        far = np.abs(rotated).max(1, keepdims=True) - np.stack([rotated, -rotated], 2).reshape(len(rotated), -1)
+        order = np.argsort(far, 1, kind="stable")
+        return order, np.take_along_axis(far, order, 1) ** 2
 
     (a, far_a), (b, far_b) = near(first), near(second)
-    far = (far_a[:, :, None] + far_b[:, None, :]).reshape(len(first), -1)
-    best = np.argsort(far, 1, kind="stable")[:, :probes]
-    out = np.zeros((len(first), 2 * first.shape[1], 2 * second.shape[1]), bool)
+    # pair (i, j) of the sorted axes has (i + 1) * (j + 1) - 1 pairs before it
+    i, j = np.nonzero(np.outer(np.arange(a.shape[1]) + 1, np.arange(b.shape[1]) + 1) <= probes)
+    best = np.argsort(far_a[:, i] + far_b[:, j], 1, kind="stable")[:, :probes]
+    out = np.zeros((len(first), a.shape[1], b.shape[1]), bool)
     rows = np.arange(len(first))[:, None]
-    out[rows, a[rows, best // b.shape[1]], b[rows, best % b.shape[1]]] = True
+    out[rows, a[rows, i[best]], b[rows, j[best]]] = True
     return out
 
 
@@ -235,7 +237,8 @@ def _search(keep: int):
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12, probes: int = 640, seed: int = 11,
             cell_rows: int = 50_000, exact_rows: int = 1_000, block_rows: int = 5_000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the ``k`` largest inner products found for each query.
+    """``(query_id, rank, vec_id, score)``: the ``k`` largest inner products found for each query.  A query
+    for which hashing doesn't find enough is ranked against all vectors.
 
     ``is_query`` is a condition on ``id_col``.  Nearest first, ties to the smaller id; never the query's
     own row; fewer rows where there are fewer candidates.  Null ids, and vectors that are null, empty,
@@ -265,19 +268,20 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12,
     bands = classes.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"), F.max("log_length").alias("most"))
     asking = classes.filter("is_query")
 
-    def searched(dealt: DataFrame) -> DataFrame:
+    def searched(dealt: DataFrame, hits: int) -> DataFrame:
         dealt = dealt.repartition(*CELL).sortWithinPartitions(*CELL, "query")
-        return dealt.mapInArrow(_search(k + 4), "asking long, cls long, score double")
+        return dealt.mapInArrow(_search(k + 4), "asking long, cls long, score double").withColumn("hits", F.lit(hits))
 
     best = Window.partitionBy("asking").orderBy(F.desc("score"), "cls")
 
     def merged(top: DataFrame | None, found: DataFrame) -> DataFrame:
         """Each query's best ``k + 1`` classes: its own may be one of them."""
-        found = (found if top is None else top.unionByName(found)).groupBy("asking", "cls").agg(F.max("score").alias("score"))
+        found = (found if top is None else top.unionByName(found)).groupBy("asking", "cls").agg(F.max("score").alias("score"), F.sum("hits").cast("int").alias("hits"))
         return materialize(found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n"), "top")
 
+    every = max(tables, 3)  # hits of what isn't left to chance
     small = bands.filter(F.col("n") <= exact_rows).select("dim", "band")
-    top = merged(None, searched(_blocks(classes.join(small, ["dim", "band"], "left_semi"), asking, block_rows)))
+    top = merged(None, searched(_blocks(classes.join(small, ["dim", "band"], "left_semi"), asking, block_rows), every))
 
     large = bands.filter(F.col("n") > exact_rows).collect()  # lengths by factors of 1.05, each with many vectors
     hashing = Hashing(tables, probes, seed)
@@ -289,7 +293,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12,
         full = top.groupBy("asking").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst")).filter((F.col("n") > k) & (F.col("worst") > 0))
         known = classes.join(full.select(F.col("asking").alias("cls"), F.log("worst").alias("needed")), "cls", "left")
         known = known.select("cls", "vector", "is_query", "band", "log_length", "needed")
-        top = merged(top, searched(known.mapInArrow(_place(hashing, parts, now), PLACED)))
+        top = merged(top, searched(known.mapInArrow(_place(hashing, parts, now), PLACED), 1))
+
+    once, twice = (F.count_if(F.col("hits") == n) for n in (1, 2))
+    counts = top.groupBy(F.col("asking").alias("cls")).agg(F.count(F.lit(1)).alias("n"), (once * (once - 1) / (2 * (twice + 1))).alias("unseen"))
+    candidates = bands.groupBy("dim").agg(F.sum("n").alias("candidates"))
+    too_few = F.coalesce("n", F.lit(0)) < F.least(F.lit(k + 1), "candidates")
+    starved = asking.join(counts, "cls", "left").join(candidates, "dim").filter(too_few | (F.col("unseen") > UNSEEN * F.col("n")))
+    starved = materialize(starved.select("cls", "vector"), "starved")
+    if not starved.isEmpty():
+        top = merged(top, searched(_blocks(classes, starved, block_rows), every))
 
     listed = top.join(classes.select("cls", "ids"), "cls").select("asking", F.explode("ids").alias("vec_id"), "score")
     listed = (listed.withColumn("n", F.row_number().over(Window.partitionBy("asking").orderBy(F.desc("score"), "vec_id")))

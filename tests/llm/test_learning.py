@@ -6,7 +6,7 @@ import numpy as np
 from llm_helpers import SF001, pairs
 from pyspark.sql import functions as F
 
-from rambler.llm.ann import _rounds, hadamard, nearest
+from rambler.llm.ann import _rounds, hadamard, nearest, probed
 from rambler.llm.chat_format import CHUNK_BYTES, format_chats, read_digests
 from rambler.llm.common import held_out
 from rambler.llm.language_id import language_id
@@ -119,6 +119,25 @@ def test_nearest_where_lengths_differ(spark):
         assert found >= 0.93 and fewest == 20
 
 
+def test_every_query_gets_its_rows(spark):
+    rng = np.random.default_rng(6)
+    few = rng.normal(size=(21, 64))
+    few /= np.linalg.norm(few, axis=1, keepdims=True)
+    opposite = np.concatenate([few[:1], -few[:1]])
+    centers = np.repeat(few[:2], (10, 2000), axis=0)
+    clusters = centers + rng.normal(size=centers.shape) * 0.01
+    clusters /= np.linalg.norm(clusters, axis=1, keepdims=True)
+    for x, queries, settings in ((few, list(range(21)), {"exact_rows": 0}), (few[:15], list(range(15)), {"exact_rows": 0}),
+                                 (opposite, [0, 1], {"exact_rows": 0}), (clusters, list(range(10)), {})):
+        found, fewest = recall(spark, x, queries, **settings)
+        assert fewest == min(20, len(x) - 1) and found >= 0.9
+
+
+def test_probes_reach_every_bucket():
+    x = np.random.default_rng(7).normal(size=(3, 8))
+    assert probed(x, x[:, ::-1], 256).all() and (probed(x, x[:, ::-1], 40).sum((1, 2)) == 40).all()
+
+
 def test_rounds_grow_and_begin_with_the_longest():
     bands = [{"dim": 2, "band": b, "n": n, "most": -b * 0.05} for b, n in enumerate((5, 3, 4, 20, 1))]
     assert [sorted(b for _, b in r) for r in _rounds(bands[::-1])] == [[0], [1, 2], [3], [4]]
