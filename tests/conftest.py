@@ -2,20 +2,13 @@ import os
 import sys
 
 import pytest
+from karate import KARATE_LINES
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
 
-# The 78-line karate-club edge list used by the modelled system's tests
-# (the pair "9 33" appears twice; 77 distinct undirected edges).
-KARATE = """1 32,1 22,1 20,1 18,1 14,1 13,1 12,1 11,1 9,1 8,1 7,1 6,1 5,1 4,1 3,1 2,2 31,2 22,2 20,2 18,
-2 14,2 8,2 4,2 3,3 14,3 9,3 10,3 33,3 29,3 28,3 8,3 4,4 14,4 13,4 8,5 11,5 7,6 17,6 11,6 7,7 17,9 34,9 33,
-9 33,10 34,14 34,15 34,15 33,16 34,16 33,19 34,19 33,20 34,21 34,21 33,23 34,23 33,24 30,24 34,24 33,24 28,
-24 26,25 32,25 28,25 26,26 32,27 34,27 30,28 34,29 34,29 32,30 34,30 33,31 34,31 33,32 34,32 33,33 34"""
-KARATE_LINES = [x.strip() for x in KARATE.replace("\n", "").split(",")]
-
 
 @pytest.fixture(scope="session")
 def spark():

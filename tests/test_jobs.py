@@ -47,7 +47,7 @@ def test_embedding_job_reads_walk_series(spark, tmp_path):
 
 def test_run_job_dispatch_on_edge_list(spark, tmp_path):
     from dataclasses import replace
-    from conftest import KARATE_LINES
+    from karate import KARATE_LINES
     src = tmp_path / "karate.txt"
     src.write_text("\n".join(f"{x} 1" for x in KARATE_LINES) + "\n")       # "src dst w" lines
     out = str(tmp_path / "run")
