@@ -10,6 +10,7 @@ from rambler.llm.chat_format import format_chats, read_digests
 from rambler.llm.common import held_out, table
 from rambler.llm.decontaminate import decontaminate
 from rambler.llm.language_id import language_id
+from rambler.llm.mixing import mix
 from rambler.llm.near_dup import near_duplicates
 from rambler.llm.secret_scan import secret_scan
 from rambler.llm.sentencepiece_lattice import decode, encode, read_pieces
@@ -74,7 +75,12 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_sentencepiece, op3_decontaminate, op4_toxicity, op5_near_duplicates, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id)}
+def op11_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_sentencepiece, op3_decontaminate, op4_toxicity, op5_near_duplicates, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id,
+                               op11_mixing)}
 ORACLE = {"op3_decontaminate": """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
@@ -101,4 +107,37 @@ SELECT conv_id, count(*) AS n_turns,
  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
  CAST(sum(length(head) + length(body) + 14) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id"""}
+FROM e GROUP BY conv_id""",
+    # every quotient of every source and shard is listed here, and every block of every document
+    "op11_mixing": """
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT *, [1, 2, 3][rank % 3 + 1] AS weight FROM (
+   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM d GROUP BY source) x),
+c AS (SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER w, 0) AS words,
+   sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS weights
+   FROM s WINDOW w AS (ORDER BY 3 * source_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT words, weights FROM c WHERE 3 * source_size * weights > words * weight ORDER BY 3 * source_size / weight, rank LIMIT 1),
+t AS (SELECT s.*, least(3.0 * source_size, coalesce((SELECT weight * words / weights FROM f), 3.0 * source_size))::DOUBLE AS target FROM s),
+p AS (SELECT *, CAST(round(target * n / source_size * 1000) AS BIGINT) AS votes FROM (
+   SELECT *, CAST(greatest(round(source_size / 32), 1) AS BIGINT) AS n FROM t WHERE source_size > 0) x),
+q AS (SELECT rank, votes / (2 * k - 1) AS quotient, k FROM (SELECT rank, votes, unnest(range(1, 3 * n + 1)) AS k FROM p) x),
+won AS (SELECT rank, count(*) AS seats FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, rank, k) AS place FROM q) x
+   WHERE place <= (SELECT floor((sum(votes) + 500) / 1000) FROM p) GROUP BY rank),
+a AS (SELECT p.*, coalesce(seats, 0) AS seats FROM p LEFT JOIN won USING (rank)),
+sh AS (SELECT rank, n, seats % n AS rest, shard, least(n - shard * 16384, 16384) AS votes
+   FROM (SELECT rank, n, seats, unnest(range(0, CAST(ceil(n / 16384) AS BIGINT))) AS shard FROM a) x),
+sq AS (SELECT *, votes / (2 * k - 1) AS quotient, md5('11|shard|' || rank || '|' || shard) AS tie
+   FROM (SELECT *, unnest(range(1, votes + 1)) AS k FROM sh) x),
+quota AS (SELECT rank, shard, count(*) AS quota FROM (
+   SELECT *, row_number() OVER (PARTITION BY rank ORDER BY quotient DESC, tie, k) AS place FROM sq) x WHERE place <= rest GROUP BY rank, shard),
+b AS (SELECT *, row_number() OVER (PARTITION BY rank, shard ORDER BY md5('11|block|' || rank || '|' || block)) AS place FROM (
+   SELECT rank, n, source_size, block, block // 16384 AS shard FROM (SELECT rank, n, source_size, unnest(range(0, n)) AS block FROM a) x) y),
+chosen AS (SELECT rank, block * 32 AS f, CASE WHEN block = n - 1 THEN source_size ELSE (block + 1) * 32 END AS e
+   FROM b JOIN quota USING (rank, shard) WHERE place <= quota),
+w AS (SELECT *, CAST(sum(size) OVER (PARTITION BY rank ORDER BY md5('11|doc|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || size),
+   doc_id, size, row ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS f
+   FROM (SELECT d.*, rank, source_size, target, row_number() OVER () AS row FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source) x),
+x AS (SELECT w.row, sum(least(w.f + w.size, c.e) - greatest(w.f, c.f)) AS extra
+   FROM w JOIN chosen c ON c.rank = w.rank AND c.f < w.f + w.size AND c.e > w.f GROUP BY w.row)
+SELECT w.doc_id, w.size, w.source_size, w.target, CAST(coalesce(a.seats // a.n, 0) * w.size + coalesce(x.extra, 0) AS BIGINT) AS taken
+FROM w LEFT JOIN a USING (rank) LEFT JOIN x USING (row)"""}
