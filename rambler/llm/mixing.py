@@ -136,6 +136,8 @@ def shard_quotas(sources: DataFrame, s: Settings) -> DataFrame:
                                  "high": F.least(_seats(F.col("votes"), n / (F.col("rest") + F.col("n_shards"))), "votes").cast("long")})
     shards = _won(materialize(shards.withColumn("high", F.greatest("low", "high")), "shards"), ["rank"], ["shard"], F.col("rest"),
                   seeded(s.seed, F.lit("shard"), F.col("rank"), F.col("shard")))
+    # a shard is a small row but 2 ** 14 digests: as many tasks as can run
+    shards = shards.repartition(4 * shards.sparkSession.sparkContext.defaultParallelism, "rank", "shard")
     own = F.sequence(F.col("shard") * s.shard, F.col("shard") * s.shard + F.col("votes") - 1)
     digests = F.array_sort(F.transform(own, lambda j: seeded(s.seed, F.lit("block"), F.col("rank"), j)))
     # a shard's last block goes on to the source's end

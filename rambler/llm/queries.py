@@ -12,6 +12,8 @@ from rambler.llm.decontaminate import decontaminate
 from rambler.llm.language_id import language_id
 from rambler.llm.mixing import mix
 from rambler.llm.near_dup import near_duplicates
+from rambler.llm.periodic_runs import periodic_runs
+from rambler.llm.prefix_trie import conversation_trie
 from rambler.llm.secret_scan import secret_scan
 from rambler.llm.sentencepiece_lattice import decode, encode, read_pieces
 from rambler.llm.token_counts import token_counts
@@ -79,8 +81,32 @@ def op11_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def _looped(docs):
+    """op13's input: in documents with crc32(doc_id) % 10 = 0, the words from ``a`` on repeat the first ``p`` of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n, a, p = F.floor(h / 10), F.size("words"), F.col("a"), F.col("p")
+    words = docs.select("doc_id", "text", F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "").alias("words"))
+    placed = (words.withColumn("a", F.when((h % 10 == 0) & (n > 0), (g % n).cast("int")))
+              .withColumn("p", (1 + F.floor((n - a) / (3 + g % 8))).cast("int")))
+    turns = F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int"))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), a), F.slice(F.flatten(turns), F.lit(1), n - a)), " ")
+    return placed.select("doc_id", F.when(a.isNull(), F.col("text")).otherwise(text).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs(_looped(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_sentencepiece, op3_decontaminate, op4_toxicity, op5_near_duplicates, op6_token_file, op7_nearest, op8_chat_format, op9_token_counts, op10_language_id,
-                               op11_mixing)}
+                               op11_mixing, op12_prefix_trie, op13_periodic_runs)}
 ORACLE = {"op3_decontaminate": """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
@@ -140,4 +166,28 @@ w AS (SELECT *, CAST(sum(size) OVER (PARTITION BY rank ORDER BY md5('11|doc|' ||
 x AS (SELECT w.row, sum(least(w.f + w.size, c.e) - greatest(w.f, c.f)) AS extra
    FROM w JOIN chosen c ON c.rank = w.rank AND c.f < w.f + w.size AND c.e > w.f GROUP BY w.row)
 SELECT w.doc_id, w.size, w.source_size, w.target, CAST(coalesce(a.seats // a.n, 0) * w.size + coalesce(x.extra, 0) AS BIGINT) AS taken
-FROM w LEFT JOIN a USING (rank) LEFT JOIN x USING (row)"""}
+FROM w LEFT JOIN a USING (rank) LEFT JOIN x USING (row)""",
+    # crc32 byte by byte and bit by bit; a prefix is the list of its turns' digests
+    "op12_prefix_trie": """
+WITH t AS (SELECT conv_id, sha256(length(role) || ':' || role || text) AS turn_sha, length(text) AS chars,
+   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) - 1 AS place
+   FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) x),
+c AS (SELECT conv_id, count(*) AS n, conv_id - (conv_id % 100 + 100) % 100 AS first, xor(4294967295, list_reduce(list_concat([4294967295],
+   flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+   lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc // 2, CASE WHEN crc % 2 = 1 THEN 3988292384 ELSE 0 END) END)) % 6 AS h
+   FROM t GROUP BY conv_id),
+r AS (SELECT t.conv_id, place + 10 AS place, turn_sha, chars FROM t JOIN c USING (conv_id) WHERE place >= h
+   UNION ALL SELECT c.conv_id, place, turn_sha, chars FROM c JOIN t ON t.conv_id = c.first WHERE place < h),
+s AS (SELECT c.conv_id, coalesce(list(turn_sha ORDER BY place) FILTER (turn_sha IS NOT NULL), []) AS l,
+   list(chars ORDER BY place) AS chars FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, d, l[:d] AS key, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars, len(l) = d AS ends
+   FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM s) x),
+n AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM p GROUP BY key, d),
+k AS (SELECT key[:d - 1] AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (key)),
+u AS (SELECT key[:up] AS key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+   FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM m) x GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, CASE WHEN m.d > 0 THEN a.conv_id END AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves,
+   CAST(u.saved AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN u USING (key) LEFT JOIN n a ON m.d > 0 AND a.key = m.key[:m.d - 1]"""}
