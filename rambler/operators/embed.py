@@ -1,4 +1,8 @@
-"""Word2Vec over walk paths (Spark ML) and naming of the learned vectors."""
+"""Word2Vec over walk paths and naming of the learned vectors.
+
+Spark ML trains as long as the vocabulary's vectors fit the driver; larger vocabularies are trained
+by buckets (``rambler.operators.skip_gram``).
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from rambler.operators.skip_gram import fit_skip_gram
 from rambler.params import Word2VecParams
 
 
@@ -14,29 +19,45 @@ def path_tokens(paths: DataFrame, col: str = "path") -> DataFrame:
     return paths.select(F.col(col).cast("array<string>").alias("tokens"))
 
 
-def fit_word2vec(tokens: DataFrame, params: Word2VecParams, col: str = "tokens") -> Word2VecModel:
+def vocabulary_size(tokens: DataFrame, params: Word2VecParams, col: str = "tokens") -> tuple[int, int]:
+    """Bytes of Spark ML's two matrices on the driver, and the longest sentence."""
+    sizes = (tokens.select(F.size(col).alias("n"), F.explode_outer(col).alias("word")).groupBy("word")
+             .agg(F.count(F.lit(1)).alias("count"), F.max("n").alias("n"))
+             .agg(F.count_if((F.col("count") >= params.min_count) & F.col("word").isNotNull()).alias("words"), F.max("n").alias("longest"))
+             .first())
+    return sizes["words"] * params.dim * 4 * 2, max(1, sizes["longest"] or 1)
+
+
+def fit_word2vec(tokens: DataFrame, params: Word2VecParams, col: str = "tokens", size: tuple[int, int] | None = None) -> Word2VecModel:
     """Skip-gram with every parameter set explicitly.
 
     Training runs on ``params.partitions`` partitions (by default as many as the session can
     run at once) and on whole sentences.  Spark ML keeps the vocabulary's vectors on the driver:
     their size is computed first, and more than ``max_vocabulary_bytes`` is an error.
     """
-    sizes = (tokens.select(F.size(col).alias("n"), F.explode_outer(col).alias("word")).groupBy("word")
-             .agg(F.count(F.lit(1)).alias("count"), F.max("n").alias("n"))
-             .agg(F.count_if((F.col("count") >= params.min_count) & F.col("word").isNotNull()).alias("words"), F.max("n").alias("longest"))
-             .first())
-    held = sizes["words"] * params.dim * 4 * 2      # two float matrices
+    held, longest = size or vocabulary_size(tokens, params, col)
     if held > params.max_vocabulary_bytes:
-        raise ValueError(f"{sizes['words']} words of {params.dim} dimensions take {held} bytes on the driver; "
-                         f"max_vocabulary_bytes is {params.max_vocabulary_bytes}")
+        raise ValueError(f"the vocabulary's vectors take {held} bytes on the driver; max_vocabulary_bytes is {params.max_vocabulary_bytes}")
     w2v = Word2Vec(vectorSize=params.dim, windowSize=params.window, stepSize=params.lr,
                    maxIter=params.iterations, minCount=params.min_count, seed=params.seed,
                    numPartitions=params.partitions or tokens.sparkSession.sparkContext.defaultParallelism,
-                   maxSentenceLength=params.max_sentence_length or max(1, sizes["longest"] or 1),
+                   maxSentenceLength=params.max_sentence_length or longest,
                    inputCol=col, outputCol="_w2v_out")
     return w2v.fit(tokens)
 
 
+def train_vectors(tokens: DataFrame, params: Word2VecParams, col: str = "tokens") -> tuple[DataFrame, Word2VecModel | None]:
+    """E1+E2: ``(key, vector)`` by the trainer that ``params`` names or the vocabulary's size asks for, and Spark ML's model, if it trained."""
+    if params.trainer not in ("auto", "driver", "buckets"):
+        raise ValueError(f"unknown trainer {params.trainer!r}")
+    if params.trainer != "buckets":
+        size = vocabulary_size(tokens, params, col)
+        if params.trainer == "driver" or size[0] <= params.max_vocabulary_bytes:
+            model = fit_word2vec(tokens, params, col, size)
+            return model_vectors(model), model
+    return fit_skip_gram(tokens, params, col), None
+
+
 def model_vectors(model: Word2VecModel) -> DataFrame:
     """``(key STRING, vector ARRAY<DOUBLE>)`` straight from the model's DataFrame."""
     return model.getVectors().select(F.col("word").alias("key"),

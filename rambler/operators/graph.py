@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rambler.functions.draws import draw
-from rambler.functions.weights import from_units, weight_units
+from rambler.functions.weights import EXPONENT, from_units, unit_exponent, unit_sum_limit, weight_units
 from rambler.operators.ordering import global_rank, segmented_cumsum
 
 
@@ -95,9 +95,28 @@ def graph_vertices(edges: DataFrame, directed: bool) -> DataFrame:
     return e.select(F.col("src").alias("v")).unionByName(e.select(F.col("dst").alias("v"))).distinct()
 
 
-def merge_parallel(edges: DataFrame) -> DataFrame:
+def merge_parallel(edges: DataFrame, exponent: int = EXPONENT) -> DataFrame:
     """Parallel edges summed (exactly) into one ``(src, dst)`` row; a pick among copies is a pick of the sum."""
-    return edges.groupBy("src", "dst").agg(from_units(F.sum(weight_units("w"))).alias("w"))
+    return edges.groupBy("src", "dst").agg(from_units(F.sum(weight_units("w", exponent)), exponent).alias("w"))
+
+
+def merged_edges(edges: DataFrame, write) -> tuple[DataFrame, int]:
+    """``merge_parallel`` in units that fit the weights, written by ``write``, and their exponent.
+
+    Weights are first added up in the usual units, beside what tells whether these fit (the least weight,
+    and plain sums); only a graph that needs others is added up again.
+    """
+    w = F.col("w").cast("double")
+    usual = F.round(w * F.lit(10.0**EXPONENT)).try_cast("bigint")
+    merged = write(edges.groupBy("src", "dst").agg(from_units(F.try_sum(usual)).alias("w"), F.min(F.when(w > 0, w)).alias("least"), F.sum(w).alias("about")))
+    seen = merged.agg(F.min("least").alias("least"), F.sum("about").alias("all")).first()
+    largest = seen["all"]       # bounds every vertex's sum, and mostly does
+    if largest and unit_sum_limit(EXPONENT) <= largest:
+        largest = merged.groupBy("src").agg(F.sum("about").alias("s")).agg(F.max("s")).first()[0]
+    exponent = unit_exponent(seen["least"], largest)
+    if exponent != EXPONENT:
+        return write(merge_parallel(edges, exponent)), exponent
+    return merged.drop("least", "about"), exponent
 
 
 def adjacency(edges: DataFrame, vertices: DataFrame | None = None, block_size: int = 1024) -> DataFrame:

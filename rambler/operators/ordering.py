@@ -17,23 +17,25 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rambler.functions.weights import from_units, weight_units
+from rambler.functions.weights import EXPONENT, from_units, weight_units
 
 
 PARTITION_BYTES = 128 << 20
 
 
-def _sorted(df: DataFrame, cols: list[str], n: int | None) -> DataFrame:
+def _sorted(df: DataFrame, cols: list[str], n: int | None, written: bool = False) -> DataFrame:
     """Range-partition, sort, and checkpoint.
 
-    The rows are written first: range bounds are sampled from that table, not by running the plan
-    once more, and its size on disk tells how many partitions it needs (``n`` overrides).  If the
+    The rows are written first (unless they are ``written``): range bounds are sampled from that table,
+    not by running the plan once more, and its size on disk tells how many partitions it needs (``n`` overrides).  If the
     session's number is enough, AQE merges adjacent small ranges, so partitions stay ordered.
     """
     from rambler.session import delete_scratch, ensure_checkpoint_dir, reliable_checkpoint, write_scratch
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    df, written = write_scratch(df, "unsorted")
+    path = None
+    if not written:
+        df, path = write_scratch(df, "unsorted")
     wanted = -(-int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // PARTITION_BYTES)
     if not n and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         n = wanted
@@ -41,7 +43,8 @@ def _sorted(df: DataFrame, cols: list[str], n: int | None) -> DataFrame:
     # The partition index is stored as data: a task's own index differs from it when the
     # scan is one branch of a union, or after partitions are coalesced.
     done = reliable_checkpoint(ranged.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id()))
-    delete_scratch(spark, written)      # the checkpoint is eager and has its own copy
+    if path:
+        delete_scratch(spark, path)     # the checkpoint is eager and has its own copy
     return done
 
 
@@ -64,24 +67,25 @@ def _segment_sums(pdf: pd.DataFrame, keys: list[str], value: str, last_key, carr
     cum = run - np.repeat((run - vals)[starts], np.diff(np.r_[starts, len(vals)]))
     if last_key is not None and _gkey(pdf, keys, 0) == last_key:
         cum[seg == seg[0]] += carry
-    return cum, vals
+    return cum, vals, starts
 
 
 def segmented_cumsum(df: DataFrame, key: str | list[str], order: list[str], value: str,
                      before: str = "cum_before", after: str = "cum_after",
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, exponent: int = EXPONENT, written: bool = False) -> DataFrame:
     """Running sum of ``value`` within each ``key`` in ``order``.
 
     Adds ``before`` (sum of the earlier rows of the key) and ``after`` (including the row), both
     exact, so a row's ``before`` is the previous row's ``after`` whatever the partitions: integers
-    are summed as they are, other numbers as whole units of 1e-8 (null: 0).
+    are summed as they are, other numbers as whole units of 10 ** -exponent (null: 0).  ``written``
+    says that ``df`` is a written table already, which saves writing it again.
     ``(*key, *order)`` must be unique, keys must not be null, and a key's sum must fit a 64-bit integer.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not isinstance(df.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        units = segmented_cumsum(df.withColumn("_units", weight_units(value)), keys, order, "_units", before, after, partitions)
-        return units.withColumns({before: from_units(before), after: from_units(after)}).drop("_units")
-    s = _sorted(df, [*keys, *order], partitions)
+        units = segmented_cumsum(df.withColumn("_units", weight_units(value, exponent)), keys, order, "_units", before, after, partitions, written=written)
+        return units.withColumns({before: from_units(before, exponent), after: from_units(after, exponent)}).drop("_units")
+    s = _sorted(df, [*keys, *order], partitions, written)
 
     def checked(pdf):
         if pdf[[*keys, value]].isna().any(axis=None):
@@ -90,27 +94,36 @@ def segmented_cumsum(df: DataFrame, key: str | list[str], order: list[str], valu
 
     def summarise(batches):
         first_key = last_key = pid = None
-        carry, size = 0, 0.0
+        carry, size = 0, 0.0        # size: of the current key, without overflow
+        first_size, most, keys_seen = 0.0, 0.0, 0
         for pdf in batches:
             if pdf.empty:
                 continue
             if first_key is None:
                 first_key, pid = _gkey(checked(pdf), keys, 0), int(pdf[_PID].iloc[0])
-            cum, vals = _segment_sums(checked(pdf), keys, value, last_key, carry)
-            size += float(np.abs(vals.astype("float64")).sum())
+            cum, vals, starts = _segment_sums(checked(pdf), keys, value, last_key, carry)
+            sizes = np.add.reduceat(np.abs(vals.astype("float64")), starts)
+            if last_key is not None and _gkey(pdf, keys, 0) == last_key:
+                sizes[0] += size
+            else:
+                keys_seen += 1
+            first_size = sizes[0] if keys_seen == 1 else first_size
+            keys_seen += len(starts) - 1
+            size, most = float(sizes[-1]), max(most, float(sizes.max()))
             last_key, carry = _gkey(pdf, keys, len(pdf) - 1), int(cum[-1])
         if first_key is not None:
-            yield pd.DataFrame({"pid": [pid], "fk": [first_key], "lk": [last_key], "lt": [carry], "size": [size]})
+            yield pd.DataFrame({"pid": [pid], "fk": [first_key], "lk": [last_key], "lt": [carry], "fsize": [first_size], "lsize": [size], "most": [most]})
 
     summary = s.mapInPandas(summarise, _summary_schema([
         T.StructField("fk", T.StringType()), T.StructField("lk", T.StringType()),
-        T.StructField("lt", T.LongType()), T.StructField("size", T.DoubleType())])).collect()
+        T.StructField("lt", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("fsize", "lsize", "most")]])).collect()
     carry_in, chain_key, chain_total, chain_size = {}, None, 0, 0.0
     for r in sorted(summary, key=lambda r: r.pid):
         chained = chain_key is not None and r.fk == chain_key
         cin = chain_total if chained else 0
-        chain_size = r["size"] + (chain_size if chained else 0.0)   # bounds every sum of the chain
-        if chain_size >= 2.0 ** 63:
+        first_size = r.fsize + (chain_size if chained else 0.0)
+        chain_size = first_size if r.fk == r.lk else r.lsize
+        if max(first_size, r.most) >= 2.0 ** 63:
             raise OverflowError(f"segmented_cumsum: the sums of {value} may not fit 64 bits")
         carry_in[r.pid] = (r.fk, cin)
         chain_key, chain_total = r.lk, (cin + r.lt) if r.fk == r.lk else r.lt
@@ -129,7 +142,7 @@ def segmented_cumsum(df: DataFrame, key: str | list[str], order: list[str], valu
                 if _gkey(pdf, keys, 0) != fk:
                     raise RuntimeError("segmented_cumsum: partition contents changed between passes")
                 last_key, carry = fk, cin
-            cum, vals = _segment_sums(pdf, keys, value, last_key, carry)
+            cum, vals, _ = _segment_sums(pdf, keys, value, last_key, carry)
             last_key, carry = _gkey(pdf, keys, len(pdf) - 1), int(cum[-1])
             yield pdf.drop(columns=[_PID]).assign(**{before: cum - vals, after: cum})
 

@@ -2,9 +2,9 @@
 
 These are the modelled system's inverse-CDF samplers: for a draw ``u`` the pick is the
 first neighbour (in ``dst`` order) whose running weight reaches ``u × total``; if none
-does, the first neighbour.  They read every neighbour of the walker's vertex, so the
-walk uses them only in ``sampler="cdf"`` mode; the default walk samples the same
-distribution through ``rambler.operators.walk``'s bucketed index without reading the list.
+does, the first neighbour.  They take any table of candidates and read every row of it; walks
+make the same picks from sums that are built once (``prefix_step``), or sample the same
+distribution through ``rambler.operators.walk``'s bucketed index.
 
 Weights are summed as whole units of 1e-8, so sums are exact and don't depend on the
 order or the partitions they are added in; they are compared as ``units / 1e8``.  The
@@ -29,7 +29,7 @@ def weighted_sample(cands: DataFrame, keys: list[str], u: str = "u", weight: str
     Keys must not be null.
     """
     rows = materialize(cands.select(*keys, "dst", weight_units(weight).alias("_w"), F.col(u).alias("_u")), "candidates")
-    cum = segmented_cumsum(rows, keys, ["dst"], "_w", before="_cb", after="_acc")
+    cum = segmented_cumsum(rows, keys, ["dst"], "_w", before="_cb", after="_acc", written=True)
     tot = rows.groupBy(*keys).agg(F.sum("_w").alias("_tot"))     # exact, so equal to the last running sum
     reached = from_units("_acc") >= F.col("_u") * from_units("_tot")
     return (cum.join(tot, keys).groupBy(*keys)

@@ -17,9 +17,12 @@ Two samplers give the same node2vec step distribution (weight ``w/p`` back to ``
   holds a hub's neighbour list.  Only candidates whose draw lies between the two
   acceptance bounds are looked up.  Trials of a walker are evaluated ``trials`` at a time;
   the first accepted trial wins, so the result does not depend on ``trials``.
-* ``"cdf"``: the modelled system's own draw: one ``u`` per step, scan of all
-  neighbours with modified weights, first running share ``>= u``.  Its cost is the
-  degree of the current vertex per walker; use it to reproduce that draw sequence.
+* ``"cdf"``: the modelled system's own draw: one ``u`` per step, the first neighbour
+  whose running share of the modified weights is ``>= u``, from running sums that are
+  built once and corrected per walker (``prefix_step``); use it to reproduce that draw
+  sequence.
+* ``"stitched"`` (p = q = 1 only): segments made ahead by doubling (``stitch``), in a
+  few turns instead of one a move; the same distribution by other draws.
 
 For ``p = q = 1`` and the first step both samplers make the same pick from the same draw.
 
@@ -36,9 +39,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from rambler.functions.draws import DRAW_SCALE, draw
-from rambler.operators.graph import merge_parallel, orient
+from rambler.functions.weights import EXPONENT
+from rambler.operators.graph import merge_parallel, merged_edges, orient
 from rambler.operators.ordering import segmented_cumsum
-from rambler.operators.sampling import second_order_sample
+from rambler.operators.prefix_step import PrefixIndex, build_prefix_index, prefix_step
+from rambler.operators.walk_index import bucket_of, explode_buckets
 from rambler.params import WalkParams
 from rambler.session import delete_scratch, ensure_checkpoint_dir, materialize, scratch_path, write_scratch
 
@@ -52,6 +57,8 @@ class WalkGraph:
     vertices: DataFrame   # (v, n, tot, copies): every vertex, sinks with n = 0
     index: DataFrame      # (src, bucket, copy, dst, cb, ca, first, nd, nt, nc)
     directed: bool
+    exponent: int = EXPONENT    # weights are whole numbers of 10 ** -exponent
+    partitions: int = 1         # of index and keys
 
     def views(self) -> tuple[str, str]:
         """Temp-view names of ``index`` and ``keys`` (registered once per graph)."""
@@ -68,24 +75,10 @@ class WalkGraph:
         self._views = None
 
 
-def _bucket(t, n, tot):
-    """g(t) = floor(t·n/tot): monotone in ``t``, so an edge listed in buckets g(cb)..g(ca)
-    is always found from the bucket of any draw that selects it."""
-    return F.when(tot > 0, F.floor(t * n / tot)).otherwise(F.lit(0)).cast("bigint")
-
-
 EDGES_PER_PARTITION = 2_000_000
-BUCKET_RUN = 1024         # buckets of an edge that are listed at once
 SHARES_PER_PARTITION = 4  # an index key expected to draw more than 1/4 of a partition's walkers is copied
 
 
-def _explode_buckets(e: DataFrame) -> DataFrame:
-    """A row per bucket from ``lo`` to ``hi``, through runs, so that no row holds a hub-sized array."""
-    runs = e.withColumn("_run", F.explode(F.sequence(F.floor(F.col("lo") / BUCKET_RUN), F.floor(F.col("hi") / BUCKET_RUN))))
-    first, last = F.col("_run") * BUCKET_RUN, F.col("_run") * BUCKET_RUN + (BUCKET_RUN - 1)
-    return runs.withColumn("bucket", F.explode(F.sequence(F.greatest("lo", first), F.least("hi", last)))).drop("_run", "lo", "hi")
-
-
 def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None = None,
                 persist: bool = True) -> WalkGraph:
     """Orient, merge parallel edges and build the sampling index.
@@ -100,14 +93,14 @@ def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None
     """
     spark = edges.sparkSession
     # written tables (not caches): read back with size-based partitions, lineage cut
-    merged = materialize(merge_parallel(orient(edges, directed)), "edges") if persist \
-        else merge_parallel(orient(edges, directed))
+    merged, exponent = merged_edges(orient(edges, directed), lambda df: materialize(df, "edges")) if persist \
+        else (merge_parallel(orient(edges, directed)), EXPONENT)
     size = merged.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).first()
     # Walker shuffles must match the index's partitioning every turn, so its partition
     # count is sized from the graph, not from a session default.  Walks don't depend on it.
     n_part = partitions or max(spark.sparkContext.defaultParallelism, -(-size["n"] // EDGES_PER_PARTITION))
     cum = segmented_cumsum(merged, "src", ["dst"], "w", before="cb", after="ca",
-                           partitions=n_part).persist(StorageLevel.MEMORY_AND_DISK)
+                           partitions=n_part, exponent=exponent, written=persist).persist(StorageLevel.MEMORY_AND_DISK)
     stats = cum.groupBy(F.col("src").alias("v")).agg(F.count(F.lit(1)).alias("n"), F.max("ca").alias("tot"),
                                                      F.min("dst").alias("first_dst"))
     incoming = merged.groupBy(F.col("dst").alias("v")).agg(F.sum("w").alias("win"))
@@ -119,16 +112,16 @@ def build_graph(edges: DataFrame, directed: bool = False, partitions: int | None
     if persist:
         vertices = materialize(vertices, "vertices")
     e = cum.join(vertices.withColumnRenamed("v", "src"), "src")
-    e = e.withColumns({"lo": _bucket(F.col("cb"), F.col("n"), F.col("tot")), "hi": _bucket(F.col("ca"), F.col("n"), F.col("tot"))})
+    e = e.withColumns({"lo": bucket_of(F.col("cb"), F.col("n"), F.col("tot")), "hi": bucket_of(F.col("ca"), F.col("n"), F.col("tot"))})
     nxt = vertices.select(F.col("v").alias("dst"), F.col("n").alias("nd"), F.col("tot").alias("nt"), F.col("copies").alias("nc"))
-    index = (_explode_buckets(e).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    index = (explode_buckets(e).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
              .select("src", "bucket", "copy", "dst", "cb", "ca", (F.col("dst") == F.col("first_dst")).alias("first"))
              .join(nxt, "dst")
              .select("src", "bucket", "copy", "dst", "cb", "ca", "first", "nd", "nt", "nc"))
     keys = merged.select("src", "dst")
     index = index.repartition(n_part, "src", "bucket", "copy")
     keys = keys.repartition(n_part, "src", "dst")
-    g = WalkGraph(edges=merged, keys=keys, vertices=vertices.drop("first_dst"), index=index, directed=directed)
+    g = WalkGraph(edges=merged, keys=keys, vertices=vertices.drop("first_dst"), index=index, directed=directed, exponent=exponent, partitions=n_part)
     if persist:
         for df in (g.keys, g.index):
             df.persist(StorageLevel.MEMORY_AND_DISK).count()
@@ -227,28 +220,18 @@ def rejection_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, tri
         spark.catalog.dropTempView(w)      # the analysed statement no longer needs the name
 
 
-def cdf_step(walkers: DataFrame, graph: WalkGraph, params: WalkParams, u=None) -> DataFrame:
-    """One loop turn of the scanning sampler (the modelled system's draw semantics).
-
-    It reads the whole list of every walker's vertex, so its rows are the sum of these
-    degrees: a parity mode for graphs of capped degree.
-    """
-    L = params.walk_length
-    act = walkers.where(F.col("step") <= L).select("rnd", "v0", "step", "prev", "cur")
-    e = graph.edges
-    ud = F.lit(float(u)) if u is not None else draw(F.lit(params.seed), "rnd", "v0", F.col("step") + 1, F.lit(0), F.lit(1))
-    cands = (act.join(e, act.cur == e.src).select("rnd", "v0", "step", "prev", "cur", "dst", "w")
-             .withColumn("u", ud))
-    nxt = second_order_sample(cands, graph.keys, ["rnd", "v0", "step", "cur"], params.p, params.q, u="u", out="next")
-    return nxt.select("rnd", "v0", (F.col("step") + 1).alias("step"), F.col("cur").alias("prev"),
-                      F.col("next").alias("cur"), F.lit(1).cast("bigint").alias("n"),
-                      F.lit(1.0).alias("tot"), F.lit(1).alias("copies"), F.lit(0).cast("bigint").alias("tb"))
+def _prefix_state(walkers: DataFrame, graph: WalkGraph, ix: PrefixIndex) -> DataFrame:
+    """Walkers after their first step, with what ``prefix_step`` needs to know of prev and cur."""
+    at = ix.vertices.select(F.col("v").alias("cur"), "tq")
+    behind = ix.vertices.select(F.col("v").alias("prev"), F.col("n").alias("pn"))
+    return walkers.join(at, "cur").join(behind, "prev").select("rnd", "v0", "step", "prev", "cur", "n", "pn", "tq", "tb")
 
 
 @dataclass
 class WalkResult:
     steps: DataFrame      # (rnd, v0, step, vertex)
     paths: DataFrame      # (rnd, v0, path ARRAY<BIGINT>)
+    turns: int = 0        # of the loop
 
 
 def assemble_paths(steps: DataFrame) -> DataFrame:
@@ -281,8 +264,14 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None,
     L = params.walk_length
     trials = trials or params.trials or default_trials(params.p, params.q)
     first_order = params.p == 1.0 and params.q == 1.0
-    if params.sampler not in ("rejection", "cdf"):
+    if params.sampler not in ("rejection", "cdf", "stitched"):
         raise ValueError(f"unknown sampler {params.sampler!r}")
+    if params.sampler == "stitched":
+        from rambler.operators.stitch import stitched_walk
+        return stitched_walk(graph, params, rounds)
+    # the scanning sampler's first step, and all of its steps if p = q = 1, are the other's first trial
+    scan = params.sampler == "cdf" and not first_order
+    prefixes = None
     walkers = init_walkers(graph, params.num_walks, rounds)
     if params.partitions:
         walkers = walkers.repartition(params.partitions, "rnd", "v0")
@@ -294,20 +283,25 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None,
          .write.mode("append").parquet(steps))
         if walkers.where((F.col("n") > 0) & (F.col("step") <= L)).isEmpty():
             break
-        if params.sampler == "cdf":
-            nxt = cdf_step(walkers, graph, params, u=u1)
+        if scan and turn:
+            if prefixes is None:
+                prefixes = build_prefix_index(graph.edges, params.p, params.q, graph.exponent, graph.partitions)
+                walkers = _prefix_state(walkers, graph, prefixes)
+            nxt = prefix_step(walkers, graph.keys, prefixes, L, params.seed, u=u1)
         else:
             # the first step has no previous vertex: its first trial is always accepted;
             # past step L+1 only stalled walkers are left: larger batches end the tail sooner
-            k = 1 if (turn == 0 or first_order) else (trials if turn < L + 1 else 8 * trials)
+            k = 1 if (turn == 0 or first_order or scan) else (trials if turn < L + 1 else 8 * trials)
             nxt = rejection_step(walkers, graph, params, k, u1=u1)
         before = held
         walkers, held = write_scratch(nxt, "walkers")
         delete_scratch(spark, before)
         turn += 1
     delete_scratch(spark, held)
+    if prefixes is not None:
+        prefixes.unpersist()
     steps = spark.read.parquet(steps)
-    return WalkResult(steps=steps, paths=assemble_paths(steps))
+    return WalkResult(steps=steps, paths=assemble_paths(steps), turns=turn)
 
 
 def walk_report(result: WalkResult, edges: DataFrame, vertices: DataFrame, num_walks: int, walk_length: int) -> DataFrame:

@@ -29,14 +29,14 @@ class WalkParams:
     q: float = 1.0                   # in-out parameter
     directed: bool = False
     seed: int = 0                    # keyed draws: md5(seed|round|start|step[|dst])
-    sampler: str = "rejection"       # "rejection" (default, degree-independent) or "cdf" (scan, reference draws)
+    sampler: str = "rejection"       # "rejection" (default), "cdf" (reference draws) or "stitched" (p = q = 1, few turns)
     trials: int | None = None        # rejection trials per walker per turn; None = by p and q
     partitions: int | None = None    # index and walker partitions; None = sized from the graph
 
 
 @dataclass(frozen=True)
 class Word2VecParams:
-    """Skip-gram settings (Spark ML ``Word2Vec``)."""
+    """Skip-gram settings: Spark ML's ``Word2Vec``, or training by buckets of words."""
 
     dim: int = 128
     window: int = 10
@@ -46,7 +46,12 @@ class Word2VecParams:
     min_count: int = 0
     seed: int = 42
     max_sentence_length: int | None = None   # longer walks would be cut; None = the longest walk
-    max_vocabulary_bytes: int = 4 << 30      # the driver holds vocabulary × dim floats; more is an error
+    max_vocabulary_bytes: int = 4 << 30      # Spark ML's driver holds vocabulary × dim floats; more goes to buckets
+    trainer: str = "auto"            # "driver" (Spark ML), "buckets", or by the vocabulary's size
+    negatives: int = 5               # buckets: negative contexts per pair
+    bucket_lr: float = 0.1          # buckets: step size (scaled by past gradients)
+    bucket_bytes: int = 1 << 30      # buckets: size of one; a task holds two
+    buckets: int | None = None       # buckets: their number; None = by ``bucket_bytes``
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rambler.operators import contacts as C, graph as G
-from rambler.operators.embed import fit_word2vec, model_vectors, name_vectors, path_tokens
+from rambler.operators.embed import name_vectors, path_tokens, train_vectors
 from rambler.operators.walk import build_graph, random_walk, walk_report
 from rambler.params import JobParams
 from rambler.session import materialize
@@ -52,19 +52,23 @@ def embedding_job(spark: SparkSession, params: JobParams, id_map: DataFrame | No
     if id_map is None and params.id_map:
         id_map = spark.read.parquet(params.id_map)
     series = materialize(X.read_walk_series(spark, params.input, params.output_partitions), "series")
-    return _save_model_outputs(fit_word2vec(series, params.w2v), params, id_map)
+    return _save_model_outputs(series, params, id_map)
 
 
 def node2vec_job(spark: SparkSession, edges: DataFrame, params: JobParams,
                  id_map: DataFrame | None = None) -> DataFrame:
     """E5: walks → Word2Vec → vectors; everything written under ``params.output``."""
     paths = walk_job(spark, edges, params)
-    return _save_model_outputs(fit_word2vec(path_tokens(paths), params.w2v), params, id_map)
+    return _save_model_outputs(path_tokens(paths), params, id_map)
 
 
-def _save_model_outputs(model, params: JobParams, id_map: DataFrame | None) -> DataFrame:
-    model.write().overwrite().save(os.path.join(params.output, "bin"))         # K3
-    vecs = model_vectors(model)
+def _save_model_outputs(tokens: DataFrame, params: JobParams, id_map: DataFrame | None) -> DataFrame:
+    """``bin`` holds Spark ML's model, or the vectors as a table if they were trained by buckets."""
+    vecs, model = train_vectors(tokens, params.w2v)
+    if model is not None:
+        model.write().overwrite().save(os.path.join(params.output, "bin"))     # K3
+    else:
+        vecs.write.mode("overwrite").parquet(os.path.join(params.output, "bin"))
     if id_map is not None:                                                      # J5
         vecs = name_vectors(vecs, id_map).select(F.col("phone_number").alias("key"), "vector")
     _write(vecs, params, "vec", X.write_vectors)                                # K2

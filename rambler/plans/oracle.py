@@ -7,7 +7,7 @@ recursive CTEs that reproduce the keyed draws (md5 → 52-bit fraction).
 from __future__ import annotations
 
 from rambler.plans.queries import (BLOCK, END, IN_RANGE, L, OUT_RANGE, P, PARTS, Q, REGIONS, SEED, START,
-                                   TOPN_KEY, TOPN_N, USER_DATE)
+                                   STITCHED_L, LARGE, TINY, TOPN_KEY, TOPN_N, USER_DATE)
 
 
 def draw_sql(*parts: str) -> str:
@@ -81,12 +81,20 @@ def oriented(src_cte: str, directed: bool) -> str:
     return f"SELECT src, dst, w FROM {src_cte} UNION ALL SELECT dst AS src, src AS dst, w FROM {src_cte}"
 
 
-def _graph_ctes(src_cte: str, directed: bool) -> str:
-    # weights are summed as whole units of 1e-8
-    return f"""gu AS (SELECT src, dst, CAST(sum(CAST(round(w * 100000000) AS BIGINT)) AS BIGINT) AS wu
+# Whole units in a weight of 1, where a graph's weights ask for others than 1e8: at least six digits of the least
+# weight, unless sums would leave 62 bits.
+UNITS = """un AS (SELECT pow(10.0, least(greatest(8, 6 + ceil(-log10((SELECT min(w) FROM {src} WHERE w > 0)))),
+      floor(log10(pow(2.0, 62) / (SELECT max(s) FROM (SELECT sum(w) AS s FROM (SELECT src, w FROM {src} UNION ALL SELECT dst, w FROM {src}) o GROUP BY src) x))))) AS u),
+"""
+
+
+def _graph_ctes(src_cte: str, directed: bool, own_units: bool = False) -> str:
+    # weights are summed as whole units, of 1e-8 mostly
+    u = "(SELECT u FROM un)" if own_units else "100000000.0"
+    return (UNITS.replace("{src}", src_cte) if own_units else "") + f"""gu AS (SELECT src, dst, CAST(sum(CAST(round(w * {u}) AS BIGINT)) AS BIGINT) AS wu
       FROM ({oriented(src_cte, directed)}) o GROUP BY src, dst),
-g AS (SELECT src, dst, wu / 100000000.0 AS w FROM gu),
-cum AS (SELECT src, dst, (s - wu) / 100000000.0 AS cb, s / 100000000.0 AS ca
+g AS (SELECT src, dst, wu / {u} AS w FROM gu),
+cum AS (SELECT src, dst, (s - wu) / {u} AS cb, s / {u} AS ca
       FROM (SELECT *, CAST(sum(wu) OVER (PARTITION BY src ORDER BY dst ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS s
             FROM gu) u),
 st AS (SELECT src, count(*) AS n, max(ca) AS tot, min(dst) AS fd FROM cum GROUP BY src),
@@ -98,9 +106,9 @@ rr AS (SELECT CAST(unnest(range(0, {{rounds}})) AS INTEGER) AS rnd)"""
 
 
 def walk_steps_sql(src_cte: str, directed: bool, rounds: int, walk_length: int = L, sampler: str = "rejection",
-                   trials: int = 8, p: float = P, q: float = Q, seed: int = SEED) -> tuple[str, str]:
+                   trials: int = 8, p: float = P, q: float = Q, seed: int = SEED, own_units: bool = False) -> tuple[str, str]:
     """(CTE list, name of the steps CTE ``(rnd, v0, step, vertex)``)."""
-    graph = _graph_ctes(src_cte, directed).replace("{rounds}", str(rounds))
+    graph = _graph_ctes(src_cte, directed, own_units).replace("{rounds}", str(rounds))
     fb, fi, fo = 1.0 / p, 1.0, 1.0 / q
     m = max(fb, fi, fo)
     rb, ri, ro = fb / m, fi / m, fo / m
@@ -154,8 +162,46 @@ steps AS (SELECT rnd, v0, step, cur AS vertex FROM walk)"""
     return graph + ",\n" + walk, "steps"
 
 
+def stitched_steps_sql(src_cte: str, rounds: int, walk_length: int, seed: int = SEED) -> tuple[str, str]:
+    """The same for walks stitched from segments (undirected): one CTE a doubling, and one a turn of the walkers."""
+    moves = walk_length + 1
+    top = moves.bit_length() - 1
+    ample = lambda m: f"CAST(ceil({m} + 2.0 * sqrt({m}) + 1.0) AS BIGINT)"
+    out = [_graph_ctes(src_cte, False).replace("{rounds}", str(rounds)),
+           "sh AS (SELECT v, coalesce(win, 0)::DOUBLE / (SELECT sum(wu) FROM gu)::DOUBLE AS share FROM vx LEFT JOIN (SELECT dst AS v, sum(wu) AS win FROM gu GROUP BY 1) i USING (v) WHERE n > 0)",
+           f"c{top} AS MATERIALIZED (SELECT v, share, CAST({rounds} AS BIGINT) AS n, 0 AS h, 0 AS t FROM sh)"]
+    for i in range(top - 1, -1, -1):
+        want = "1.0" if moves >> i & 1 else "0.15"
+        tails, own = ample(f"(share * (SELECT sum(n) FROM c{i + 1})::DOUBLE)"), ample(f"(share * ({want} * (SELECT count(*) * {rounds} FROM sh)))")
+        out.append(f"c{i} AS MATERIALIZED (SELECT v, share, n + {tails} + {own} AS n, n AS h, {tails} AS t FROM c{i + 1})")
+    u = draw_sql(str(seed), "'segment'", "v", "j")
+    out.append(f"""s0 AS MATERIALIZED (SELECT x.v, x.j, [i.dst] AS path, i.dst AS e, i.nd AS en
+  FROM (SELECT v, j, {u} * tot AS tt FROM (SELECT c0.v, vx.tot, unnest(range(0, c0.n)) AS j FROM c0 JOIN vx USING (v)) y) x JOIN lst i ON i.src = x.v
+  WHERE i.ca >= x.tt AND (i.cb < x.tt OR i.first))""")
+    for i in range(top):
+        out.append(f"""s{i + 1} AS MATERIALIZED (SELECT a.v, a.j, CASE WHEN b.v IS NULL THEN a.path ELSE list_concat(a.path, b.path) END AS path,
+  coalesce(b.e, a.e) AS e, coalesce(b.en, a.en) AS en
+  FROM (SELECT s.*, row_number() OVER (PARTITION BY e, en > 0 ORDER BY v, j) - 1 AS k FROM s{i} s JOIN c{i} USING (v) WHERE j < h) a
+  LEFT JOIN (SELECT s.*, j - h AS k FROM s{i} s JOIN c{i} USING (v) WHERE j >= h AND j < h + t) b ON a.en > 0 AND b.v = a.e AND b.k = a.k)""")
+    pool = " UNION ALL ".join(f"SELECT {i} AS level, v, j - h - t AS k, path, e, en FROM s{i} JOIN c{i} USING (v) WHERE j >= h + t" for i in range(top + 1))
+    out += [f"pool AS MATERIALIZED ({pool})", "w0 AS (SELECT rr.rnd, vx.v AS v0, 0 AS step, vx.v AS cur, vx.n FROM vx CROSS JOIN rr)"]
+    own = draw_sql(str(seed), "a.rnd", "a.v0", "a.step + 1", "0", "1")
+    for t in range(1, moves + 1):
+        before = " UNION ALL ".join(["SELECT 0 AS level, 0 AS cur WHERE false", *[f"SELECT level, cur FROM q{x}" for x in range(1, t)]])
+        out.append(f"q{t} AS MATERIALIZED (SELECT *, CAST(floor(log2({moves} - step + 0.5)) AS INTEGER) AS level FROM w{t - 1} WHERE n > 0 AND step < {moves})")
+        out.append(f"""m{t} AS MATERIALIZED (SELECT a.rnd, a.v0, a.step, coalesce(p.path, [i.dst]) AS path, coalesce(p.e, i.dst) AS e, coalesce(p.en, i.nd) AS en
+  FROM (SELECT q.*, {own.replace('a.', 'q.')} * vx.tot AS tt, row_number() OVER (PARTITION BY q.level, q.cur ORDER BY rnd, v0) - 1 + coalesce(used, 0) AS k
+        FROM q{t} q JOIN vx ON vx.v = q.cur LEFT JOIN (SELECT level, cur, count(*) AS used FROM ({before}) y GROUP BY 1, 2) z ON z.level = q.level AND z.cur = q.cur) a
+  LEFT JOIN pool p ON p.level = a.level AND p.v = a.cur AND p.k = a.k
+  LEFT JOIN lst i ON p.v IS NULL AND i.src = a.cur AND i.ca >= a.tt AND (i.cb < a.tt OR i.first))""")
+        out.append(f"w{t} AS (SELECT rnd, v0, step + len(path) AS step, e AS cur, en AS n FROM m{t})")
+    moved = " UNION ALL ".join(f"SELECT rnd, v0, step + generate_subscripts(path, 1) AS step, unnest(path) AS vertex FROM m{t}" for t in range(1, moves + 1))
+    out.append(f"steps AS (SELECT rnd, v0, step, cur AS vertex FROM w0 UNION ALL {moved})")
+    return ",\n".join(out), "steps"
+
+
 def walk_paths_sql(src_cte: str, directed: bool, rounds: int, base: str, **kw) -> tuple[str, str]:
-    ctes, steps = walk_steps_sql(src_cte, directed, rounds, **kw)
+    ctes, steps = stitched_steps_sql(src_cte, rounds, kw["walk_length"]) if kw.get("sampler") == "stitched" else walk_steps_sql(src_cte, directed, rounds, **kw)
     paths = f"""wp AS (SELECT CAST(rnd AS INTEGER) AS rnd, v0, string_agg(CAST(vertex AS VARCHAR), ' ' ORDER BY step) AS path,
                CAST(count(*) AS BIGINT) AS len FROM {steps} GROUP BY rnd, v0)"""
     return f"WITH RECURSIVE {base},\n{ctes},\n{paths}\n", "wp"
@@ -239,12 +285,19 @@ ORACLE = {
     "random_walk_cdf": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}", sampler="cdf"),
     # no bucket index here: every trial scans the whole list of its vertex
     "random_walk_decimal": _w("pg", False, 1, PRICES, "SELECT * FROM {wp}"),
+    # many edges are lighter than 1e-8, or heavier than 64 bits hold units of 1e-8
+    "random_walk_tiny_weights": _w("et", False, 1, EVENTS + f", et AS (SELECT src, dst, w * {TINY!r} AS w FROM ec)", "SELECT * FROM {wp}", own_units=True),
+    "random_walk_large_weights": _w("el", False, 1, EVENTS + f", el AS (SELECT src, dst, w * {LARGE!r} AS w FROM ec)", "SELECT * FROM {wp}", own_units=True),
+    "random_walk_stitched": _w("ec", False, 2, EVENTS, "SELECT * FROM {wp}", sampler="stitched", walk_length=STITCHED_L),
     "random_walk_partitioned": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}"),
     "dead_end_walks": _w("ec", True, 2, EVENTS, f"SELECT rnd, v0, len FROM {{wp}} WHERE len < {L + 2}"),
     "walk_counts": _w("ec", True, 2, EVENTS, "SELECT rnd, count(*) AS paths FROM {wp} GROUP BY rnd"),
     # Word2Vec's vocabulary with minCount = 0 is every vertex on a path; one vector of dim 16 each
     "node_embedding_size": _w("ec", False, 1, EVENTS, """SELECT DISTINCT CAST(vertex AS VARCHAR) AS key,
         CAST(16 AS BIGINT) AS dim FROM steps"""),
+    # trained by buckets: a vector for every vertex, and walks' neighbours are closer than other pairs
+    "node_embedding_buckets": _w("ec", False, 1, EVENTS, """SELECT count(DISTINCT vertex) AS words, CAST(16 AS BIGINT) AS dim, count(DISTINCT vertex) AS finite,
+        true AS neighbours_closer FROM steps"""),
     "walk_quality": _w("ec", True, 2, EVENTS, f"""SELECT (SELECT count(*) FROM {{wp}}) AS paths,
         (SELECT count(*) * 2 FROM (SELECT src AS v FROM ec UNION SELECT dst FROM ec) vv) AS expected_paths,
         (SELECT CAST(sum(CASE WHEN len < {L + 2} THEN 1 ELSE 0 END) AS BIGINT) FROM {{wp}}) AS short_paths,
@@ -261,6 +314,10 @@ ORACLE = {
     "topn_similar": f"""WITH {EMB}, qv AS (SELECT vector AS qx FROM vec WHERE key = '{TOPN_KEY}')
         SELECT key, round({cos_sql('qv.qx', 'vec.vector')}, 6) AS cos FROM vec, qv
         ORDER BY cos DESC, key LIMIT {TOPN_N + 1}""",
+    "topn_similar_batch": f"""WITH {EMB}, c AS (SELECT a.key AS query, b.key, round({cos_sql('a.vector', 'b.vector')}, 6) AS cos
+            FROM (SELECT * FROM vec WHERE key IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)) a, vec b)
+        SELECT query, CAST(rank AS INTEGER) AS rank, key, cos
+        FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY cos DESC, key) AS rank FROM c) r WHERE rank <= {TOPN_N + 1}""",
 }
 
 # Parts of the vertex-cut operators.

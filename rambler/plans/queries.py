@@ -6,6 +6,8 @@ exactly like those of the matching SQL in ``rambler.plans.oracle``.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,6 +17,8 @@ from rambler.functions.vectors import cosine, dot, norm
 from rambler.operators import contacts as C, graph as G, similarity as S
 from rambler.operators.embed import fit_word2vec, model_vectors, name_vectors, path_tokens
 from rambler.operators.sampling import second_order_sample, second_order_weights, weighted_sample
+from rambler.operators.skip_gram import embedding_quality, fit_skip_gram
+from rambler.operators.similarity_batch import top_n_similar_batch
 from rambler.operators.walk import build_graph, init_walkers, random_walk, walk_report
 from rambler.params import JobParams, WalkParams, Word2VecParams
 from rambler.plans import jobs
@@ -30,7 +34,10 @@ SEED, P, Q, L = 42, 0.5, 2.0, 6
 PARTS = 4
 TOPN_KEY, TOPN_N = "7", 5
 BLOCK = 16
+STITCHED_L = 10             # 11 moves: 8 + 2 + 1
+TINY, LARGE = 1e-12, 1e11   # weights' scales that units of 1e-8 don't serve
 W2V = Word2VecParams(dim=16, window=5, iterations=1)
+BUCKET_EPOCHS = 5
 
 
 # ---------------------------------------------------------------- shared inputs
@@ -73,9 +80,9 @@ def _edges(spark, d, graph: str):
 
 
 def _walk(spark, d, graph: str, directed: bool, rounds: int, sampler: str = "rejection",
-          walk_length: int = L, edges=None):
+          walk_length: int = L, edges=None, p: float = P, q: float = Q):
     g = build_graph(_edges(spark, d, graph) if edges is None else edges, directed=directed)
-    walks = random_walk(g, WalkParams(walk_length=walk_length, num_walks=rounds, p=P, q=Q, seed=SEED,
+    walks = random_walk(g, WalkParams(walk_length=walk_length, num_walks=rounds, p=p, q=q, seed=SEED,
                                       sampler=sampler))
     g.unpersist()
     return walks
@@ -341,6 +348,24 @@ def q_random_walk_decimal(spark, d):
     return _walk_out(_walk(spark, d, "prices", False, 1).paths)
 
 
+def _scaled(spark, d, by: float):
+    return D.events_edges(spark, d).withColumn("w", F.col("w") * F.lit(by))
+
+
+def q_random_walk_tiny_weights(spark, d):
+    """Weights from 1e-12 on: the unit comes from the graph."""
+    return _walk_out(_walk(spark, d, "events", False, 1, edges=_scaled(spark, d, TINY)).paths)
+
+
+def q_random_walk_large_weights(spark, d):
+    return _walk_out(_walk(spark, d, "events", False, 1, edges=_scaled(spark, d, LARGE)).paths)
+
+
+def q_random_walk_stitched(spark, d):
+    """W6 for p = q = 1, by doubling segments."""
+    return _walk_out(_walk(spark, d, "events", False, 2, sampler="stitched", walk_length=STITCHED_L, p=1.0, q=1.0).paths)
+
+
 def q_random_walk_partitioned(spark, d):
     """The edges come with a part for some of them (A11 keeps it and draws the others')."""
     return _walk_out(_walk(spark, d, "events", False, 1, edges=_given_parts(spark, d).select("src", "dst", "w")).paths)
@@ -369,6 +394,13 @@ def q_node_embedding_size(spark, d):
     return v.select("key", F.size("vector").cast("bigint").alias("dim"))
 
 
+def q_node_embedding_buckets(spark, d):
+    """E1+E2 without the driver: vectors trained by buckets, and whether they know who walks next to whom."""
+    paths = materialize(_walk(spark, d, "events", False, 1).paths, "paths")
+    v = materialize(fit_skip_gram(path_tokens(paths), replace(W2V, window=2, iterations=BUCKET_EPOCHS, buckets=3)), "vectors")
+    return embedding_quality(v, path_tokens(paths), W2V.dim)
+
+
 # ---------------------------------------------------------------- text forms and jobs
 
 def _edge_lines(spark, d, form: str):
@@ -476,4 +508,10 @@ def q_topn_similar(spark, d):
     return S.top_n_similar(_vectors(spark, d), TOPN_KEY, TOPN_N, digits=6).select("key", "cos")
 
 
+def q_topn_similar_batch(spark, d):
+    """E8 for every customer that has a vector."""
+    keys = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("key"))
+    return top_n_similar_batch(_vectors(spark, d), keys, TOPN_N, digits=6).rows.select("query", F.col("rank").cast("int").alias("rank"), "key", "cos")
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

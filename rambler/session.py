@@ -65,11 +65,14 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rambler-{tag}-{uuid.uuid4().hex}"
 
 
-def write_scratch(df, tag: str):
-    """Write ``df`` as a Parquet table under the checkpoint directory: ``(the table read back, its path)``."""
+def write_scratch(df, tag: str, partition_by: list[str] = ()):
+    """Write ``df`` as a Parquet table under the checkpoint directory: ``(the table read back, its path)``.
+
+    The schema is known, so reading back needs no job to infer it (and an empty table keeps it).
+    """
     path = scratch_path(df.sparkSession, tag)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), path
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def delete_scratch(spark: SparkSession, path: str) -> None:
