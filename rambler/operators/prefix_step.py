@@ -60,16 +60,19 @@ def build_prefix_index(edges: DataFrame, p: float, q: float, exponent: int, part
 def _least_reaching(thr: Column, exponent: int) -> Column:
     """The smallest whole number a with a / 10 ** exponent >= thr, as doubles compare."""
     scale = F.lit(10.0**exponent)
-    near = F.ceil(thr * scale).cast("bigint")
-    # the product is off by a few units in the last place at most: 1024 each below 2 ** 63
-    ends = F.struct((near - 4096).alias("lo"), (near + 4096).alias("hi"))
 
-    def halve(s, _):
+    def search(t):
+        near = F.ceil(t * scale).cast("bigint")
+        # the product is off by a few units in the last place at most: 1024 each below 2 ** 63
+        ends = F.struct((near - 4096).alias("lo"), (near + 4096).alias("hi"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(13)), ends, lambda s, _: halve(s, t), lambda s: s["hi"])
+
+    def halve(s, t):
         mid = s["lo"] + F.shiftright(s["hi"] - s["lo"], 1)
-        reached = mid / scale >= thr
+        reached = mid / scale >= t
         return F.struct(F.when(reached, s["lo"]).otherwise(mid).alias("lo"), F.when(reached, mid).otherwise(s["hi"]).alias("hi"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(13)), ends, halve, lambda s: s["hi"])
+    return F.transform(F.array(thr), search)[0]     # a lambda's variable is evaluated once
 
 
 def corrections(act: DataFrame, keys: DataFrame, ix: PrefixIndex) -> DataFrame | None:
@@ -108,21 +111,21 @@ def prefix_step(walkers: DataFrame, keys: DataFrame, ix: PrefixIndex, walk_lengt
         drawn = act.join(lists, ["rnd", "v0"], "left").withColumn("c", F.coalesce(F.col("c").cast(kind), F.array().cast(kind)))
     total = F.col("tq") + F.aggregate("c", F.lit(0).cast("bigint"), lambda a, x: a + x["by"])
     ud = F.lit(float(u)) if u is not None else draw(F.lit(seed), "rnd", "v0", F.col("step") + 1, F.lit(0), F.lit(1))
-    drawn = drawn.withColumn("thr", ud * (total / F.lit(10.0**ix.exponent))).withColumn("a", _least_reaching(F.col("thr"), ix.exponent))
-
+    reach = _least_reaching(ud * (total / F.lit(10.0**ix.exponent)), ix.exponent)
     none = F.lit(None).cast("bigint")
-    start = F.struct(F.lit(0).cast("bigint").alias("off"), F.lit(False).alias("done"), none.alias("need"), none.alias("dst"), none.alias("nd"), none.alias("td"))
+    start = F.struct(F.lit(0).cast("bigint").alias("off"), F.lit(False).alias("done"), none.alias("need"), none.alias("dst"), none.alias("nd"), none.alias("td"),
+                     reach.alias("a"))
 
     def advance(s, x):
-        before, after = x["cb"] + s["off"] >= F.col("a"), x["ca"] + s["off"] + x["by"] >= F.col("a")
+        before, after = x["cb"] + s["off"] >= s["a"], x["ca"] + s["off"] + x["by"] >= s["a"]
         here = ~before & after
         moved = F.struct((s["off"] + F.when(before | after, 0).otherwise(x["by"])).alias("off"), (before | after).alias("done"),
-                         F.when(before, F.col("a") - s["off"]).alias("need"), *[F.when(here, x[c]).alias(c) for c in ("dst", "nd", "td")])
+                         F.when(before, s["a"] - s["off"]).alias("need"), *[F.when(here, x[c]).alias(c) for c in ("dst", "nd", "td")], s["a"].alias("a"))
         return F.when(s["done"], s).otherwise(moved)
 
-    at = F.aggregate("c", start, advance)
-    placed = materialize(drawn.withColumn("at", at).withColumn("need", F.when(F.col("at.done"), F.col("at.need")).otherwise(F.col("a") - F.col("at.off")))
-                         .select("rnd", "v0", "step", "cur", "n", "tq", "need", "at.dst", "at.nd", "at.td"), "pieces")
+    # the fold is evaluated once for all of its fields
+    folded = drawn.select("rnd", "v0", "step", "cur", "n", "tq", F.inline(F.array(F.aggregate("c", start, advance))))
+    placed = materialize(folded.withColumn("need", F.when(F.col("done"), F.col("need")).otherwise(F.col("a") - F.col("off"))).drop("off", "done", "a"), "pieces")
     i = ix.index
     inside = placed.filter("dst IS NULL").drop("dst", "nd", "td").withColumn("b", F.greatest(bucket_of(F.col("need"), F.col("n"), F.col("tq")), F.lit(0)))
     inside = inside.join(i, (F.col("cur") == i["src"]) & (F.col("b") == i["bucket"]))
