@@ -60,6 +60,18 @@ def dense_ids(vertices: DataFrame, key: str = "phone_number") -> DataFrame:
     return global_rank(vertices.select(key), [key], "id")
 
 
+def extend_ids(saved: DataFrame, vertices: DataFrame, key: str = "phone_number") -> DataFrame:
+    """A1/K4 for a later run: ``saved`` (key, id) as it is, and new keys of ``vertices`` after its largest id.
+
+    New keys are ranked by range among themselves, so ids stay dense if ``saved``'s were, and a key
+    never changes its id.  Keys that ``vertices`` no longer has keep theirs.
+    """
+    known = saved.select(key, F.col("id").cast("bigint").alias("id"))
+    new = vertices.select(key).distinct().join(known, key, "left_anti")
+    first = known.agg((F.coalesce(F.max("id"), F.lit(-1)) + 1).alias("n")).first()["n"]
+    return known.unionByName(dense_ids(new, key).withColumn("id", F.col("id") + F.lit(first)))
+
+
 def indexed_pairs(pairs: DataFrame, id_map: DataFrame) -> DataFrame:
     """Replace both phones by their ids (inner joins drop pairs with an unknown end)."""
     src = id_map.select(F.col("phone_number").alias("src_number"), F.col("id").alias("src_number_id"))
@@ -160,6 +172,21 @@ def edge_partitions(edges: DataFrame, num_parts: int, seed: int = 0, part_col: s
     return edges.select("src", "dst", "w", part.alias("part"))
 
 
+def degree_cut(edges: DataFrame, num_parts: int, seed: int = 0) -> DataFrame:
+    """A11 by degree: ``(src, dst, w, part)``, the part drawn from the edge's end of lower degree (ties: the smaller id).
+
+    A hub's edges spread over the parts of its neighbours, while a vertex of low degree has most of its
+    edges in one part, so fewer vertices need copies than with parts drawn by pair.  Both directions of a
+    pair get the same part.
+    """
+    degree = (edges.select(F.col("src").alias("v")).unionByName(edges.select(F.col("dst").alias("v")))
+              .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+    of = lambda end: degree.select(F.col("v").alias(end), F.col("n").alias(f"_{end}"))
+    lower = F.when((F.col("_src") < F.col("_dst")) | ((F.col("_src") == F.col("_dst")) & (F.col("src") < F.col("dst"))), F.col("src")).otherwise(F.col("dst"))
+    part = F.floor(draw(F.lit(seed), F.lit("part"), lower) * num_parts).cast("int")
+    return edges.select("src", "dst", "w").join(of("src"), "src").join(of("dst"), "dst").select("src", "dst", "w", part.alias("part"))
+
+
 def parted_orient(parted: DataFrame, directed: bool) -> DataFrame:
     """A8 for a partitioned edge list: the reversed entry keeps the part."""
     if directed:

@@ -6,7 +6,9 @@ recursive CTEs that reproduce the keyed draws (md5 → 52-bit fraction).
 
 from __future__ import annotations
 
-from rambler.plans.queries import (BLOCK, END, IN_RANGE, L, OUT_RANGE, P, PARTS, Q, REGIONS, SEED, START,
+import re
+
+from rambler.plans.queries import (BLOCK, BUSY_PRICE, EARLIER_END, END, IN_RANGE, L, OUT_RANGE, P, PARTS, Q, REGIONS, SEED, START,
                                    STITCHED_L, LARGE, TINY, TOPN_KEY, TOPN_N, USER_DATE)
 
 
@@ -289,7 +291,6 @@ ORACLE = {
     "random_walk_tiny_weights": _w("et", False, 1, EVENTS + f", et AS (SELECT src, dst, w * {TINY!r} AS w FROM ec)", "SELECT * FROM {wp}", own_units=True),
     "random_walk_large_weights": _w("el", False, 1, EVENTS + f", el AS (SELECT src, dst, w * {LARGE!r} AS w FROM ec)", "SELECT * FROM {wp}", own_units=True),
     "random_walk_stitched": _w("ec", False, 2, EVENTS, "SELECT * FROM {wp}", sampler="stitched", walk_length=STITCHED_L),
-    "random_walk_partitioned": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}"),
     "dead_end_walks": _w("ec", True, 2, EVENTS, f"SELECT rnd, v0, len FROM {{wp}} WHERE len < {L + 2}"),
     "walk_counts": _w("ec", True, 2, EVENTS, "SELECT rnd, count(*) AS paths FROM {wp} GROUP BY rnd"),
     # Word2Vec's vocabulary with minCount = 0 is every vertex on a path; one vector of dim 16 each
@@ -354,6 +355,30 @@ ORACLE.update({
         UNION ALL SELECT 'several', 3, count(*) FROM ec""",
 })
 
+# S1 by day, ids over two runs, parts by degree.
+_EARLIER = re.sub(r"\b(cin|cn|un|pairs|outd|ind|vin|pir|ids|ipairs|cg)\b", r"\1_1", CONTACTS[CONTACTS.index("cin AS"):].replace(END, EARLIER_END))
+_LOW = "CASE WHEN a.n < b.n OR (a.n = b.n AND e.src < e.dst) THEN e.src ELSE e.dst END"
+_BY_DEGREE = f"""WITH {PRICES}, e AS (SELECT src, dst FROM pg GROUP BY src, dst),
+    dg AS (SELECT v, count(*) AS n FROM (SELECT src AS v FROM e UNION ALL SELECT dst FROM e) x GROUP BY v),
+    lo AS (SELECT e.*, {_LOW} AS low FROM e JOIN dg a ON a.v = e.src JOIN dg b ON b.v = e.dst),
+    pe AS (SELECT src, dst, CAST(floor({draw_sql(str(SEED), "'part'", 'low')} * {PARTS}) AS INTEGER) AS part, CAST(floor({_PART} * {PARTS}) AS INTEGER) AS drawn FROM lo),
+    po AS (SELECT * FROM pe UNION ALL SELECT dst AS src, src AS dst, part, drawn FROM pe)\n"""
+ORACLE.update({
+    "contacts_by_date": ORACLE["contacts_in_range"],
+    "contacts_on_busy_days": f"""WITH {CONTACTS} SELECT user_id, phone_number, dt FROM contacts
+        WHERE dt IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > {BUSY_PRICE})""",
+    "stable_ids": f"""WITH {CONTACTS}, {_EARLIER}, fresh AS (SELECT phone_number FROM vin WHERE phone_number NOT IN (SELECT phone_number FROM vin_1))
+        SELECT phone_number, CAST(id AS BIGINT) AS id FROM ids_1
+        UNION ALL SELECT phone_number, CAST((SELECT count(*) FROM ids_1) + row_number() OVER (ORDER BY phone_number) - 1 AS BIGINT) FROM fresh""",
+    "edge_partitions_by_degree": _BY_DEGREE + "SELECT src, dst, part FROM po",
+    "replication_factor_by_degree": _BY_DEGREE + """, v AS (SELECT count(DISTINCT src) AS n FROM po), r AS (SELECT count(*) AS n FROM (SELECT DISTINCT src, part FROM po) x),
+        d AS (SELECT count(*) AS n FROM (SELECT DISTINCT src, drawn FROM po) x)
+        SELECT r.n AS replicas, v.n AS vertices, round(r.n / v.n, 6) AS factor, round(d.n / v.n, 6) AS drawn_factor FROM r, v, d""",
+    "random_walk_partitioned": _w("ec", False, 1, EVENTS, f"""SELECT rnd, v0, part, path, len FROM {{wp}} JOIN (
+        SELECT v, min(part) AS part FROM (SELECT src, dst, CAST(CASE WHEN (src + dst) % 3 = 0 THEN src % {PARTS} ELSE floor({_PART} * {PARTS}) END AS INTEGER) AS part FROM ec) p,
+            LATERAL (SELECT unnest([src, dst]) AS v) y GROUP BY v) h ON h.v = v0"""),
+})
+
 # Second-order weights and step for the walkers after the first step.
 _SECOND = E + f""", g AS (SELECT src, dst, sum(w) AS w FROM ({oriented('ec', False)}) o GROUP BY src, dst),
     c AS (SELECT src, dst, w, {FIRST_DRAW} AS u,

@@ -24,10 +24,12 @@ from rambler.params import JobParams, WalkParams, Word2VecParams
 from rambler.plans import jobs
 from rambler.session import materialize, scratch_path
 from rambler.sources import derived as D, text as X
-from rambler.sources.tables import table
+from rambler.sources.tables import on_days, read_dates, table, write_by_date
 
 # Fixed query parameters (shared with the oracle SQL).
 START, END, USER_DATE = "1996-01-01", "2000-12-31", D.USER_SNAPSHOT_DATE
+EARLIER_END = "1999-06-30"  # of the first of two runs that share ids
+BUSY_PRICE = 400_000        # days with an order above it
 REGIONS = ("1", "7")
 OUT_RANGE, IN_RANGE = (10, 50), (15, 45)
 SEED, P, Q, L = 42, 0.5, 2.0, 6
@@ -104,6 +106,23 @@ def q_contacts_in_range(spark, d):
     return C.contacts_in_range(D.contact_log(spark, d), START, END)
 
 
+def _log_by_month(spark, d):
+    path = scratch_path(spark, "contact-log")
+    write_by_date(D.contact_log(spark, d), path, unit="month")
+    return path
+
+
+def q_contacts_by_date(spark, d):
+    """S1 from a table laid out by date: only the range's folders are read."""
+    return read_dates(spark, _log_by_month(spark, d), START, END, unit="month").select("user_id", "phone_number", "dt")
+
+
+def q_contacts_on_busy_days(spark, d):
+    """S1 with the days given by another table: folders are pruned at run time."""
+    busy = table(spark, d, "orders").filter(F.col("o_totalprice") > BUSY_PRICE).select(F.to_date("o_orderdate").alias("dt")).distinct()
+    return on_days(read_dates(spark, _log_by_month(spark, d), unit="month"), busy, unit="month").select("user_id", "phone_number", "dt")
+
+
 def q_users_snapshot(spark, d):
     return C.users_snapshot(D.user_snapshot(spark, d), USER_DATE).select("id", "mobile_number", "region_ids")
 
@@ -199,6 +218,14 @@ def q_dense_ids(spark, d):
     return _id_map(spark, d)
 
 
+def q_stable_ids(spark, d):
+    """A1/K4 over two contact ranges: the second run keeps the first one's saved ids."""
+    log, users = D.contact_log(spark, d), D.user_snapshot(spark, d)
+    vertices = lambda end: G.vertices_in_degree_range(materialize(C.phone_pairs(log, users, START, end, USER_DATE), "pairs"), *OUT_RANGE, *IN_RANGE)
+    saved = materialize(G.dense_ids(vertices(EARLIER_END)), "id-map")
+    return G.extend_ids(saved, vertices(END))
+
+
 def q_indexed_pairs(spark, d):
     pairs = _pairs_once(spark, d)
     vin = G.vertices_in_degree_range(pairs, *OUT_RANGE, *IN_RANGE)
@@ -249,6 +276,23 @@ def _parted(spark, d):
     return G.parted_orient(G.edge_partitions(D.events_edges(spark, d), PARTS, SEED), directed=False)
 
 
+def _parted_by_degree(spark, d):
+    e = D.price_edges(spark, d).groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    return G.parted_orient(G.degree_cut(materialize(e, "edges"), PARTS, SEED), directed=False)
+
+
+def q_edge_partitions_by_degree(spark, d):
+    return _parted_by_degree(spark, d).select("src", "dst", "part")
+
+
+def q_replication_factor_by_degree(spark, d):
+    """A13 of the cut by degree, beside that of the drawn cut of the same edges."""
+    by_degree = materialize(_parted_by_degree(spark, d), "parted")
+    drawn = G.parted_orient(G.edge_partitions(by_degree.filter("src < dst").drop("part"), PARTS, SEED), directed=False)
+    other = G.replication_factor(drawn).select("factor").scalar()
+    return G.replication_factor(by_degree).select("replicas", "vertices", "factor", other.alias("drawn_factor"))
+
+
 def _given_parts(spark, d):
     """A11's other branch: every third edge names its part, the others' are drawn."""
     given = F.when(F.pmod(F.col("src") + F.col("dst"), F.lit(3)) == 0, F.pmod("src", F.lit(PARTS)).cast("int"))
@@ -367,8 +411,11 @@ def q_random_walk_stitched(spark, d):
 
 
 def q_random_walk_partitioned(spark, d):
-    """The edges come with a part for some of them (A11 keeps it and draws the others')."""
-    return _walk_out(_walk(spark, d, "events", False, 1, edges=_given_parts(spark, d).select("src", "dst", "w")).paths)
+    """The edges come with a part for some of them (A11 keeps it and draws the others'); a walk belongs
+    to its start's home part (A12)."""
+    parted = materialize(_given_parts(spark, d), "parted")
+    home = G.vertex_home_partition(G.parted_orient(parted, directed=False)).withColumnRenamed("v", "v0")
+    return _walk_out(_walk(spark, d, "events", False, 1, edges=parted.select("src", "dst", "w")).paths).join(home, "v0").select("rnd", "v0", "part", "path", "len")
 
 
 def q_dead_end_walks(spark, d):
