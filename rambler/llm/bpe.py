@@ -2,7 +2,8 @@
 
 The tokenizer first cuts a text by a fixed pattern, and no merge crosses a cut, so the ids of a text
 are those of its cut words in order.  Prose repeats its words: a worker encodes a word with the
-library when it first meets it and keeps its ids under a 64-bit hash of its bytes.  Cutting, hashing,
+library when it first meets it and keeps its ids under a 64-bit hash of its bytes (a digest, if it is
+long: ``rehash_long``).  Cutting, hashing,
 looking up and putting ids together run over all words of a batch at once.
 
 Only texts made of characters that every version of Unicode classes alike are cut here; a text with
@@ -16,7 +17,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from rambler.llm.common import worker_cache
+from rambler.llm.common import rehash_long, worker_cache
 
 _LETTER, _DIGIT, _SPACE, _BREAK, _OTHER = 1, 2, 3, 4, 5  # 0: goes to the library
 
@@ -165,6 +166,7 @@ class WordEncoder:
         first_word = np.searchsorted(begins, offsets)  # of each text
         values = np.cumsum(_BYTE_VALUES[data] * _powers(_BASE, len(data)))
         hashes = (values[ends - 1] - np.where(begins > 0, values[begins - 1], np.uint64(0))) * _powers(_UNBASE, len(data))[begins]
+        rehash_long(hashes, data, begins, ends)
         alone = first_word[:-1][unusual]  # of the texts that are one word here, for the library
         entries = self.table.find(hashes)
         entries[alone] = 0

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import sys
 from types import ModuleType
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -28,6 +30,19 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+LONG_WORD = 64      # bytes
+
+
+def rehash_long(hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+    """Replace the hashes of words of more than ``LONG_WORD`` bytes by digests of their bytes.
+
+    Sums modulo 2 ** 64 tell short words apart, but not certain long ones, whatever the base and the
+    values: such sums have words of 1,024 letters over two letters that always collide.
+    """
+    for i in np.flatnonzero(ends - begins > LONG_WORD).tolist():
+        hashes[i] = int.from_bytes(hashlib.blake2b(data[begins[i] : ends[i]], digest_size=8).digest(), "little")
+
+
 def held_out(id_col: str, mod: int, rest: int) -> Column:
     """Whether crc32 of the id's text leaves ``rest``; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % mod == rest, F.lit(False))

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rambler.llm.common import digest, texts
 from rambler.llm.components import components
 from rambler.llm.shingles import MinHash, mix, shingle_set
 from rambler.session import materialize
@@ -84,8 +85,8 @@ def _signatures(s: Settings):
                 keys = mix((banding(members).reshape(s.bands, s.rows) * weights).sum(1, dtype=np.uint64) ^ numbers)
                 rows.append((_digest(members), len(members), keys.tobytes(), (sketching(members) & np.uint64(255)).astype(np.uint8).tobytes()))
             kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.record_batch([b.column("doc"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))],
-                                  names=["doc", "digest", "n", "keys", "sketch"])
+            yield pa.record_batch([b.column("doc"), b.column("sha"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))],
+                                  names=["doc", "sha", "digest", "n", "keys", "sketch"])
     return sign
 
 
@@ -201,11 +202,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     component has no other, its ``component_id`` is null and its rows are kept.  Other columns aren't
     read; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = materialize(rows.mapInArrow(_signatures(s), "doc long, digest binary, n long, keys binary, sketch binary"), "signatures")
+    rows = texts(docs, id_col, text_col).select(F.col("doc").cast("long").alias("doc"), "text", digest(F.col("text")).alias("sha"))
+    signed = materialize(rows.mapInArrow(_signatures(s), "doc long, sha binary, digest binary, n long, keys binary, sketch binary"), "signatures")
     classes = (signed.filter("n > 0").groupBy("digest")
-               .agg(F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "keys", "sketch")])
-               .withColumn("cls", F.monotonically_increasing_id()))  # numbers that hold once written
+               .agg(F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "sha")).alias("row"), *[F.first(c).alias(c) for c in ("n", "keys", "sketch")])
+               .select("digest", "row.doc", "row.sha", "n", "keys", "sketch").withColumn("cls", F.monotonically_increasing_id()))  # numbers that hold once written
     classes = materialize(classes, "classes")
 
     buckets = classes.select("cls", "keys").mapInArrow(_bucket_rows, "key long, cls long")
@@ -216,22 +217,23 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     centers = (members.join(meetings, "cls").groupBy("key")
                .agg(F.max(F.struct("meetings", "cls")).alias("top")).select("key", F.col("top.cls").alias("center")))
 
-    wanted = members.select("cls").distinct().join(classes.select("cls", "doc", "digest"), "cls")
-    found = rows.join(wanted.withColumnRenamed("doc", "first_doc"), F.col("doc").eqNullSafe(F.col("first_doc"))).select("cls", "digest", "text")
-    texts = materialize(found.mapInArrow(_own_text(s), "cls long, text string").dropDuplicates(["cls"]), "texts")
+    # a class's text is that of its first row, found by id and text: an id on many rows meets only its own class
+    wanted = members.select("cls").distinct().join(classes.select("cls", F.col("doc").alias("first_doc"), F.col("sha").alias("first_sha")), "cls")
+    found = rows.join(wanted, (F.col("sha") == F.col("first_sha")) & F.col("doc").eqNullSafe(F.col("first_doc"))).select("cls", "text")
+    full = materialize(found.dropDuplicates(["cls"]), "texts")
 
     pairs = (members.join(centers, "key").filter("cls != center")
              .select(F.least("center", "cls").alias("a"), F.greatest("center", "cls").alias("b")).distinct())
     pairs = materialize(pairs, "stars")
-    links = materialize(verify(materialize(prune(pairs, classes, s), "pairs"), texts, s), "links")
+    links = materialize(verify(materialize(prune(pairs, classes, s), "pairs"), full, s), "links")
     component = components(links)
 
     of_member = members.join(component, F.col("cls") == F.col("vertex"), "left").select("key", "cls", F.coalesce("component", "cls").alias("comp"))
     unsettled = of_member.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
     open_ = of_member.join(unsettled, "key").select("cls").distinct()
-    rest = materialize(prefixes(texts.join(open_, "cls"), s), "prefixes")
+    rest = materialize(prefixes(full.join(open_, "cls"), s), "prefixes")
     more = rest_pairs(rest, component, s).join(pairs, ["a", "b"], "left_anti")
-    more_links = materialize(verify(materialize(prune(more, classes, s), "rest-pairs"), texts, s), "rest-links")
+    more_links = materialize(verify(materialize(prune(more, classes, s), "rest-pairs"), full, s), "rest-links")
     if not more_links.isEmpty():
         component = components(component.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(more_links))
 
@@ -242,16 +244,3 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     component_id = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id"))
     return result.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component_id.alias("component_id"),
                          F.col("doc").eqNullSafe(component_id).alias("kept"))
-
-
-def _own_text(s: Settings):
-    """Of rows that share an id, those whose text has the class's set."""
-    def same(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            keep = []
-            for i, (cls, digest, text) in enumerate(zip(b.column("cls").to_pylist(), b.column("digest").to_pylist(), b.column("text").cast(pa.binary()))):
-                members = shingle_set(text.as_buffer(), s.words)
-                if _digest(members) == digest:
-                    keep.append(i)
-            yield b.select(["cls", "text"]).take(pa.array(keep, pa.int64()))
-    return same

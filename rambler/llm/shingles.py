@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from rambler.llm.common import rehash_long
+
 _rng = np.random.default_rng(1234)
 _BYTE_VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0xA0761D6478BD642F
@@ -40,7 +42,9 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     if not len(begins):
         return np.zeros(0, np.uint64)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_VALUES[data] * powers(_BASE, len(data)))])
-    words = mix((sums[ends] - sums[begins]) * powers(_UNBASE, len(data))[begins] + (ends - begins).astype(np.uint64))
+    words = (sums[ends] - sums[begins]) * powers(_UNBASE, len(data))[begins]
+    rehash_long(words, data, begins, ends)
+    words = mix(words + (ends - begins).astype(np.uint64))
     if len(words) < size:
         return mix((words * powers(int(_PLACE), len(words))).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(words)))
     n = len(words) - size + 1

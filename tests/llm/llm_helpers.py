@@ -17,3 +17,9 @@ def odd_rows():
 def pairs(docs):
     """``(doc_id, text)`` of all rows."""
     return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+def alike_words(letters):
+    """Two different words of ``letters`` letters that sums modulo 2 ** 64 can't tell apart, from 1,024 on."""
+    bits = [bin(i).count("1") % 2 for i in range(letters)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from llm_helpers import SF001, pairs
+from llm_helpers import SF001, alike_words, pairs
 
 from rambler.llm.decontaminate import decontaminate
 from rambler.llm.near_dup import Settings, least_matches, near_duplicates
@@ -95,6 +95,20 @@ def test_near_duplicates_against_brute_force(spark, docs, odd, none):
     assert near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_tell_long_words_apart(spark):
+    rows = [(10 * n + k, f"{w} one two three four five") for n in (512, 1024) for k, w in enumerate(alike_words(n))]
+    found = near_duplicates(spark.createDataFrame([(d, t.split()[0]) for d, t in rows] + [(d + 5, t) for d, t in rows], "doc_id long, text string"))
+    assert all(r.kept for r in found.collect())
+
+
+def test_near_duplicates_of_rows_without_ids(spark):
+    """An id on many rows meets its own texts only."""
+    rows = [(None, " ".join(f"w{k}x{i}" for i in range(30))) for k in range(600) for _ in range(2)] + [(7, "a b c d e f g")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(d).collect()
+    assert len(got) == len(rows) and all(r.kept and r.component_id == r.doc_id for r in got) and sum(r.n_shingles for r in got) == 1200 * 26 + 3
+
+
 def test_pruning_bound():
     s = Settings()
     least = least_matches(s)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
-from llm_helpers import pairs
+from llm_helpers import alike_words, pairs
 from tokenizers import Tokenizer
 
 from rambler.llm.bpe import WordEncoder
@@ -33,6 +33,14 @@ def test_word_encoder_equals_the_library():
         assert n.tolist() == [len(x) for x in want] and ids.tolist() == list(itertools.chain(*want))
 
 
+def test_long_words_that_sums_cannot_tell_apart():
+    t = Tokenizer.from_file(BYTE_BPE)
+    texts = [f" {w}" for n in (512, 1024, 2048) for w in alike_words(n)]
+    want = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+    ids, n = WordEncoder(BYTE_BPE).encode(pa.array(texts))
+    assert n.tolist() == [len(x) for x in want] and ids.tolist() == list(itertools.chain(*want))
+
+
 def test_code_lengths_are_optimal_and_limited():
     rng = np.random.default_rng(0)
     for n in (1, 2, 3, 7, 200):
