@@ -33,7 +33,7 @@ intervals share their border exactly, so every draw falls into one interval, on
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -45,7 +45,7 @@ from rambler.operators.ordering import segmented_cumsum
 from rambler.operators.prefix_step import PrefixIndex, build_prefix_index, prefix_step
 from rambler.operators.walk_index import bucket_of, explode_buckets
 from rambler.params import WalkParams
-from rambler.session import delete_scratch, ensure_checkpoint_dir, materialize, scratch_path, write_scratch
+from rambler.session import ensure_checkpoint_dir, is_whole, materialize, scratch_path
 
 WALKER_COLS = ["rnd", "v0", "step", "prev", "cur", "n", "tot", "copies", "tb"]
 
@@ -250,14 +250,71 @@ def default_trials(p: float, q: float) -> int:
     return max(1, math.ceil(2 / min(_accept_ratios(p, q)))) if (p, q) != (1.0, 1.0) else 1
 
 
+class _Turns:
+    """The written state of a walk: one table of walkers and one of new steps a turn.
+
+    A turn is whole once its steps are, which are written last; the walkers before it are then deleted.
+    In a folder of its own (``resume``) the state outlives the driver: another run finds the last whole
+    turn, if it asks for the same walk of the same graph.
+    """
+
+    def __init__(self, graph: WalkGraph, params: WalkParams, rounds: list[int] | None, resume: str | None):
+        self.spark, self.kept = graph.edges.sparkSession, bool(resume)
+        self.base = resume.rstrip("/") if resume else scratch_path(self.spark, "walk")
+        self.turn = -1
+        if resume:
+            size = graph.edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("src", "dst", "w")).alias("x")).first()
+            asked = repr((replace(params, trials=None, partitions=None), rounds, size["n"], size["x"], graph.directed))
+            if is_whole(self.spark, f"{self.base}/manifest"):
+                if self.spark.read.text(f"{self.base}/manifest").first()["value"] != asked:
+                    raise ValueError(f"{self.base} holds another walk")
+                while is_whole(self.spark, self.steps_path(self.turn + 1)):
+                    self.turn += 1
+            else:
+                self.spark.createDataFrame([(asked,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.base}/manifest")
+
+    def steps_path(self, turn: int) -> str:
+        return f"{self.base}/steps/turn={turn}"
+
+    def walkers(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/walkers/{self.turn}")
+
+    def add(self, walkers: DataFrame) -> DataFrame:
+        """Write the next turn's walkers and their steps; the walkers as a table."""
+        self.turn += 1
+        walkers.write.mode("overwrite").parquet(f"{self.base}/walkers/{self.turn}")
+        walkers = self.spark.read.schema(walkers.schema).parquet(f"{self.base}/walkers/{self.turn}")
+        (walkers.where(F.col("tb") == 0).select("rnd", "v0", "step", F.col("cur").alias("vertex"))
+         .write.mode("overwrite").parquet(self.steps_path(self.turn)))
+        if self.turn:
+            self._delete(f"{self.base}/walkers/{self.turn - 1}")
+        return walkers
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def close(self) -> None:
+        if not self.kept:
+            self._delete(f"{self.base}/walkers")
+
+    def steps(self) -> DataFrame:
+        return self.spark.read.schema("rnd int, v0 bigint, step int, vertex bigint").parquet(
+            *[self.steps_path(t) for t in range(self.turn + 1)])
+
+
 def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None, u1=None,
-                rounds: list[int] | None = None) -> WalkResult:
+                rounds: list[int] | None = None, resume: str | None = None, most_turns: int | None = None) -> WalkResult:
     """All rounds walk together; a full path has ``walk_length + 2`` vertices.
 
     The driver holds only the loop.  Every turn the walker state is written as a Parquet
     table under the session's checkpoint directory and read back (lineage cut, survives
-    executor loss), its new steps are appended to the step table, and the turn before is
-    deleted.  The loop ends when no walker can go on.
+    executor loss), its new steps are written beside it, and the turn before is deleted.
+    The loop ends when no walker can go on.
+
+    ``resume`` names a shared folder for this state instead: a run whose driver was lost goes
+    on from the last whole turn when it is started again with the same graph and parameters,
+    and gives the same paths.  ``most_turns`` ends this run after so many turns.
     """
     spark = graph.edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -272,20 +329,21 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None,
     # the scanning sampler's first step, and all of its steps if p = q = 1, are the other's first trial
     scan = params.sampler == "cdf" and not first_order
     prefixes = None
-    walkers = init_walkers(graph, params.num_walks, rounds)
-    if params.partitions:
-        walkers = walkers.repartition(params.partitions, "rnd", "v0")
-    steps = scratch_path(spark, "steps")
-    turn = 0
-    walkers, held = write_scratch(walkers, "walkers")
-    while True:
-        (walkers.where(F.col("tb") == 0).select("rnd", "v0", "step", F.col("cur").alias("vertex"))
-         .write.mode("append").parquet(steps))
-        if walkers.where((F.col("n") > 0) & (F.col("step") <= L)).isEmpty():
-            break
+    turns = _Turns(graph, params, rounds, resume)
+    if turns.turn >= 0:
+        walkers = turns.walkers()
+    else:
+        walkers = init_walkers(graph, params.num_walks, rounds)
+        if params.partitions:
+            walkers = walkers.repartition(params.partitions, "rnd", "v0")
+        walkers = turns.add(walkers)
+    done = 0
+    while done != most_turns and not walkers.where((F.col("n") > 0) & (F.col("step") <= L)).isEmpty():
+        turn = turns.turn
         if scan and turn:
             if prefixes is None:
                 prefixes = build_prefix_index(graph.edges, params.p, params.q, graph.exponent, graph.partitions)
+            if "tq" not in walkers.columns:
                 walkers = _prefix_state(walkers, graph, prefixes)
             nxt = prefix_step(walkers, graph.keys, prefixes, L, params.seed, u=u1)
         else:
@@ -293,15 +351,13 @@ def random_walk(graph: WalkGraph, params: WalkParams, trials: int | None = None,
             # past step L+1 only stalled walkers are left: larger batches end the tail sooner
             k = 1 if (turn == 0 or first_order or scan) else (trials if turn < L + 1 else 8 * trials)
             nxt = rejection_step(walkers, graph, params, k, u1=u1)
-        before = held
-        walkers, held = write_scratch(nxt, "walkers")
-        delete_scratch(spark, before)
-        turn += 1
-    delete_scratch(spark, held)
+        walkers = turns.add(nxt)
+        done += 1
+    turns.close()
     if prefixes is not None:
         prefixes.unpersist()
-    steps = spark.read.parquet(steps)
-    return WalkResult(steps=steps, paths=assemble_paths(steps), turns=turn)
+    steps = turns.steps()
+    return WalkResult(steps=steps, paths=assemble_paths(steps), turns=done)
 
 
 def walk_report(result: WalkResult, edges: DataFrame, vertices: DataFrame, num_walks: int, walk_length: int) -> DataFrame:

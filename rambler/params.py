@@ -70,3 +70,4 @@ class JobParams:
     id_map: str = ""                 # a saved id map that names the vectors (embedding)
     single_output: bool = False      # one output file, else ``output_partitions`` files
     output_partitions: int = 200
+    resume: bool = False             # keep a walk's turns under ``output`` until its paths are written, and go on from them

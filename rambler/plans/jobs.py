@@ -38,9 +38,13 @@ def _write(df: DataFrame, params: JobParams, name: str, write=X.write_table, **k
 
 
 def walk_job(spark: SparkSession, edges: DataFrame, params: JobParams) -> DataFrame:
-    """Walks written as tab-joined lines under ``output/path``, and their report."""
+    """Walks written as tab-joined lines under ``output/path``, and their report.
+
+    With ``params.resume`` the walk's turns are kept under ``output/turns``: started again after its
+    driver was lost, the job goes on from the last whole one.
+    """
     g = build_graph(edges, directed=params.walk.directed, partitions=params.walk.partitions)
-    walks = random_walk(g, params.walk)
+    walks = random_walk(g, params.walk, resume=os.path.join(params.output, "turns") if params.resume else None)
     _write(walks.paths, params, "path", X.write_paths)
     _write(walk_report(walks, g.edges, g.vertices, params.walk.num_walks, params.walk.walk_length), params, "report")
     g.unpersist()       # the walks are written; training needs the memory

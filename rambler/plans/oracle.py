@@ -290,6 +290,7 @@ ORACLE = {
     # many edges are lighter than 1e-8, or heavier than 64 bits hold units of 1e-8
     "random_walk_tiny_weights": _w("et", False, 1, EVENTS + f", et AS (SELECT src, dst, w * {TINY!r} AS w FROM ec)", "SELECT * FROM {wp}", own_units=True),
     "random_walk_large_weights": _w("el", False, 1, EVENTS + f", el AS (SELECT src, dst, w * {LARGE!r} AS w FROM ec)", "SELECT * FROM {wp}", own_units=True),
+    "random_walk_resumed": _w("ec", False, 1, EVENTS, "SELECT * FROM {wp}"),
     "random_walk_stitched": _w("ec", False, 2, EVENTS, "SELECT * FROM {wp}", sampler="stitched", walk_length=STITCHED_L),
     "dead_end_walks": _w("ec", True, 2, EVENTS, f"SELECT rnd, v0, len FROM {{wp}} WHERE len < {L + 2}"),
     "walk_counts": _w("ec", True, 2, EVENTS, "SELECT rnd, count(*) AS paths FROM {wp} GROUP BY rnd"),

@@ -405,6 +405,18 @@ def q_random_walk_large_weights(spark, d):
     return _walk_out(_walk(spark, d, "events", False, 1, edges=_scaled(spark, d, LARGE)).paths)
 
 
+def q_random_walk_resumed(spark, d):
+    """E4/W6 stopped after two turns and gone on with by another run, from the written turns."""
+    edges = materialize(D.events_edges(spark, d), "edges")
+    state = scratch_path(spark, "turns")
+    params = WalkParams(walk_length=L, num_walks=1, p=P, q=Q, seed=SEED)
+    for most in (2, None):
+        g = build_graph(edges)
+        walks = random_walk(g, params, resume=state, most_turns=most)
+        g.unpersist()
+    return _walk_out(walks.paths)
+
+
 def q_random_walk_stitched(spark, d):
     """W6 for p = q = 1, by doubling segments."""
     return _walk_out(_walk(spark, d, "events", False, 2, sampler="stitched", walk_length=STITCHED_L, p=1.0, q=1.0).paths)

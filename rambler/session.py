@@ -83,6 +83,12 @@ def delete_scratch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def is_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end at ``path``: committers leave ``_SUCCESS`` last."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialize(df, tag: str):
     """Write ``df`` as a Parquet table under the checkpoint directory and read it back.
 
