@@ -8,31 +8,34 @@ corrects for the toxic among the unlabelled and is kept from going below zero.
 A text is toxic if some of it is.  A word has hashed features (itself and its beginnings), the sum of
 their weights is its strength, and the strongest word of a text, scaled and shifted, is its logit.
 ``members`` classifiers are trained in numpy, each in its own task on its own sample; a score is the
-mean of their probabilities.  Scoring reads whole texts.
+mean of their probabilities.  Tasks that scan texts turn drawn ones into features, so that training
+holds no texts.  Scoring reads whole texts, in slices of words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 BEGINNINGS = (4, 5, 6)  # letters (bytes) of a word's beginning that make a feature
 N_FEATURES = len(BEGINNINGS) + 1
+SLICE_BYTES = 1 << 18  # of texts that are turned into features at once
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``positives`` and ``unlabelled`` bound the rows that a classifier is trained on (in expectation:
-    rows are drawn by a hash of their id and text)."""
+    """``positives`` and ``unlabelled`` bound the rows that a classifier is trained on, ``sample_bytes`` the
+    bytes of either kind (in expectation: rows are drawn by a hash of their id and text)."""
 
     members: int = 3
     positives: int = 1_500
     unlabelled: int = 5_000
+    sample_bytes: int = 24 << 20
     bits: int = 20
     epochs: int = 30
     rate: float = 0.05
@@ -58,9 +61,30 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base][:n]
 
 
-def word_features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """``[word, feature]`` buckets of all words in order, and how many words each text has."""
-    parts = [t.lower().encode("utf-8", "replace") + b" " for t in texts]
+_GAP = re.compile(rb"[^a-z\x80-\xff]")
+
+
+def slices(texts: Iterable[str]) -> Iterator[list[tuple[int, bytes]]]:
+    """Lists of ``(text's number, lower-case bytes)``, about ``SLICE_BYTES`` each; long texts are cut between words."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        data, a = text.lower().encode("utf-8", "replace"), 0
+        while a == 0 or a < len(data):
+            gap = _GAP.search(data, a + SLICE_BYTES)
+            z = gap.end() if gap else len(data)
+            held.append((i, data[a:z]))
+            size += z - a
+            if size >= SLICE_BYTES:
+                yield held
+                held, size = [], 0
+            a = max(z, 1)
+    if held:
+        yield held
+
+
+def word_features(parts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``[word, feature]`` buckets of all words in order, and how many words each part has."""
+    parts = [p + b" " for p in parts]
     data = np.frombuffer(b"".join(parts), np.uint8)
     letter = _IS_LETTER[data]
     edges = np.flatnonzero(np.diff(letter, prepend=False, append=False))
@@ -74,8 +98,8 @@ def word_features(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
         hashed = (sums[stop - 1] - before) * shift + np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         hashed = (hashed ^ hashed >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
         out[:, k] = (hashed >> np.uint64(64 - bits)).astype(np.int32)
-    text_ends = np.cumsum([len(p) for p in parts])
-    return out, np.diff(np.searchsorted(begins, text_ends), prepend=0)
+    part_ends = np.cumsum([len(p) for p in parts])
+    return out, np.diff(np.searchsorted(begins, part_ends), prepend=0)
 
 
 def _strongest(features: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,50 +167,102 @@ def train(features: np.ndarray, counts: np.ndarray, positive: np.ndarray, prior:
 
 
 def probabilities(texts: list[str], models: list[tuple[np.ndarray, float, float]], bits: int) -> np.ndarray:
-    features, counts = word_features(texts, bits)
+    best = np.full((len(models), len(texts)), -np.inf)
+    for held in slices(texts):
+        features, counts = word_features([part for _, part in held], bits)
+        worded = counts > 0
+        at = np.array([i for i, _ in held])[worded]
+        for m, (weights, _, _) in enumerate(models):
+            np.maximum.at(best[m], at, _strongest(features, counts, weights)[0][worded])
+    best[np.isneginf(best)] = 0.0  # no words
     total = np.zeros(len(texts))
-    for weights, scale, shift in models:
-        best, _ = _strongest(features, counts, weights)
-        total += 1 / (1 + np.exp(-(scale * best + shift)))
+    for m, (_, scale, shift) in enumerate(models):
+        total += 1 / (1 + np.exp(-(scale * best[m] + shift)))
     return total / max(1, len(models))
 
 
+def _text_features(bits: int):
+    """Drawn texts as the features of their distinct words."""
+    def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for row in range(b.num_rows):
+                parts = [distinct_words(*word_features([part for _, part in held], bits)) for held in slices([b.column("text")[row].as_py()])]
+                features = np.concatenate([f for f, _ in parts])
+                features, _ = distinct_words(features, np.array([len(features)]))
+                yield pa.record_batch([b.column("member").slice(row, 1), b.column("positive").slice(row, 1), b.column("row").slice(row, 1),
+                                       pa.array([features.tobytes()], pa.binary())], names=["member", "positive", "row", "features"])
+    return emit
+
+
 def _sample(docs: DataFrame, labels: DataFrame, training, s: Settings, id_col: str, text_col: str) -> tuple[DataFrame, float]:
-    """``(member, positive, text)`` of the training sample, and the class prior."""
-    def draws(rows: DataFrame, bound: int) -> DataFrame:
+    """``(member, positive, row, text)`` of the training sample, and the class prior.
+
+    Rows are drawn by their own hashes, so an id that repeats, or none, is drawn in part like any
+    other; rows equal in id and text teach a member once.
+    """
+    whole = 1 << 30
+
+    def below(share: float, *key) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(whole)) < int(min(1.0, share) * whole)
+
+    def by_members(rows: DataFrame, share: float, salt: int, *key) -> DataFrame:
         """A copy of a row for each member that drew it."""
-        share = min(1.0, bound / max(1, rows.count()))
-        drawn = [F.when(F.pmod(F.xxhash64("doc", F.lit(s.seed * 1000 + m * 2 + (bound == s.positives))), F.lit(1 << 30)) < int(share * (1 << 30)), m)
-                 for m in range(s.members)]
+        drawn = [F.when(below(share, *key, F.lit(s.seed * 1000 + m * 2 + salt)), m) for m in range(s.members)]
         return rows.withColumn("member", F.explode(F.filter(F.array(*drawn), lambda m: m.isNotNull())))
 
+    def share(rows: DataFrame, most: int, copies: int = 1) -> float:
+        found = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size")).first()
+        return copies * min(most / max(1, found["n"]), s.sample_bytes / max(1, found["size"] or 0))
+
     labelled = (labels.filter(training & F.col("toxic").isNotNull() & F.col(id_col).isNotNull())
                 .groupBy(F.col(id_col).alias("doc")).agg(F.max("toxic").alias("toxic")))
-    counted = labelled.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("prior")).first()
-    confirmed = F.broadcast(draws(labelled.filter("toxic = 1").select("doc"), s.positives))  # at most members * positives, about
+    counted = labelled.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("prior"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
+    ids = by_members(labelled.filter("toxic = 1").select("doc"), s.positives / max(1, counted["toxic"]), 1, "doc")
+    confirmed = F.broadcast(ids)  # at most members * positives, about
     texts = docs.filter(training).select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    positives = texts.join(confirmed, "doc").select("member", F.lit(True).alias("positive"), "text")
-    others = draws(texts.select("doc", "text"), s.unlabelled).select("member", F.lit(False).alias("positive"), "text")
-    return positives.unionByName(others), counted["prior"] or 0.0
+    found = texts.join(confirmed, "doc")  # more rows than ids where ids repeat, or texts are long
+    positives = found.filter(below(share(found, s.positives, s.members), "doc", "text", F.lit(s.seed)))
+    others = by_members(texts, share(texts, s.unlabelled), 0, "doc", "text")
+    rows = (positives.select("member", F.lit(True).alias("positive"), F.xxhash64("doc", "text").alias("row"), "text")
+            .unionByName(others.select("member", F.lit(False).alias("positive"), F.xxhash64("doc", "text").alias("row"), "text")))
+    return rows.dropDuplicates(["member", "positive", "row"]), counted["prior"] or 0.0
 
 
 def fit(docs: DataFrame, labels: DataFrame, training, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> list:
     """The members' models ``(buckets, weights, scale, shift)``; none without a confirmed text."""
     sample, prior = _sample(docs, labels, training, s, id_col, text_col)
-
-    def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["positive", "text"])  # the same model whatever order rows came in
-        positive = rows["positive"].to_numpy()
-        if not positive.any():
-            return pd.DataFrame({"buckets": [], "weights": [], "scale": [], "shift": []})
-        texts = rows["text"].tolist()
-        parts = [distinct_words(*word_features(texts[a : a + 128], s.bits)) for a in range(0, len(texts), 128)]
-        features, counts = (np.concatenate(x) for x in zip(*parts))
-        weights, scale, shift = train(features, counts, positive, prior, s)
+    schema = "buckets binary, weights binary, scale double, shift double"
+
+    def model(positive: list[bool], parts: list[bytes]) -> pa.RecordBatch | None:
+        if not any(positive):
+            return None
+        counts = np.array([len(p) // (4 * N_FEATURES) for p in parts])
+        features = np.frombuffer(b"".join(parts), np.int32).reshape(-1, N_FEATURES)
+        parts.clear()
+        weights, scale, shift = train(features, counts, np.array(positive), prior, s)
         used = np.flatnonzero(weights).astype("<i4")
-        return pd.DataFrame({"buckets": [used.tobytes()], "weights": [weights[used].astype("<f4").tobytes()], "scale": [scale], "shift": [shift]})
+        return pa.record_batch([pa.array([used.tobytes()], pa.binary()), pa.array([weights[used].astype("<f4").tobytes()], pa.binary()),
+                                pa.array([scale]), pa.array([shift])], names=["buckets", "weights", "scale", "shift"])
 
-    found = sample.groupBy("member").applyInPandas(learn, "buckets binary, weights binary, scale double, shift double").collect()
+    def learn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by member; one member's features are held at a time."""
+        at, positive, parts = None, [], []
+        for b in it:
+            for member, p, features in zip(b.column("member").to_pylist(), b.column("positive").to_pylist(), b.column("features")):
+                if member != at:
+                    found = model(positive, parts)
+                    if found is not None:
+                        yield found
+                    at, positive, parts = member, [], []
+                positive.append(p)
+                parts.append(features.as_py())
+        found = model(positive, parts)
+        if found is not None:
+            yield found
+
+    features = sample.mapInArrow(_text_features(s.bits), "member int, positive boolean, row long, features binary")
+    dealt = features.repartition(4 * s.members, "member").sortWithinPartitions("member", "positive", "row")  # the same model whatever order rows came in
+    found = dealt.mapInArrow(learn, schema).collect()
     return sorted((bytes(r["buckets"]), bytes(r["weights"]), r["scale"], r["shift"]) for r in found)  # at most members * 2 ** bits weights
 
 

@@ -10,7 +10,7 @@ from rambler.llm.ann import _rounds, hadamard, nearest, probed
 from rambler.llm.chat_format import CHUNK_BYTES, format_chats, read_digests
 from rambler.llm.common import held_out
 from rambler.llm.language_id import language_id
-from rambler.llm.toxicity import Settings, toxicity, without_toxic
+from rambler.llm.toxicity import Settings, _sample, probabilities, slices, toxicity, without_toxic, word_features
 
 
 def test_toxicity_on_held_out_rows(spark):
@@ -34,6 +34,36 @@ def test_toxicity_of_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_sample_is_bounded_by_rows_and_bytes(spark):
+    """Rows under one id, or none, are drawn in part; long texts are drawn less; equal rows teach once."""
+    s = Settings(members=3, positives=50, unlabelled=200, sample_bytes=20_000)
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(40)], "doc_id long, toxic int")
+    ids = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 3 == 1, F.col("id") % 40).cast("long").alias("doc_id")
+    rows = spark.range(6_000).select(ids, F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    same = spark.range(3_000).select(F.lit(2).cast("long").alias("doc_id"), F.lit("the same").alias("text"))
+    for docs, most in ((rows.unionByName(same), 1), (rows.withColumn("text", F.repeat("text", 100)), 20_000)):
+        sample, prior = _sample(docs, labels, F.lit(True), s, "doc_id", "text")
+        got = sample.groupBy("positive", "member").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("size")).collect()
+        assert prior == 0.25 and len(got) == 6
+        for r in got:
+            bound = 50 if r.positive else 200
+            assert 0 < r.n <= 1.8 * bound and r.size <= 1.8 * s.sample_bytes
+        assert sample.filter("text = 'the same'").groupBy("member", "positive").count().filter("count > 1").count() == 0
+
+
+def test_long_texts_are_cut_between_words(spark):
+    text = "Größe und Maß, " * 60_000 + "x" * 400_000 + " Ende"
+    parts = [p for held in slices([text, "", "kurz"]) for p in held]
+    assert {i: b"".join(p for j, p in parts if j == i).decode() for i in range(3)} == {0: text.lower(), 1: "", 2: "kurz"}
+    whole, _ = word_features([text.lower().encode()], 20)
+    cut = np.concatenate([word_features([p], 20)[0] for i, p in parts if i == 0])
+    assert len(parts) > 4 and (whole == cut).all()
+    weights = np.zeros(1 << 20)
+    weights[whole[-1]] = 1.0      # of the last word
+    ends, none, other = probabilities([text, "", "kurz"], [(weights, 1.0, -2.0)], 20)
+    assert ends > 0.8 and none == other
+
+
 def test_language_of_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF001.replace('0.001', '0.01')}/documents.parquet")
     held = held_out("doc_id", 4, 2)
