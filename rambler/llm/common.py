@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import sys
 from types import ModuleType
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -54,6 +56,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def give_back() -> None:
+    """Return the freed memory of this Python worker to the system.
+
+    A worker outlives the stages whose arrays it held; allocators keep what was freed, beside whatever
+    the next stage needs.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def worker_cache() -> dict:
     """A dictionary of this Python worker that outlives its tasks.
 

@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rambler.llm.common import give_back
+
 BEGINNINGS = (4, 5, 6)  # letters (bytes) of a word's beginning that make a feature
 N_FEATURES = len(BEGINNINGS) + 1
 SLICE_BYTES = 1 << 18  # of texts that are turned into features at once
@@ -191,6 +193,7 @@ def _text_features(bits: int):
                 features, _ = distinct_words(features, np.array([len(features)]))
                 yield pa.record_batch([b.column("member").slice(row, 1), b.column("positive").slice(row, 1), b.column("row").slice(row, 1),
                                        pa.array([features.tobytes()], pa.binary())], names=["member", "positive", "row", "features"])
+        give_back()
     return emit
 
 
@@ -259,6 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, training, s: Settings, id_col: str =
         found = model(positive, parts)
         if found is not None:
             yield found
+        give_back()
 
     features = sample.mapInArrow(_text_features(s.bits), "member int, positive boolean, row long, features binary")
     dealt = features.repartition(4 * s.members, "member").sortWithinPartitions("member", "positive", "row")  # the same model whatever order rows came in
@@ -290,6 +294,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, training: Column, settings
         models = _open(shared.value, bits)
         for b in it:
             yield b.filter(pa.array(_score(b.column(text_col), models, bits) < threshold))
+        give_back()
 
     return docs.mapInArrow(clean, docs.schema)
 
@@ -311,6 +316,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, training: Column, settings: Set
         models = _open(shared.value, bits)
         for b in it:
             yield pa.record_batch([b.column("doc"), pa.array(_score(b.column("text"), models, bits))], names=["doc", "score"])
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
