@@ -27,6 +27,7 @@ from rambler.llm.common import give_back
 BEGINNINGS = (4, 5, 6)  # letters (bytes) of a word's beginning that make a feature
 N_FEATURES = len(BEGINNINGS) + 1
 SLICE_BYTES = 1 << 18  # of texts that are turned into features at once
+TEXTS = 256  # that training looks at together
 
 
 @dataclass(frozen=True)
@@ -127,25 +128,44 @@ def distinct_words(features: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray
     return features[first], np.bincount(key[first] >> 32, minlength=len(counts))
 
 
-def train(features: np.ndarray, counts: np.ndarray, positive: np.ndarray, prior: float, s: Settings) -> tuple[np.ndarray, float, float]:
-    """Weights, scale and shift that lower the non-negative risk; ``positive`` marks the confirmed texts."""
+def train(blocks: list[tuple[np.ndarray, np.ndarray]], positive: np.ndarray, prior: float, s: Settings) -> tuple[np.ndarray, float, float]:
+    """Weights, scale and shift that lower the non-negative risk; ``positive`` marks the confirmed texts.
+
+    ``blocks``: features and counts of some texts each, all in order; what is derived from them is held
+    for one block at a time.
+    """
     size = 1 << s.bits
-    text = np.repeat(np.arange(len(counts)), counts)
     n_p, n_u = max(1, int(positive.sum())), max(1, int((~positive).sum()))
-    df = np.zeros((2, size))
-    for k in range(N_FEATURES):  # texts that have the feature, by class
-        pairs = np.unique(text.astype(np.int64) << s.bits | features[:, k])
-        np.add.at(df, (positive[pairs >> s.bits].astype(int), pairs & (size - 1)), 1)
-    expected = df[0] * n_p / n_u
-    weights = np.where(df[1] >= s.least_positives, np.log((df[1] + s.smoothing) / (expected + s.smoothing)), 0.0)
+    df = np.zeros((2, size), np.int32)
+    at = 0
+    for features, counts in blocks:
+        text = np.repeat(np.arange(at, at + len(counts)), counts)
+        at += len(counts)
+        for k in range(N_FEATURES):  # texts that have the feature, by class
+            pairs = np.unique(text << s.bits | features[:, k])
+            np.add.at(df, (positive[pairs >> s.bits].astype(int), pairs & (size - 1)), 1)
+    weights = np.log((df[1] + s.smoothing) / (df[0] * (n_p / n_u) + s.smoothing))
+    weights[df[1] < s.least_positives] = 0.0
+    del df
+
+    def strongest() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each text's strength, which texts have words, and the features of their strongest words."""
+        best, worded, touched = [], [], []
+        for features, counts in blocks:
+            of_block, where = _strongest(features, counts, weights)
+            best.append(of_block)
+            worded.append(where >= 0)
+            touched.append(features[where[where >= 0]])
+        return np.concatenate(best), np.flatnonzero(np.concatenate(worded)), np.concatenate(touched)
+
     scale, shift = 1.0, 0.0
-    best, _ = _strongest(features, counts, weights)
+    best, _, _ = strongest()
     if positive.any():
         shift = -float(np.median(best[positive])) / 2 if np.median(best[positive]) > 0 else 0.0
     state = [np.zeros(size), np.zeros(size)]
     extra = np.zeros((2, 2))
     for epoch in range(1, s.epochs + 1):
-        best, where = _strongest(features, counts, weights)
+        best, used, touched = strongest()
         z = scale * best + shift
         p = 1 / (1 + np.exp(-z))
         loss_0 = np.logaddexp(0, z)  # of calling it clean
@@ -153,13 +173,14 @@ def train(features: np.ndarray, counts: np.ndarray, positive: np.ndarray, prior:
         as_toxic = np.where(positive, prior * (p - 1) / n_p, 0.0)
         as_clean = np.where(positive, -prior * p / n_p, p / n_u)
         slope = as_toxic + as_clean if corrected >= 0 else -as_clean
-        used = np.flatnonzero(where >= 0)
-        touched = features[where[used]]
         gradient = np.zeros(size)
         np.add.at(gradient, touched.ravel(), np.repeat(slope[used] * scale, N_FEATURES))
-        state[0] = 0.9 * state[0] + 0.1 * gradient
-        state[1] = 0.99 * state[1] + 0.01 * gradient**2
-        weights = weights - s.rate * state[0] / (1 - 0.9**epoch) / (np.sqrt(state[1] / (1 - 0.99**epoch)) + 1e-8)
+        state[0] *= 0.9
+        state[0] += 0.1 * gradient
+        state[1] *= 0.99
+        state[1] += 0.01 * gradient**2
+        moved = np.flatnonzero(state[1])
+        weights[moved] -= s.rate * state[0][moved] / (1 - 0.9**epoch) / (np.sqrt(state[1][moved] / (1 - 0.99**epoch)) + 1e-8)
         own = np.array([(slope * best).sum(), slope.sum()])
         extra[0] = 0.9 * extra[0] + 0.1 * own
         extra[1] = 0.99 * extra[1] + 0.01 * own**2
@@ -236,32 +257,30 @@ def fit(docs: DataFrame, labels: DataFrame, training, s: Settings, id_col: str =
     sample, prior = _sample(docs, labels, training, s, id_col, text_col)
     schema = "buckets binary, weights binary, scale double, shift double"
 
-    def model(positive: list[bool], parts: list[bytes]) -> pa.RecordBatch | None:
-        if not any(positive):
-            return None
-        counts = np.array([len(p) // (4 * N_FEATURES) for p in parts])
-        features = np.frombuffer(b"".join(parts), np.int32).reshape(-1, N_FEATURES)
-        parts.clear()
-        weights, scale, shift = train(features, counts, np.array(positive), prior, s)
-        used = np.flatnonzero(weights).astype("<i4")
-        return pa.record_batch([pa.array([used.tobytes()], pa.binary()), pa.array([weights[used].astype("<f4").tobytes()], pa.binary()),
-                                pa.array([scale]), pa.array([shift])], names=["buckets", "weights", "scale", "shift"])
+    def model(positive: list[bool], blocks: list) -> Iterator[pa.RecordBatch]:
+        if any(positive):
+            weights, scale, shift = train(blocks, np.array(positive), prior, s)
+            used = np.flatnonzero(weights).astype("<i4")
+            yield pa.record_batch([pa.array([used.tobytes()], pa.binary()), pa.array([weights[used].astype("<f4").tobytes()], pa.binary()),
+                                   pa.array([scale]), pa.array([shift])], names=["buckets", "weights", "scale", "shift"])
+
+    def block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        held = texts.to_pylist()
+        return np.frombuffer(b"".join(held), np.int32).reshape(-1, N_FEATURES), np.array([len(x) // (4 * N_FEATURES) for x in held])
 
     def learn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by member; one member's features are held at a time."""
-        at, positive, parts = None, [], []
+        at, positive, blocks = None, [], []
         for b in it:
-            for member, p, features in zip(b.column("member").to_pylist(), b.column("positive").to_pylist(), b.column("features")):
-                if member != at:
-                    found = model(positive, parts)
-                    if found is not None:
-                        yield found
-                    at, positive, parts = member, [], []
-                positive.append(p)
-                parts.append(features.as_py())
-        found = model(positive, parts)
-        if found is not None:
-            yield found
+            members = np.asarray(b.column("member"))
+            edges = np.r_[0, np.flatnonzero(np.diff(members)) + 1, len(members)].tolist()
+            for a, z in zip(edges[:-1], edges[1:]) if len(members) else ():
+                if members[a] != at:
+                    yield from model(positive, blocks)
+                    at, positive, blocks = members[a], [], []
+                positive += b.column("positive").slice(a, z - a).to_pylist()
+                blocks += [block(b.column("features").slice(x, min(TEXTS, z - x))) for x in range(a, z, TEXTS)]
+        yield from model(positive, blocks)
         give_back()
 
     features = sample.mapInArrow(_text_features(s.bits), "member int, positive boolean, row long, features binary")
