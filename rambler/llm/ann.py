@@ -12,9 +12,11 @@ queries stream past it.
 
 A vector's direction is hashed, and inner products depend on lengths too: vectors of similar length are
 a band, with cells of its own.  Every query searches every band, from the longest vectors on, except
-those whose longest vector can't reach the worst score that it needs.  Bands of few vectors aren't
-hashed but searched whole, in blocks; so is everything for a query that found fewer classes than it
-needs, or whose finds were met in so few tables that others must have been missed (Chao's estimate).
+those whose longest vector can't reach the worst score that it needs.  The smallest bands, as long as
+they hold no more than a twentieth of the vectors, aren't hashed but searched whole, in blocks.  A query
+that found fewer classes than it needs, or whose finds were met in so few tables that others must have
+been missed (Chao's estimate), probes ``FURTHER`` times as many buckets; if that isn't enough either, it
+is ranked against all vectors.
 """
 
 from __future__ import annotations
@@ -28,8 +30,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rambler.session import materialize
 
 BAND = float(np.log(1.05))  # lengths in a band differ by less than this factor, as a logarithm
-UNSEEN = 0.1  # a query with a larger share of its classes missed, as estimated, is ranked against all vectors
+UNSEEN = 0.1  # a query with a larger share of its classes missed, as estimated, goes on
+FURTHER = 6
 MARGIN = 1e-9  # more than rounding changes in the logarithm of a score
+OUTLYING = 0.05  # of the vectors, at most, are in bands searched whole
+PAIRS = 1 << 16  # scored exactly at once
+SLOTS = 1 << 15  # queries whose best scores so far a task remembers
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -199,11 +205,43 @@ def _rounds(bands: list) -> list[dict[tuple[int, int], float]]:
     return rounds
 
 
+class SoFar:
+    """For each query a score that ``keep`` classes of this task reach, so that lower ones needn't be told.
+
+    Cells of one table hold different classes, so their best scores add up; the next table begins anew.
+    Queries share ``SLOTS`` places, where the last one stays; one that lost its place tells more.
+    """
+
+    def __init__(self, keep: int):
+        self.keep, self.table = keep, None
+        self.owner, self.floor = np.full(SLOTS, -1, np.int64), np.full(SLOTS, -np.inf)
+        self.scores = np.full((SLOTS, keep), -np.inf)
+
+    def turn(self, table: tuple) -> None:
+        if table != self.table:
+            self.table = table
+            self.scores.fill(-np.inf)
+
+    def of(self, asking: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        slot = (asking ^ asking >> 33) % SLOTS
+        return slot, np.where(self.owner[slot] == asking, self.floor[slot], -np.inf)
+
+    def add(self, slot, asking, q, place, scores) -> None:
+        own = (self.owner[slot] == asking)[:, None]
+        new = np.full((len(asking), self.keep), -np.inf)
+        new[q, place] = scores
+        all_ = np.concatenate([np.where(own, self.scores[slot], -np.inf), new], 1)
+        top = -np.partition(-all_, self.keep - 1, 1)[:, : self.keep]
+        floor = np.maximum(np.where(own[:, 0], self.floor[slot], -np.inf), top.min(1))
+        self.owner[slot], self.floor[slot], self.scores[slot] = asking, floor, top
+
+
 def _search(keep: int):
     """Rows sorted by cell, vectors before queries: each query's best ``keep`` of the buckets it probes."""
 
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, vectors, buckets, classes = None, [], [], []
+        so_far = SoFar(keep)
         for b in it:
             keys = np.stack([np.asarray(b.column(c)) for c in CELL] + [np.asarray(b.column("query")).astype(np.int32)], 1)
             edges = np.r_[0, np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1, len(keys)]
@@ -212,6 +250,7 @@ def _search(keep: int):
                 x = np.asarray(some.column("vector").flatten()).reshape(-1, cell[0])
                 if cell != at:
                     at, vectors, buckets, classes = cell, [], [], []
+                    so_far.turn(cell[:3])
                 if not keys[a, len(CELL)]:
                     vectors.append(x)
                     buckets.append(np.array([int.from_bytes(v, "big") for v in some.column("bucket").to_pylist()]))
@@ -221,16 +260,23 @@ def _search(keep: int):
                         vectors, buckets, classes = [np.concatenate(vectors)], [np.concatenate(buckets)], [np.concatenate(classes)]
                     for q in range(0, len(x), 256):
                         masks = np.unpackbits(np.frombuffer(b"".join(some.column("bucket").slice(q, 256).to_pylist()), np.uint8).reshape(len(x[q : q + 256]), -1), axis=1)
-                        yield from best(x[q : q + 256], np.asarray(some.column("cls"))[q : q + 256], masks.astype(bool), vectors[0], buckets[0], classes[0])
+                        yield from best(x[q : q + 256], np.asarray(some.column("cls"))[q : q + 256], masks.astype(bool), vectors[0], buckets[0], classes[0], so_far)
 
-    def best(x, asking, masks, vectors, buckets, classes):
+    def best(x, asking, masks, vectors, buckets, classes, so_far):
+        slot, floor = so_far.of(asking)
         scores = np.where(masks[:, buckets], x @ vectors.T, -np.inf)
         m = min(keep, scores.shape[1])
-        top = np.argpartition(-scores, m - 1, 1)[:, :m]
-        q, place = np.nonzero(np.isfinite(np.take_along_axis(scores, top, 1)))
-        found = top[q, place]
-        exact = np.add.reduce(x[q] * vectors[found], 1)
-        yield pa.record_batch([pa.array(asking[q]), pa.array(classes[found]), pa.array(exact)], names=["asking", "cls", "score"])
+        least = np.maximum(np.partition(scores, -m, 1)[:, -m], floor)
+        # whatever may tie with the last one is kept until scores are exact
+        slack = 1e-14 * x.shape[1] * np.linalg.norm(x, axis=1) * np.linalg.norm(vectors, axis=1).max()
+        q, found = np.nonzero(np.isfinite(scores) & (scores >= (least - slack)[:, None]))
+        exact = np.concatenate([np.zeros(0), *(np.add.reduce(x[q[a : a + PAIRS]] * vectors[found[a : a + PAIRS]], 1) for a in range(0, len(q), PAIRS))])
+        order = np.lexsort((classes[found], -exact, q))
+        place = np.arange(len(q)) - np.searchsorted(q, q)  # q is sorted, and stays so
+        few = (place < keep) & (exact[order] >= floor[q])
+        q, order = q[few], order[few]
+        so_far.add(slot, asking, q, place[few], exact[order])
+        yield pa.record_batch([pa.array(asking[q]), pa.array(classes[found[order]]), pa.array(exact[order])], names=["asking", "cls", "score"])
 
     return search
 
@@ -238,25 +284,28 @@ def _search(keep: int):
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12, probes: int = 640, seed: int = 11,
             cell_rows: int = 50_000, exact_rows: int = 1_000, block_rows: int = 5_000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` largest inner products found for each query.  A query
-    for which hashing doesn't find enough is ranked against all vectors.
+    for which hashing doesn't find enough, even with further probes, is ranked against all vectors.
 
     ``is_query`` is a condition on ``id_col``.  Nearest first, ties to the smaller id; never the query's
     own row; fewer rows where there are fewer candidates.  Null ids, and vectors that are null, empty,
     zero or hold null or non-finite components, take no part; vectors of different lengths never meet.
-    An id that repeats stands for the smallest of its vectors.  Other columns aren't read; an empty
-    table gives no rows.  Bands of at most ``exact_rows`` vectors are searched whole, in blocks of
-    ``block_rows``.
+    Rows that repeat id and vector are one.  An id with several vectors is a candidate with each; as a
+    query it asks with each, and ranks run for each.  Other columns aren't read; an empty table gives no
+    rows.  Bands searched whole have at most ``exact_rows`` vectors each, together at most ``OUTLYING``
+    of all of their dimension; they are searched in blocks of ``block_rows``.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias(id_col), F.col(vector_col).cast("array<double>").alias("vector"))
     usable = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vector", lambda v: v != 0)
-    rows = rows.filter(F.col(id_col).isNotNull() & usable).groupBy(id_col).agg(F.min("vector").alias("vector"))
+    rows = rows.filter(F.col(id_col).isNotNull() & usable).distinct()
     rows = materialize(rows.select(F.col(id_col).alias("id"), "vector", is_query.alias("is_query")), "vectors")
     queries = rows.filter("is_query").select("id", "vector")
 
     smallest = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     classes = (rows.withColumn("n", smallest).filter(F.col("n") <= k + 1).groupBy("vector")
-               .agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("cls", F.col("ids")[0]))
+               .agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    # numbers in the order of smallest ids, so that ties of classes go to these; they hold once written
+    classes = materialize(classes.orderBy(F.col("ids")[0], "vector").withColumn("cls", F.monotonically_increasing_id()), "numbered")
     asked = queries.select("vector").distinct().withColumn("asked", F.lit(True))
     classes = classes.join(asked, "vector", "left").withColumn("is_query", F.coalesce("asked", F.lit(False))).drop("asked")
     largest = F.array_max(F.transform("vector", F.abs))
@@ -270,20 +319,26 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12,
 
     def searched(dealt: DataFrame, hits: int) -> DataFrame:
         dealt = dealt.repartition(*CELL).sortWithinPartitions(*CELL, "query")
-        return dealt.mapInArrow(_search(k + 4), "asking long, cls long, score double").withColumn("hits", F.lit(hits))
+        return dealt.mapInArrow(_search(k + 1), "asking long, cls long, score double").withColumn("hits", F.lit(hits))
 
     best = Window.partitionBy("asking").orderBy(F.desc("score"), "cls")
 
     def merged(top: DataFrame | None, found: DataFrame) -> DataFrame:
         """Each query's best ``k + 1`` classes: its own may be one of them."""
-        found = (found if top is None else top.unionByName(found)).groupBy("asking", "cls").agg(F.max("score").alias("score"), F.sum("hits").cast("int").alias("hits"))
+        found = found.groupBy("asking", "cls").agg(F.max("score").alias("score"), F.sum("hits").cast("int").alias("hits"))
+        if top is not None:  # a class is met in one band, or again when a query goes on
+            found = top.unionByName(found).groupBy("asking", "cls").agg(F.max("score").alias("score"), F.max("hits").alias("hits"))
         return materialize(found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n"), "top")
 
     every = max(tables, 3)  # hits of what isn't left to chance
-    small = bands.filter(F.col("n") <= exact_rows).select("dim", "band")
+    of_dim = Window.partitionBy("dim")  # bands of a dimension: no more than factors of 1.05 between the least and the largest number
+    up_to = F.sum("n").over(of_dim.orderBy("n", "band").rowsBetween(Window.unboundedPreceding, 0))
+    whole = (up_to <= OUTLYING * F.sum("n").over(of_dim)) & (F.col("n") <= exact_rows)
+    bands = materialize(bands.withColumn("whole", whole), "bands")
+    small = bands.filter("whole").select("dim", "band")
     top = merged(None, searched(_blocks(classes.join(small, ["dim", "band"], "left_semi"), asking, block_rows), every))
 
-    large = bands.filter(F.col("n") > exact_rows).collect()  # lengths by factors of 1.05, each with many vectors
+    large = bands.filter(~F.col("whole")).collect()
     hashing = Hashing(tables, probes, seed)
     hashed = {(b["dim"], b["band"]) for b in large}
     cells = (classes.select("vector", "band").mapInArrow(_cells(hashing, hashed), "dim int, band int, t int, cell int, n long")
@@ -296,18 +351,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 12,
         top = merged(top, searched(known.mapInArrow(_place(hashing, parts, now), PLACED), 1))
 
     once, twice = (F.count_if(F.col("hits") == n) for n in (1, 2))
-    counts = top.groupBy(F.col("asking").alias("cls")).agg(F.count(F.lit(1)).alias("n"), (once * (once - 1) / (2 * (twice + 1))).alias("unseen"))
     candidates = bands.groupBy("dim").agg(F.sum("n").alias("candidates"))
-    too_few = F.coalesce("n", F.lit(0)) < F.least(F.lit(k + 1), "candidates")
-    starved = asking.join(counts, "cls", "left").join(candidates, "dim").filter(too_few | (F.col("unseen") > UNSEEN * F.col("n")))
-    starved = materialize(starved.select("cls", "vector"), "starved")
-    if not starved.isEmpty():
-        top = merged(top, searched(_blocks(classes, starved, block_rows), every))
 
-    listed = top.join(classes.select("cls", "ids"), "cls").select("asking", F.explode("ids").alias("vec_id"), "score")
+    def starved(top: DataFrame) -> DataFrame:
+        counts = top.groupBy(F.col("asking").alias("cls")).agg(F.count(F.lit(1)).alias("n"), (once * (once - 1) / (2 * (twice + 1))).alias("unseen"))
+        too_few = F.coalesce("n", F.lit(0)) < F.least(F.lit(k + 1), "candidates")
+        found = asking.join(counts, "cls", "left").join(candidates, "dim").filter(too_few | (F.col("unseen") > UNSEEN * F.col("n")))
+        return materialize(found.select("cls", "vector"), "starved")
+
+    left = starved(top)
+    if large and not left.isEmpty():
+        known = classes.drop("is_query").join(left.select("cls", F.lit(True).alias("goes_on")), "cls", "left")
+        known = known.select("cls", "vector", F.coalesce("goes_on", F.lit(False)).alias("is_query"), "band", "log_length", F.lit(None).cast("double").alias("needed"))
+        every_band = {(b["dim"], b["band"]): b["most"] for b in large}
+        further = Hashing(tables, FURTHER * probes, seed)
+        top = merged(top, searched(known.mapInArrow(_place(further, parts, every_band), PLACED), 1))
+        left = starved(top)
+    if not left.isEmpty():
+        top = merged(top, searched(_blocks(classes, left, block_rows), every))
+
+    listed = top.join(classes.select("cls", "ids"), "cls").select("asking", (F.col("asking") == F.col("cls")).alias("own"), F.explode("ids").alias("vec_id"), "score")
     listed = (listed.withColumn("n", F.row_number().over(Window.partitionBy("asking").orderBy(F.desc("score"), "vec_id")))
               .filter(F.col("n") <= k + 1).drop("n"))
     who = queries.join(classes.select("vector", F.col("cls").alias("asking")), "vector").select(F.col("id").alias("query_id"), "asking")
-    result = who.join(listed, "asking").filter(F.col("vec_id") != F.col("query_id"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    result = who.join(listed, "asking").filter(~F.col("own") | (F.col("vec_id") != F.col("query_id")))
+    rank = F.row_number().over(Window.partitionBy("query_id", "asking").orderBy(F.desc("score"), "vec_id"))
     return result.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
