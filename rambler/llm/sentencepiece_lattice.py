@@ -141,8 +141,11 @@ def _merge_long(tied: int) -> str:
     full = "transform(sequence(0, shiftright(n, 5) + 1), k -> if(k * 32 > n, 0L, if(k * 32 + 31 <= n, 4294967295L, shiftleft(1L, n - k * 32 + 1) - 1L)))"
     first = f"aggregate(sort_array(filter(lattice, e -> shiftright(e, 40) < {tied}L)), {full}, (s, e) -> if({ready}, {clear}, s))"
     last = f"sort_array(filter(lattice, e -> shiftright(e, 40) >= {tied}L))"
-    step = f"aggregate({last}, named_struct('s', s, 'done', false), (t, e) -> if(t.done, t, aggregate(array(t.s), t, (u, s) -> if({ready}, named_struct('s', {clear}, 'done', true), u))), t -> t.s)"
-    return f"if(array_max(lattice) >= shiftleft({tied}L, 40), aggregate(sequence(1, 32), {first}, (s, k) -> {step}), {first})"
+    # every merge of a tied piece takes away a boundary between the first and the last end of them; one that finds none is the last
+    most = f"aggregate({last}, named_struct('low', n, 'high', 0), (r, e) -> named_struct('low', least(r.low, {_START}), 'high', greatest(r.high, {_START} + {_SIZE})), r -> r.high - r.low)"
+    step = f"aggregate({last}, named_struct('s', a.s, 'more', false), (t, e) -> if(t.more, t, aggregate(array(t.s), t, (u, s) -> if({ready}, named_struct('s', {clear}, 'more', true), u))))"
+    merged = f"aggregate(sequence(1, {most}), named_struct('s', {first}, 'more', true), (a, k) -> if(a.more, {step}, a), a -> a.s)"
+    return f"if(array_max(lattice) >= shiftleft({tied}L, 40), {merged}, {first})"
 
 
 def _bpe_cuts(words: DataFrame, keys: list[str], pieces: Pieces, table: DataFrame) -> DataFrame:

@@ -120,6 +120,26 @@ def test_sentencepiece_equals_the_library(spark, docs, odd, none):
     assert encode(none, pieces).count() == 0
 
 
+def test_long_words_take_all_pieces_of_equal_score(spark):
+    scores = {"▁": 0.0, "a": 0.0, "b": 0.0, "c": 0.0, "ab": -1.0, "bc": -2.0, "ca": -2.0, "abc": -2.0}
+    pieces = Pieces({p: i + 3 for i, p in enumerate(scores)}, scores, None, 0, False)
+
+    def merged(word):
+        symbols = list(word)
+        while True:
+            found = [(-scores[a + b], i) for i, (a, b) in enumerate(itertools.pairwise(symbols)) if a + b in scores]
+            if not found:
+                return symbols
+            i = min(found)[1]
+            symbols[i : i + 2] = ["".join(symbols[i : i + 2])]
+
+    rnd = random.Random(5)
+    texts = ["abc" * 20, "abc" * 40, "bca" * 70, "ca" * 90, "b" * 100 + "bc" * 50, *("".join(rnd.choices("abc", k=k)) for k in (61, 62, 95, 160, 400))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in encode(rows, pieces).collect()}
+    assert got == {i: [pieces.ids[p] for p in merged("▁" + t)] for i, t in enumerate(texts)}
+
+
 def test_decode_of_nulls_and_bytes(spark):
     pieces = read_pieces(PIECE_BPE)
     rows = spark.createDataFrame([(1, None), (2, []), (3, [pieces.bytes_at + 0xE6, pieces.bytes_at + 0xBC])], "doc_id long, ids array<int>")
