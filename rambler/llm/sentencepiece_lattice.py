@@ -3,11 +3,15 @@
 No piece of the table crosses the beginning of a word (a run of the space mark and what follows), so
 words are encoded on their own, each distinct one of a chunk of documents once:
 
-1. documents are dealt to chunks by a hash, the one exchange; all that follows stays in place;
-2. a chunk's distinct words are exploded into their substrings of at most the longest piece's length;
-3. an equi-join with the piece table (as large as the tokenizer, so broadcast) leaves the lattice's edges;
-4. edges are grouped by word and folded with Spark's ``aggregate``;
-5. each document's ids are put together from its words, where its chunk's words meet it.
+1. words that occur often are encoded once for all documents, as below, and broadcast;
+2. documents are dealt to chunks by a hash, the one exchange; all that follows stays in place;
+3. a chunk's other distinct words are exploded into their substrings of at most the longest piece's length;
+4. an equi-join with the piece table (as large as the tokenizer, so broadcast) leaves the lattice's edges;
+5. edges are grouped by word and folded with Spark's ``aggregate``;
+6. each document's ids are put together from its words, where its chunk's words meet it.
+
+Which words are encoded ahead decides only how often a word is encoded, never its ids: it is told from some
+documents, by a hash, and a word that isn't among them takes the other way.
 
 The fold depends on the model.  For a unigram model it is Viterbi: the best score of each end and the
 edge it comes by.  For a BPE model the library's result is no best path, so Viterbi can't give it:
@@ -29,12 +33,15 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rambler.llm.common import give_back
+from rambler.session import materialize
 
 MARK = "▁"
-CHUNK_BYTES = 1 << 20   # of text; bounds what a task holds at once
+CHUNK_BYTES = 2 << 20   # of text; bounds what a task holds at once
+OFTEN = 1 << 16         # words that are encoded ahead, at most
+GAUGE_BYTES = 8 << 20   # of text that these words are told from
 BLOCK = 128        # long words are cut into blocks of so many characters before their substrings are taken
 SHORT = 61         # characters whose boundaries fit a number
 MOST_PIECES = 1 << 20
@@ -208,6 +215,29 @@ def word_ids(word: str, cuts: list[int] | None, ids: dict, bytes_at: int | None,
     return whole
 
 
+def _split(text: Column, pieces: Pieces) -> Column:
+    """The words of a text, null for an empty one."""
+    runs = F.regexp_extract_all(F.concat(F.lit(MARK), F.translate(text, " ", MARK)), F.lit(pieces.words()), F.lit(0))
+    single = F.split(F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(f" {MARK}"))), " ")
+    plain = ~(F.contains(text, F.lit("  ")) | F.contains(text, F.lit(MARK)) | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" ")))
+    return F.when(text != "", F.when(plain, single).otherwise(runs))
+
+
+def _frequent(rows: DataFrame, size: int, pieces: Pieces, table: DataFrame) -> dict[str, bytes]:
+    """The ids of short words that occur often, as bytes."""
+    some = rows.filter(F.pmod(F.xxhash64("text", "doc"), F.lit(max(1, size // GAUGE_BYTES))) == 0)
+    words = some.select(F.explode(_split(F.col("text"), pieces)).alias("word")).withColumn("n", F.char_length("word")).filter(F.col("n") <= SHORT)
+    counted = words.groupBy("word", "n").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    words = materialize(counted.orderBy(F.desc("times"), "word").limit(OFTEN).select("word", "n"), "frequent-words")
+    cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words.withColumn("key", F.col("word")), ["key"], pieces, table)
+    found = words.join(cuts, words["word"] == cuts["key"], "left").select("word", "cuts").collect()
+    return {r.word: _packed(r.word, r.cuts, pieces.ids, pieces.bytes_at, pieces.unknown) for r in found}
+
+
+def _packed(word: str, cuts: list[int] | None, ids: dict, bytes_at: int | None, unknown: int) -> bytes:
+    return array("i", word_ids(word, cuts, ids, bytes_at, unknown)).tobytes()
+
+
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """``(doc_id, ids)``, one row for each row of ``docs``, and the text if wanted.
 
@@ -217,38 +247,39 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    table = _table(spark, pieces)
+    often = _frequent(rows, size, pieces, table)
     n_chunks = max(-(-size // CHUNK_BYTES), 2 * spark.sparkContext.defaultParallelism)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc", "text"), F.lit(n_chunks)).cast("int")).repartition(n_chunks, "chunk")
 
     # a function of both columns, so that both branches read the same exchange
     text = F.concat("text", F.coalesce(F.substring(F.col("doc").cast("string"), 1, 0), F.lit("")))
-    runs = F.regexp_extract_all(F.concat(F.lit(MARK), F.translate(text, " ", MARK)), F.lit(pieces.words()), F.lit(0))
-    single = F.split(F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(f" {MARK}"))), " ")
-    plain = ~(F.contains("text", F.lit("  ")) | F.contains("text", F.lit(MARK)) | F.startswith("text", F.lit(" ")) | F.endswith("text", F.lit(" ")))
-    words = rows.select("chunk", F.explode(F.when(F.col("text") != "", F.when(plain, single).otherwise(runs))).alias("word")).distinct()
+    words = rows.select("chunk", F.explode(_split(text, pieces)).alias("word"))
+    words = words.join(F.broadcast(spark.createDataFrame([(w,) for w in often], "word string")), "word", "left_anti").distinct()
     # 16 bytes that stand for a word: edges are sorted by them
     words = words.withColumn("n", F.char_length("word")).withColumn("key", F.unhex(F.md5("word")))
-    cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words, ["key", "chunk"], pieces, _table(spark, pieces))
-    shared = spark.sparkContext.broadcast((pieces.ids, pieces.bytes_at, pieces.unknown))
+    cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words, ["key", "chunk"], pieces, table)
+    shared = spark.sparkContext.broadcast((pieces.ids, pieces.bytes_at, pieces.unknown, often))
     pattern = re.compile(pieces.words())
     kind = rows.schema["doc"].dataType
 
     def put_together(texts: pa.Table, cuts: pa.Table) -> pa.Table:
         give_back()
-        ids, bytes_at, unknown = shared.value
+        ids, bytes_at, unknown, often = shared.value
         known = {k: i for i, k in enumerate(cuts.column("key").to_pylist())}
-        limbs = cuts.column("cuts").combine_chunks() if len(known) else None
+        limbs = cuts.column("cuts").combine_chunks() if len(known) else pa.array([], pa.list_(pa.int64()))
+        begins, values = limbs.offsets.to_pylist(), limbs.values.to_pylist()
         encoded: dict[str, bytes] = {}
         out = []
         for text in texts.column("text").to_pylist():
             found = pattern.findall(MARK + text.replace(" ", MARK)) if text else []
-            for word in set(found).difference(encoded):
+            for word in set(found).difference(encoded).difference(often):
                 at = known.get(word_key(word))
-                encoded[word] = array("i", word_ids(word, None if at is None else limbs[at].as_py(), ids, bytes_at, unknown)).tobytes()
-            out.append(b"".join(map(encoded.__getitem__, found)))
-        values = pa.array(np.frombuffer(b"".join(out), np.int32))
+                encoded[word] = _packed(word, None if at is None else values[begins[at] : begins[at + 1]], ids, bytes_at, unknown)
+            out.append(b"".join([often.get(word) or encoded[word] for word in found]))
+        found = pa.array(np.frombuffer(b"".join(out), np.int32))
         offsets = pa.array(np.append(0, np.cumsum([len(x) // 4 for x in out])).astype(np.int32))
-        columns = [texts.column("doc"), pa.chunked_array([pa.ListArray.from_arrays(offsets, values)])]
+        columns = [texts.column("doc"), pa.chunked_array([pa.ListArray.from_arrays(offsets, found)])]
         return pa.table([*columns, texts.column("text")] if keep_text else columns, names=["doc", "ids", "text"][: 2 + keep_text])
 
     schema = f"doc {kind.simpleString()}, ids array<int>" + ", text string" * keep_text
