@@ -79,3 +79,28 @@ def test_sinks_end_walks(spark):
     assert all(p == [3] for (_, v), p in walks.items() if v == 3) and all(p == [4] * 8 for (_, v), p in walks.items() if v == 4)
     with pytest.raises(ValueError, match="p and q"):
         stitched_walk(g, WalkParams(p=0.5))
+
+
+def test_nothing_of_a_walk_is_broadcast(spark, karate, monkeypatch):
+    from rambler.operators import stitch, walk
+    from rambler.session import materialize, write_scratch
+    seen = []
+
+    def note(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append("Join" in plan)
+        assert "Broadcast" not in plan, plan
+
+    def noted(write):
+        def run(df, *args, **kw):
+            note(df)
+            return write(df, *args, **kw)
+        return run
+
+    g = build_graph(karate, directed=False)
+    monkeypatch.setattr(stitch, "materialize", noted(materialize))
+    monkeypatch.setattr(stitch, "write_scratch", noted(write_scratch))
+    random_walk(g, WalkParams(walk_length=4, num_walks=1, p=1.0, q=1.0, seed=3, sampler="stitched"))
+    note(walk.rejection_step(walk.init_walkers(g, 1), g, WalkParams(walk_length=4, num_walks=1, p=0.5, q=2.0, seed=3), 8))
+    g.unpersist()
+    assert sum(seen) > 5
