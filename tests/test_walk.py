@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rambler.operators import graph as G
-from rambler.operators.walk import build_graph, random_walk, rejection_step
+from rambler.operators.walk import build_graph, init_walkers, random_walk, rejection_step
 from rambler.params import WalkParams
 from rambler.sources.text import parse_edge_lines
 
@@ -202,3 +202,31 @@ def test_adjacency_blocks_in_order_and_sinks(spark):
     assert [len(blocks[1, b]) for b in range(3)] == [16, 16, 10]
     assert sum((blocks[1, b] for b in range(3)), []) == sorted((d, w) for s, d, w in rows if s == 1)
     assert blocks[2, 0] == [(1, 1.0)] and blocks[3, 0] == [] and len(blocks) == 3 + 1 + 38
+
+
+def test_turns_read_the_index_in_order(spark, karate):
+    g = build_graph(karate, directed=False)
+    step = rejection_step(init_walkers(g, 1), g, WalkParams(walk_length=4, num_walks=1, p=0.5, q=2.0, seed=3), 8)
+    lines = step._jdf.queryExecution().executedPlan().toString().split("\n")
+    cached = [i for i, line in enumerate(lines) if "InMemoryTableScan" in line]
+    assert len(cached) == 2
+    for i in cached:
+        above = next(line for line in reversed(lines[:i]) if "Filter" not in line and "Project" not in line)
+        assert "Sort " not in above and "Exchange" not in above, above
+    g.unpersist()
+
+
+def test_the_tail_of_a_walk_draws_no_more_than_a_turn(spark, karate, monkeypatch):
+    from rambler.operators import walk
+    seen, step = [], walk.rejection_step
+
+    def noted(walkers, graph, params, trials, u1=None):
+        seen.append((walkers.where((F.col("n") > 0) & (F.col("step") <= params.walk_length)).count(), trials))
+        return step(walkers, graph, params, trials, u1)
+
+    monkeypatch.setattr(walk, "rejection_step", noted)
+    g = build_graph(karate, directed=False)
+    random_walk(g, WalkParams(walk_length=2, num_walks=3, p=0.25, q=4.0, seed=3, trials=2))
+    g.unpersist()
+    assert len(seen) > 4 and all(n * trials <= 2 * seen[0][0] for n, trials in seen[1:])
+    assert seen[-1][1] > 2
