@@ -64,3 +64,14 @@ def test_several_keys_and_null_keys(spark):
     assert got == {(1, "a", 1): (0, 2), (1, "a", 2): (2, 5), (1, "b", 1): (0, 5), (2, "a", 1): (0, 7)}
     with pytest.raises(Exception, match="null key"):
         segmented_cumsum(spark.createDataFrame([(None, 1, 1)], "k long, o long, v long"), "k", ["o"], "v").collect()
+
+
+def test_running_sums_leave_spark_once(spark):
+    df = _data(spark)
+    got = segmented_cumsum(df, "k", ["o"], "v", partitions=7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "MapIn" not in plan and "Exchange" not in plan
+    negative = df.select("k", "o", (F.lit(3) - F.col("v").cast("int")).alias("v"))     # carries of either sign
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    exp = negative.withColumn("ca", F.sum("v").over(w))
+    assert segmented_cumsum(negative, "k", ["o"], "v", partitions=5).join(exp, ["k", "o"]).where("cum_after = ca").count() == df.count()
