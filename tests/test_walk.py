@@ -210,9 +210,13 @@ def test_turns_read_the_index_in_order(spark, karate):
     lines = step._jdf.queryExecution().executedPlan().toString().split("\n")
     cached = [i for i, line in enumerate(lines) if "InMemoryTableScan" in line]
     assert len(cached) == 2
+    depth = [max(line.rfind("+- "), line.rfind(":- ")) for line in lines]
     for i in cached:
-        above = next(line for line in reversed(lines[:i]) if "Filter" not in line and "Project" not in line)
-        assert "Sort " not in above and "Exchange" not in above, above
+        at, above = i, lines[i]
+        while at == i or any(x in above for x in ("Filter", "Project", "TableCacheQueryStage")):
+            at = next(j for j in range(at - 1, -1, -1) if 0 <= depth[j] < depth[at])
+            above = lines[at]
+        assert "SortMergeJoin" in above, above
     g.unpersist()
 
 
