@@ -1,6 +1,7 @@
 """The pipeline: every stage against a brute-force version on its own input."""
 
 import corpus_pipeline
+import pyarrow as pa
 import sentencepiece
 from llm_helpers import SF001, pairs
 from test_ledgers import by_hand
@@ -9,6 +10,7 @@ from test_text_joins import components_by_hand, contaminated
 from rambler.llm.common import held_out, table
 from rambler.llm.secret_scan import redact
 from rambler.llm.toxicity import toxicity
+from rambler.session import BATCH_BYTES, bound_batches
 
 
 def test_stages(spark):
@@ -62,3 +64,20 @@ def test_rows_that_share_an_id_are_judged_alone(spark):
     assert sum(d is None for d, _ in got) == 1
     same_id = pairs(corpus_pipeline.drop_near_duplicates(spark, rows([(4, a), (4, a + " more"), (4, c)]), SF001))
     assert len(same_id) == 2 and (4, c) in same_id
+
+
+def test_batches_of_texts_are_bounded(spark):
+    key, before = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = table(spark, SF001, "documents")
+    sizes = lambda: [r.size for r in spark.range(0, 9000, 1, 1).selectExpr("repeat('x', 4000) text").mapInArrow(
+        lambda it: (pa.record_batch([pa.array([b.nbytes])], names=["size"]) for b in it), "size long").collect()]
+    try:
+        for name in ("toxicity", "near_duplicates", "secrets", "sentencepiece"):
+            spark.conf.unset(key)
+            dict(corpus_pipeline.STAGES)[name](spark, docs.limit(5), SF001)
+            assert max(sizes()) < 1.1 * BATCH_BYTES and sum(sizes()) > 30 << 20, name
+        spark.conf.set(key, "1m")
+        bound_batches(spark)
+        assert spark.conf.get(key).lower() in ("1m", "1048576b")
+    finally:
+        spark.conf.set(key, before)
