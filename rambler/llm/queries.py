@@ -15,7 +15,7 @@ from rambler.llm.near_dup import near_duplicates
 from rambler.llm.periodic_runs import periodic_runs
 from rambler.llm.prefix_trie import conversation_trie
 from rambler.llm.secret_scan import secret_scan
-from rambler.llm.sentencepiece_lattice import decode, encode, read_pieces
+from rambler.llm.sentencepiece_lattice import encode, read_pieces
 from rambler.llm.token_counts import token_counts
 from rambler.llm.toxicity import toxicity
 from rambler.llm.token_file import read_digests as token_digests, write_tokens
@@ -36,9 +36,9 @@ def op9_token_counts(spark, sf_dir):
 
 def op2_sentencepiece(spark, sf_dir):
     pieces = read_pieces(PIECE_BPE)
-    encoded = encode(table(spark, sf_dir, "documents"), pieces, keep_text=True)
-    return decode(encoded, pieces).select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
-                                          (F.col("decoded") == F.col("text")).alias("round_trip"))
+    encoded = encode(table(spark, sf_dir, "documents"), pieces, keep_text=True, decoded_col="decoded")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                          (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 def op3_decontaminate(spark, sf_dir):

@@ -238,10 +238,12 @@ def _packed(word: str, cuts: list[int] | None, ids: dict, bytes_at: int | None,
     return array("i", word_ids(word, cuts, ids, bytes_at, unknown)).tobytes()
 
 
-def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False,
+           decoded_col: str | None = None) -> DataFrame:
     """``(doc_id, ids)``, one row for each row of ``docs``, and the text if wanted.
 
-    Null and empty texts have no ids.  Null ids and repeated rows stay as rows; other columns aren't
+    ``decoded_col`` adds the column of ``decode``, made in the same pass: applied to the result, ``decode``
+    would hold a second Python worker beside each of this one's.  Null and empty texts have no ids.  Null ids and repeated rows stay as rows; other columns aren't
     read; an empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -259,13 +261,13 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     # 16 bytes that stand for a word: edges are sorted by them
     words = words.withColumn("n", F.char_length("word")).withColumn("key", F.unhex(F.md5("word")))
     cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words, ["key", "chunk"], pieces, table)
-    shared = spark.sparkContext.broadcast((pieces.ids, pieces.bytes_at, pieces.unknown, often))
+    shared = spark.sparkContext.broadcast((pieces.ids, pieces.bytes_at, pieces.unknown, often, _spellings(pieces) if decoded_col else None))
     pattern = re.compile(pieces.words())
     kind = rows.schema["doc"].dataType
 
     def put_together(texts: pa.Table, cuts: pa.Table) -> pa.Table:
         give_back()
-        ids, bytes_at, unknown, often = shared.value
+        ids, bytes_at, unknown, often, spellings = shared.value
         known = {k: i for i, k in enumerate(cuts.column("key").to_pylist())}
         limbs = cuts.column("cuts").combine_chunks() if len(known) else pa.array([], pa.list_(pa.int64()))
         begins, values = limbs.offsets.to_pylist(), limbs.values.to_pylist()
@@ -279,21 +281,22 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             out.append(b"".join([often.get(word) or encoded[word] for word in found]))
         found = pa.array(np.frombuffer(b"".join(out), np.int32))
         offsets = pa.array(np.append(0, np.cumsum([len(x) // 4 for x in out])).astype(np.int32))
-        columns = [texts.column("doc"), pa.chunked_array([pa.ListArray.from_arrays(offsets, found)])]
-        return pa.table([*columns, texts.column("text")] if keep_text else columns, names=["doc", "ids", "text"][: 2 + keep_text])
-
-    schema = f"doc {kind.simpleString()}, ids array<int>" + ", text string" * keep_text
+        lists = pa.ListArray.from_arrays(offsets, found)
+        columns = {"doc": texts.column("doc"), "ids": pa.chunked_array([lists])}
+        if keep_text:
+            columns["text"] = texts.column("text")
+        if decoded_col:
+            columns["__decoded"] = pa.chunked_array([_spelled(lists, spellings)])
+        return pa.table(columns)
+
+    schema = f"doc {kind.simpleString()}, ids array<int>" + ", text string" * keep_text + ", __decoded string" * bool(decoded_col)
     cuts = cuts.select(F.col("chunk").alias("of_chunk"), "key", "cuts")
     found = rows.groupBy("chunk").cogroup(cuts.groupBy("of_chunk")).applyInArrow(put_together, schema)
-    return found.withColumnRenamed("doc", id_col)
-
+    return found.withColumnsRenamed({"doc": id_col} | ({"__decoded": decoded_col} if decoded_col else {}))
 
-def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``encoded`` with a column of the text that the ids stand for (null for null ids).
 
-    Byte pieces are put together as UTF-8; bytes that aren't become U+FFFD.  Ids without a text
-    (control and unknown ones) give nothing.
-    """
+def _spellings(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all ids' texts on end, and by id where a text begins and its length."""
     size = max([*pieces.ids.values(), (pieces.bytes_at or 0) + 255, pieces.unknown]) + 1
     strings = [b""] * size
     for piece, i in pieces.ids.items():
@@ -301,25 +304,37 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: s
     if pieces.bytes_at is not None:
         for x in range(256):
             strings[pieces.bytes_at + x] = bytes([x])
-    shared = encoded.sparkSession.sparkContext.broadcast(strings)
+    lengths = np.array([len(x) for x in strings])
+    return np.frombuffer(b"".join(strings), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
+def _spelled(column: pa.ListArray, spellings: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Array:
+    """The text of each list of ids, null for null."""
+    pool, begins, lengths = spellings
+    out = []
+    for ids in column:
+        if not ids.is_valid:
+            out.append(None)
+            continue
+        ids = ids.values.to_numpy()
+        n = lengths[ids]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[ids] - (ends - n), n)
+        out.append(pool[at].tobytes().decode("utf-8", "replace").removeprefix(" "))
+    return pa.array(out, pa.string())
+
+
+def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """``encoded`` with a column of the text that the ids stand for (null for null ids).
+
+    Byte pieces are put together as UTF-8; bytes that aren't become U+FFFD.  Ids without a text
+    (control and unknown ones) give nothing.
+    """
+    shared = encoded.sparkSession.sparkContext.broadcast(_spellings(pieces))
 
     def spell(batches):
-        strings = shared.value
-        lengths = np.array([len(x) for x in strings])
-        begins, pool = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(strings), np.uint8)
         for b in batches:
-            column = b.column(ids_col)
-            out = []
-            for ids in column:
-                if not ids.is_valid:
-                    out.append(None)
-                    continue
-                ids = ids.values.to_numpy()
-                n = lengths[ids]
-                ends = np.cumsum(n)
-                at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[ids] - (ends - n), n)
-                out.append(pool[at].tobytes().decode("utf-8", "replace").removeprefix(" "))
-            yield pa.record_batch([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, text_col])
+            yield pa.record_batch([*b.columns, _spelled(b.column(ids_col), shared.value)], names=[*b.schema.names, text_col])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(spell, f"{fields}, {text_col} string")

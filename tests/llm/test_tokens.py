@@ -2,17 +2,18 @@
 
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
-from llm_helpers import alike_words, pairs
+from llm_helpers import SF001, alike_words, pairs
 from tokenizers import Tokenizer
 
 from rambler.llm.bpe import WordEncoder
-from rambler.llm.queries import BYTE_BPE, PIECE_BPE
+from rambler.llm.queries import BYTE_BPE, PIECE_BPE, op2_sentencepiece
 from rambler.llm.sentencepiece_lattice import Pieces, decode, encode, read_pieces
 from rambler.llm.token_file import (canonical_codes, code_lengths, decoding_table, open_tokens, pack, read_digests, unpack, write_tokens)
 
@@ -120,6 +121,16 @@ def test_sentencepiece_equals_the_library(spark, docs, odd, none):
     assert encode(none, pieces).count() == 0
 
 
+def test_one_worker_encodes_and_decodes(spark, docs, odd, none):
+    pieces = read_pieces(PIECE_BPE)
+    for d in (docs.select("doc_id", "text"), odd, none):
+        got = encode(d, pieces, keep_text=True, decoded_col="again").cache()
+        assert got.columns == ["doc_id", "ids", "text", "again"] and got.count() == d.count()
+        assert decode(got, pieces).filter("again IS NULL OR again != decoded").count() == 0
+    plan = op2_sentencepiece(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"InArrow|InPandas|EvalPython", plan)) == 1
+
+
 def test_long_words_take_all_pieces_of_equal_score(spark):
     scores = {"▁": 0.0, "a": 0.0, "b": 0.0, "c": 0.0, "ab": -1.0, "bc": -2.0, "ca": -2.0, "abc": -2.0}
     pieces = Pieces({p: i + 3 for i, p in enumerate(scores)}, scores, None, 0, False)
