@@ -6,12 +6,14 @@ words are encoded on their own, each distinct one of a chunk of documents once:
 1. words that occur often are encoded once for all documents, as below, and broadcast;
 2. documents are dealt to chunks by a hash, the one exchange; all that follows stays in place;
 3. a chunk's other distinct words are exploded into their substrings of at most the longest piece's length;
-4. an equi-join with the piece table (as large as the tokenizer, so broadcast) leaves the lattice's edges;
+4. an equi-join with the piece table (as large as the tokenizer, so broadcast) leaves the lattice's edges; it is
+   keyed by a 64-bit hash, and what it finds is compared as text;
 5. edges are grouped by word and folded with Spark's ``aggregate``;
 6. each document's ids are put together from its words, where its chunk's words meet it.
 
 Which words are encoded ahead decides only how often a word is encoded, never its ids: it is told from some
-documents, by a hash, and a word that isn't among them takes the other way.
+documents, by a hash, and a word that isn't among them takes the other way.  A word is kept without its
+space mark if that is all that the mark does (``_bare``).
 
 The fold depends on the model.  For a unigram model it is Viterbi: the best score of each end and the
 edge it comes by.  For a BPE model the library's result is no best path, so Viterbi can't give it:
@@ -33,15 +35,17 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rambler.llm.bpe import _gather
 from rambler.llm.common import give_back
 from rambler.session import materialize
 
 MARK = "▁"
 CHUNK_BYTES = 2 << 20   # of text; bounds what a task holds at once
-OFTEN = 1 << 16         # words that are encoded ahead, at most
-GAUGE_BYTES = 8 << 20   # of text that these words are told from
+OFTEN = 1 << 20         # words that are encoded ahead, at most
+GAUGE_BYTES = 128 << 20  # of text that these words are told from
 BLOCK = 128        # long words are cut into blocks of so many characters before their substrings are taken
 SHORT = 61         # characters whose boundaries fit a number
 MOST_PIECES = 1 << 20
@@ -91,12 +95,12 @@ def read_pieces(path: str) -> Pieces:
 
 
 def _table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    """``(piece, rank, score)``; rank 0 is the best score."""
+    """``(known, hash, rank, score)`` of each piece; rank 0 is the best score."""
     if len(pieces.ids) > MOST_PIECES:
         raise ValueError(f"more than {MOST_PIECES} pieces are not broadcast")
     rank = {score: k for k, score in enumerate(sorted(set(pieces.scores.values()), reverse=True))}
     rows = [(p, rank[s], s) for p, s in pieces.scores.items() if pieces.unigram or len(p) > 1]
-    return F.broadcast(spark.createDataFrame(rows, "piece string, rank long, score double"))
+    return F.broadcast(spark.createDataFrame(rows, "known string, rank long, score double").withColumn("hash", F.xxhash64("known")))
 
 
 def _tied_rank(pieces: Pieces) -> int:
@@ -117,7 +121,10 @@ def edges(words: DataFrame, table: DataFrame, longest: int, least: int) -> DataF
     left = f"least({longest}, n - block * {BLOCK} - within)"
     sized = starts.filter(F.expr(f"{left} >= {least}")).withColumn("size", F.explode(F.expr(f"sequence({least}, {left})")))
     cut = sized.withColumn("piece", F.expr("substring(part, within + 1, size)"))
-    return cut.join(table, "piece").withColumn("start", F.expr(f"block * {BLOCK} + within")).drop("piece", "part", "block", "within")
+    # keyed by the hash alone, as Spark looks up one number much faster than a string; an equality of strings would become a key too
+    same = F.startswith("piece", "known") & F.startswith("known", "piece")
+    found = cut.withColumn("at", F.xxhash64("piece")).join(table, (F.col("at") == F.col("hash")) & same)
+    return found.withColumn("start", F.expr(f"block * {BLOCK} + within")).drop("piece", "known", "at", "hash", "part", "block", "within")
 
 
 # An edge of a BPE lattice is a number: rank * 2^40 + start * 2^8 + size.  A boundary is a bit that is
@@ -216,22 +223,65 @@ def word_ids(word: str, cuts: list[int] | None, ids: dict, bytes_at: int | None,
 
 
 def _split(text: Column, pieces: Pieces) -> Column:
-    """The words of a text, null for an empty one."""
+    """The words of a text, most of them without their space mark; null for an empty one."""
     runs = F.regexp_extract_all(F.concat(F.lit(MARK), F.translate(text, " ", MARK)), F.lit(pieces.words()), F.lit(0))
-    single = F.split(F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(f" {MARK}"))), " ")
     plain = ~(F.contains(text, F.lit("  ")) | F.contains(text, F.lit(MARK)) | F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" ")))
-    return F.when(text != "", F.when(plain, single).otherwise(runs))
+    return F.when(text != "", F.when(plain, F.split(text, " ")).otherwise(runs))
 
 
-def _frequent(rows: DataFrame, size: int, pieces: Pieces, table: DataFrame) -> dict[str, bytes]:
-    """The ids of short words that occur often, as bytes."""
+def _bare(word: Column) -> Column:
+    """A word without its only space mark; words with more of them stay."""
+    single = F.startswith(word, F.lit(MARK)) & (F.locate(MARK, word, 2) == 0)
+    return F.when(single, F.substring(word, 2, (1 << 31) - 1)).otherwise(word)
+
+
+def _whole(words: DataFrame) -> DataFrame:
+    """``words`` (.., bare) with the word itself, its length, and 16 bytes that stand for it: edges are sorted by them."""
+    word = F.when(F.contains("bare", F.lit(MARK)), F.col("bare")).otherwise(F.concat(F.lit(MARK), "bare"))
+    return words.withColumn("word", word).withColumn("n", F.char_length("word")).withColumn("key", F.unhex(F.md5("word")))
+
+
+def _bare_words(texts: pa.Array, pattern: re.Pattern) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of texts as ``_split`` and ``_bare`` give them, and for each text where they begin and how many."""
+    odd = pc.or_(pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, MARK)), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+    odd = np.asarray(pc.or_(odd, pc.equal(texts, "")))
+    lists = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+    others = [pattern.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts.filter(pa.array(odd)).to_pylist()]
+    words = pa.array([w[1:] if MARK not in w[1:] else w for found in others for w in found], pa.string())
+    counts = np.zeros(len(texts), np.int64)
+    counts[~odd], counts[odd] = np.diff(lists.offsets.to_numpy()), list(map(len, others))
+    begins = np.zeros(len(texts), np.int64)
+    for some in (~odd, odd):    # the words of plain texts come first
+        begins[some] = np.cumsum(counts[some]) - counts[some]
+    begins[odd] += counts[~odd].sum()
+    return pa.concat_arrays([lists.flatten(), words]), begins, counts
+
+
+def _frequent(rows: DataFrame, size: int, pieces: Pieces, table: DataFrame) -> DataFrame:
+    """``(bare, ids)``: short words that occur often, and their ids as bytes."""
     some = rows.filter(F.pmod(F.xxhash64("text", "doc"), F.lit(max(1, size // GAUGE_BYTES))) == 0)
-    words = some.select(F.explode(_split(F.col("text"), pieces)).alias("word")).withColumn("n", F.char_length("word")).filter(F.col("n") <= SHORT)
-    counted = words.groupBy("word", "n").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    words = materialize(counted.orderBy(F.desc("times"), "word").limit(OFTEN).select("word", "n"), "frequent-words")
-    cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words.withColumn("key", F.col("word")), ["key"], pieces, table)
-    found = words.join(cuts, words["word"] == cuts["key"], "left").select("word", "cuts").collect()
-    return {r.word: _packed(r.word, r.cuts, pieces.ids, pieces.bytes_at, pieces.unknown) for r in found}
+    split = some.select(F.explode(_split(F.col("text"), pieces)).alias("word")).select(_bare(F.col("word")).alias("bare"))
+    counted = split.filter(F.char_length("bare") < SHORT).groupBy("bare").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    counted = materialize(counted, "counted-words")
+    # as many as fit, by how often they occur: no order of all words is needed
+    least, taken = 1 << 62, 0
+    for r in sorted(counted.groupBy("times").count().collect(), reverse=True):
+        taken += r["count"]
+        if taken > OFTEN:
+            break
+        least = r.times
+    n = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    words = _whole(counted.filter(F.col("times") >= least).select("bare")).repartition(n, "key")
+    cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words.select("key", "word", "n"), ["key"], pieces, table)
+    known = (pieces.ids, pieces.bytes_at, pieces.unknown)
+
+    def pack(batches):
+        for b in batches:
+            ids = [_packed(w, c, *known) for w, c in zip(b.column("word").to_pylist(), b.column("cuts").to_pylist())]
+            yield pa.record_batch([b.column("bare"), pa.array(ids, pa.binary())], names=["bare", "ids"])
+
+    found = words.join(cuts, "key", "left").select("bare", "word", "cuts")
+    return materialize(found.mapInArrow(pack, "bare string, ids binary"), "frequent-words")
 
 
 def _packed(word: str, cuts: list[int] | None, ids: dict, bytes_at: int | None, unknown: int) -> bytes:
@@ -256,39 +306,49 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
 
     # a function of both columns, so that both branches read the same exchange
     text = F.concat("text", F.coalesce(F.substring(F.col("doc").cast("string"), 1, 0), F.lit("")))
-    words = rows.select("chunk", F.explode(_split(text, pieces)).alias("word"))
-    words = words.join(F.broadcast(spark.createDataFrame([(w,) for w in often], "word string")), "word", "left_anti").distinct()
-    # 16 bytes that stand for a word: edges are sorted by them
-    words = words.withColumn("n", F.char_length("word")).withColumn("key", F.unhex(F.md5("word")))
+    words = rows.select("chunk", F.explode(_split(text, pieces)).alias("word")).select("chunk", _bare(F.col("word")).alias("bare"))
+    words = _whole(words.join(F.broadcast(often.select("bare")), "bare", "left_anti").distinct()).drop("bare")
     cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words, ["key", "chunk"], pieces, table)
-    shared = spark.sparkContext.broadcast((pieces.ids, pieces.bytes_at, pieces.unknown, often, _spellings(pieces) if decoded_col else None))
+    shared = spark.sparkContext.broadcast({"pieces": (pieces.ids, pieces.bytes_at, pieces.unknown), "columns": often.toArrow(),
+                                           "spellings": _spellings(pieces) if decoded_col else None})
     pattern = re.compile(pieces.words())
     kind = rows.schema["doc"].dataType
 
     def put_together(texts: pa.Table, cuts: pa.Table) -> pa.Table:
         give_back()
-        ids, bytes_at, unknown, often, spellings = shared.value
+        held = shared.value
+        if "columns" in held:   # the first group of this worker; the table goes when the broadcast goes
+            columns = held.pop("columns")
+            held["often"] = dict(zip(columns.column("bare").to_pylist(), columns.column("ids").to_pylist()))
+        often, spellings = held["often"], held["spellings"]
         known = {k: i for i, k in enumerate(cuts.column("key").to_pylist())}
         limbs = cuts.column("cuts").combine_chunks() if len(known) else pa.array([], pa.list_(pa.int64()))
         begins, values = limbs.offsets.to_pylist(), limbs.values.to_pylist()
         encoded: dict[str, bytes] = {}
         out = []
-        for text in texts.column("text").to_pylist():
-            found = pattern.findall(MARK + text.replace(" ", MARK)) if text else []
-            for word in set(found).difference(encoded).difference(often):
-                at = known.get(word_key(word))
-                encoded[word] = _packed(word, None if at is None else values[begins[at] : begins[at + 1]], ids, bytes_at, unknown)
-            out.append(b"".join([often.get(word) or encoded[word] for word in found]))
-        found = pa.array(np.frombuffer(b"".join(out), np.int32))
-        offsets = pa.array(np.append(0, np.cumsum([len(x) // 4 for x in out])).astype(np.int32))
-        lists = pa.ListArray.from_arrays(offsets, found)
-        columns = {"doc": texts.column("doc"), "ids": pa.chunked_array([lists])}
-        if keep_text:
-            columns["text"] = texts.column("text")
-        if decoded_col:
-            columns["__decoded"] = pa.chunked_array([_spelled(lists, spellings)])
-        return pa.table(columns)
-
+        for batch in texts.to_batches():
+            found, word_begins, counts = _bare_words(batch.column("text"), pattern)
+            coded = found.dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            for bare in distinct:
+                if bare not in often and bare not in encoded:
+                    word = bare if MARK in bare else MARK + bare
+                    at = known.get(word_key(word))
+                    encoded[bare] = _packed(word, None if at is None else values[begins[at] : begins[at + 1]], *held["pieces"])
+            packed = [often.get(bare) or encoded[bare] for bare in distinct]
+            sizes = np.array([len(x) // 4 for x in packed], np.int64)
+            which = _gather(coded.indices.to_numpy(), word_begins, counts)      # in the order of the texts
+            ids = _gather(np.frombuffer(b"".join(packed), np.int32), (np.cumsum(sizes) - sizes)[which], sizes[which])
+            offsets = np.append(0, np.cumsum(sizes[which]))[np.append(0, np.cumsum(counts))]
+            columns = [batch.column("doc"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+            if keep_text:
+                columns.append(batch.column("text"))
+            if decoded_col:
+                columns.append(_spelled(columns[1], spellings))
+            out.append(pa.record_batch(columns, names=names))
+        return pa.Table.from_batches(out)
+
+    names = ["doc", "ids"] + ["text"] * keep_text + ["__decoded"] * bool(decoded_col)
     schema = f"doc {kind.simpleString()}, ids array<int>" + ", text string" * keep_text + ", __decoded string" * bool(decoded_col)
     cuts = cuts.select(F.col("chunk").alias("of_chunk"), "key", "cuts")
     found = rows.groupBy("chunk").cogroup(cuts.groupBy("of_chunk")).applyInArrow(put_together, schema)

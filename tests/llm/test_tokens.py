@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from rambler.llm.bpe import WordEncoder
 from rambler.llm.queries import BYTE_BPE, PIECE_BPE, op2_sentencepiece
-from rambler.llm.sentencepiece_lattice import Pieces, decode, encode, read_pieces
+from rambler.llm.sentencepiece_lattice import Pieces, _frequent, _table, decode, encode, read_pieces
 from rambler.llm.token_file import (canonical_codes, code_lengths, decoding_table, open_tokens, pack, read_digests, unpack, write_tokens)
 
 LETTERS = list(" \n\t'stabcdefghilmnorÉß×12²-(_漢\x1c\x85ȟȠ<|▁") + ["  ", "re", "ll", "ve", "<|endoftext|>", "    ", "the ", "ing "]
@@ -131,6 +131,23 @@ def test_one_worker_encodes_and_decodes(spark, docs, odd, none):
     assert len(re.findall(r"InArrow|InPandas|EvalPython", plan)) == 1
 
 
+def test_words_that_come_back_are_encoded_once(spark):
+    rnd = random.Random(8)
+    words = sorted({"".join(rnd.choices("abcdefghij", k=6)) for _ in range(90_000)})
+    texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    # each word comes twice, in different documents; and once more where spaces and marks make the text odd
+    rows = spark.createDataFrame(list(enumerate([*texts, *(" ".join(reversed(t.split(" "))) for t in texts), f" {texts[0]}  ▁{texts[1]} ", "  ", "only ▁▁once"])),
+                                 "doc_id long, text string")
+    pieces = read_pieces(PIECE_BPE)
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    often = _frequent(rows.selectExpr("doc_id as doc", "text"), 1, pieces, _table(spark, pieces))
+    known = {r.bare: np.frombuffer(r.ids, np.int32).tolist() for r in often.collect()}
+    assert known.keys() >= set(words) and "only" not in known     # more than 65,536 of them
+    assert [known[w] for w in words[:500]] == [sp.encode(w) for w in words[:500]]
+    for r in encode(rows, pieces, keep_text=True).collect():
+        assert r.ids == sp.encode(r.text)
+
+
 def test_long_words_take_all_pieces_of_equal_score(spark):
     scores = {"▁": 0.0, "a": 0.0, "b": 0.0, "c": 0.0, "ab": -1.0, "bc": -2.0, "ca": -2.0, "abc": -2.0}
     pieces = Pieces({p: i + 3 for i, p in enumerate(scores)}, scores, None, 0, False)
