@@ -289,11 +289,12 @@ def _packed(word: str, cuts: list[int] | None, ids: dict, bytes_at: int | None,
 
 
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False,
-           decoded_col: str | None = None) -> DataFrame:
+           decoded_col: str | None = None, round_trip_col: str | None = None) -> DataFrame:
     """``(doc_id, ids)``, one row for each row of ``docs``, and the text if wanted.
 
     ``decoded_col`` adds the column of ``decode``, made in the same pass: applied to the result, ``decode``
-    would hold a second Python worker beside each of this one's.  Null and empty texts have no ids.  Null ids and repeated rows stay as rows; other columns aren't
+    would hold a second Python worker beside each of this one's.  ``round_trip_col`` says whether that decoded
+    text is the text (null: empty), without sending either back.  Null and empty texts have no ids.  Null ids and repeated rows stay as rows; other columns aren't
     read; an empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -310,7 +311,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     words = _whole(words.join(F.broadcast(often.select("bare")), "bare", "left_anti").distinct()).drop("bare")
     cuts = (_viterbi_cuts if pieces.unigram else _bpe_cuts)(words, ["key", "chunk"], pieces, table)
     shared = spark.sparkContext.broadcast({"pieces": (pieces.ids, pieces.bytes_at, pieces.unknown), "columns": often.toArrow(),
-                                           "spellings": _spellings(pieces) if decoded_col else None})
+                                           "spellings": _spellings(pieces) if decoded_col or round_trip_col else None})
     pattern = re.compile(pieces.words())
     kind = rows.schema["doc"].dataType
 
@@ -343,16 +344,18 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             columns = [batch.column("doc"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
             if keep_text:
                 columns.append(batch.column("text"))
-            if decoded_col:
-                columns.append(_spelled(columns[1], spellings))
+            if decoded_col or round_trip_col:
+                decoded = _spelled(columns[1], spellings)
+                columns += [decoded] * bool(decoded_col) + ([pc.equal(decoded, batch.column("text"))] if round_trip_col else [])
             out.append(pa.record_batch(columns, names=names))
         return pa.Table.from_batches(out)
 
-    names = ["doc", "ids"] + ["text"] * keep_text + ["__decoded"] * bool(decoded_col)
-    schema = f"doc {kind.simpleString()}, ids array<int>" + ", text string" * keep_text + ", __decoded string" * bool(decoded_col)
+    names = ["doc", "ids"] + ["text"] * keep_text + ["__decoded"] * bool(decoded_col) + ["__same"] * bool(round_trip_col)
+    schema = (f"doc {kind.simpleString()}, ids array<int>" + ", text string" * keep_text + ", __decoded string" * bool(decoded_col)
+              + ", __same boolean" * bool(round_trip_col))
     cuts = cuts.select(F.col("chunk").alias("of_chunk"), "key", "cuts")
     found = rows.groupBy("chunk").cogroup(cuts.groupBy("of_chunk")).applyInArrow(put_together, schema)
-    return found.withColumnsRenamed({"doc": id_col} | ({"__decoded": decoded_col} if decoded_col else {}))
+    return found.withColumnsRenamed({"doc": id_col} | ({"__decoded": decoded_col} if decoded_col else {}) | ({"__same": round_trip_col} if round_trip_col else {}))
 
 
 def _spellings(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

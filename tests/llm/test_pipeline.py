@@ -4,6 +4,7 @@ import corpus_pipeline
 import pyarrow as pa
 import sentencepiece
 from llm_helpers import SF001, pairs
+from pyspark.sql import functions as F
 from test_ledgers import by_hand
 from test_text_joins import components_by_hand, contaminated
 
@@ -81,3 +82,19 @@ def test_batches_of_texts_are_bounded(spark):
         assert spark.conf.get(key).lower() in ("1m", "1048576b")
     finally:
         spark.conf.set(key, before)
+
+
+def test_stages_do_the_whole_work_of_their_operators(spark, monkeypatch):
+    """op 3 reports on every row, items and all, and op 2's ids are decoded again."""
+    docs = table(spark, SF001, "documents")
+    leaks = table(spark, SF001, "benchmark").orderBy("item_id").limit(2).collect()
+    texts = [f"{leaks[0].text} and {leaks[1].text}", "plain  words", "a ▁ mark", "", None, None]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], docs.schema)
+    written = {}
+    monkeypatch.setattr(corpus_pipeline, "materialize", lambda df, tag, f=corpus_pipeline.materialize: written.setdefault(tag, f(df, tag)))
+    assert corpus_pipeline.drop_contaminated(spark, rows, SF001).count() == 5
+    found = written["contamination"].orderBy(F.desc("n_hit")).collect()
+    assert len(found) == 6 and found[0].contaminated and not any(r.contaminated for r in found[1:])
+    assert found[0].n_items >= 2 and found[0].items_sha256 != found[1].items_sha256 and found[0].n_words >= found[0].n_hit > 0
+    last = {r.doc_id: r.round_trip for r in corpus_pipeline.tokenize(spark, rows, SF001).collect()}
+    assert last == {i: t != "a ▁ mark" for i, t in enumerate(texts)}      # the mark stands for a space
