@@ -234,3 +234,35 @@ def test_the_tail_of_a_walk_draws_no_more_than_a_turn(spark, karate, monkeypatch
     g.unpersist()
     assert len(seen) > 4 and all(n * trials <= 2 * seen[0][0] for n, trials in seen[1:])
     assert seen[-1][1] > 2
+
+
+def test_the_index_has_little_more_than_the_edges(spark):
+    """No vertex's attributes, 1.25 rows an edge and one a vertex; one direction of an undirected edge is a key."""
+    e = spark.createDataFrame([(0, d, 0.25 + d % 7) for d in range(1, 401)] + [(1, 2, 1.0), (5, 5, 2.0)], "src long, dst long, w double")
+    g = build_graph(e)
+    assert set(g.index.columns) == {"src", "bucket", "copy", "dst", "cb", "ca", "first"}
+    assert g.index.filter("copy = 0").count() <= 1.25 * g.edges.count() + 2 * g.vertices.count()
+    assert {(r.src, r.dst) for r in g.keys.collect()} == {(r.src, r.dst) for r in e.collect()}
+    path = g.index_path.removeprefix("file:")
+    import os
+    assert os.path.isdir(path)
+    g.unpersist()
+    assert not os.path.exists(path)
+
+
+def test_written_tables_leave_no_shuffle_files(spark, karate):
+    import os
+    from rambler.session import materialize
+
+    def files():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in dirs for _, _, names in os.walk(str(d)) for f in names if f.startswith("shuffle_")}
+
+    g = build_graph(karate)
+    before = files()
+    shuffled = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    assert materialize(shuffled, "shuffled").count() == 7
+    walks = random_walk(g, WalkParams(walk_length=3, num_walks=1, p=0.5, q=2.0, seed=3))
+    # but for one small shuffle a turn, which counts the walkers that are left
+    assert len(files() - before) <= 4 * (walks.turns + 2)
+    g.unpersist()
