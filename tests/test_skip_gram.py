@@ -89,3 +89,23 @@ def test_the_node2vec_job_trains_by_buckets(spark, karate, tmp_path):
     job = JobParams(walk=WalkParams(walk_length=4, num_walks=1, seed=5), w2v=replace(PARAMS, iterations=1), output=str(tmp_path), output_partitions=2)
     assert node2vec_job(spark, karate, job).count() == 34
     assert spark.read.parquet(str(tmp_path / "bin")).select(F.size("vector")).distinct().first()[0] == 16
+
+
+def test_a_driver_without_room_for_the_words_goes_to_buckets(spark, walked, monkeypatch):
+    """The matrices of 34 words take 2,176 bytes, the words on Spark ML's driver 62,152."""
+    from rambler.operators import embed
+    params = Word2VecParams(dim=8, window=2, iterations=1, max_vocabulary_bytes=4096)
+    assert embed.driver_room(spark) <= 1 << 30      # the default bound of what tasks send
+    found, model = train_vectors(walked, params)
+    assert model is not None and found.count() == 34
+    monkeypatch.setattr(embed, "driver_room", lambda spark: 40_000)
+    found, model = train_vectors(walked, params)
+    assert model is None and found.count() == 34
+    assert train_vectors(walked, replace(params, trainer="driver"))[1] is not None
+
+
+def test_a_large_vocabulary_is_the_work_of_many_tasks(spark, walked, monkeypatch):
+    import rambler.operators.skip_gram as M
+    params = replace(PARAMS, iterations=1, buckets=None)
+    monkeypatch.setattr(M, "BUCKET_WORDS", 10)
+    assert vectors(fit_skip_gram(walked, params)) == vectors(fit_skip_gram(walked, replace(params, buckets=4)))
